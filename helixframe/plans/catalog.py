@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from helixframe import standins as S
 from helixframe.operators import manifest as M
+from helixframe.operators import export as X
 from helixframe.operators import reconcile as R
+from helixframe.operators import resume as P
 from helixframe.session import staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources.manifest import scan_manifest
@@ -168,6 +170,64 @@ def q_run_status_counts(spark, sf):
     return c.groupBy("status", "reason").agg(F.count("*").alias("n_runs"))
 
 
+# ---------------------------------------------------------------- resume / completion
+
+REFERENCE_NAMES = [("ctg",), ("alt",)]
+DV_MIN_SIZE, DV_MAX_SIZE = 100000, 450000
+EXPORT_PATTERN = "variants_%s"
+
+
+def _resume_inputs(spark, sf):
+    runs = S.standin(spark, sf, "manifest")
+    refs = from_values(spark, REFERENCE_NAMES, "name string")
+    return runs, refs, S.standin(spark, sf, "stage_objects")
+
+
+def q_pending_align(spark, sf):
+    return P.pending(*_resume_inputs(spark, sf), "align").select("run_id", "reference", "align_path")
+
+
+def q_pending_sort(spark, sf):
+    return P.pending(*_resume_inputs(spark, sf), "sort").select("run_id", "reference", "sort_path")
+
+
+def q_pending_merge(spark, sf):
+    return P.pending(*_resume_inputs(spark, sf), "merge").select("sample_id", "reference", "n_runs", "n_sorted")
+
+
+def q_pending_index(spark, sf):
+    return P.pending(*_resume_inputs(spark, sf), "index").select("sample_id", "reference", "index_path")
+
+
+def q_pending_dv(spark, sf):
+    return P.pending(*_resume_inputs(spark, sf), "dv", DV_MIN_SIZE, DV_MAX_SIZE).select(
+        "sample_id", "reference", "merged_size", "dv_path")
+
+
+def q_completion(spark, sf):
+    return P.completion_status(*_resume_inputs(spark, sf)).select(
+        "sample_id", "reference", "n_runs", "n_aligned", "n_sorted", "merged", "indexed", "called", "complete")
+
+
+def q_completion_csv(spark, sf):
+    return P.completion_lines(P.completion_status(*_resume_inputs(spark, sf)))
+
+
+def _dv_files(spark, sf):
+    return S.standin(spark, sf, "stage_objects").where(F.col("stage") == "dv").select("path", "size")
+
+
+def q_vcf_batches(spark, sf):
+    return X.batch_files(_dv_files(spark, sf), 50).select("path", "file_rank", "batch")
+
+
+def q_export_ledger(spark, sf):
+    files = _dv_files(spark, sf)
+    # Files of every third sample were exported by an earlier run.
+    ledger = files.where(F.expr("CAST(substring(regexp_extract(path, '/(SRS[0-9]+)_', 1), 4) AS BIGINT) % 3 = 0"))
+    return X.plan_exports(files, ledger, EXPORT_PATTERN, 50).select("path", "reference", "table_name", "file_rank", "batch")
+
+
 QUERIES = {
     "manifest_scan": q_manifest_scan,
     "manifest_required": q_manifest_required,
@@ -186,4 +246,13 @@ QUERIES = {
     "anomaly_lines": q_anomaly_lines,
     "anomaly_audit": q_anomaly_audit,
     "run_status_counts": q_run_status_counts,
+    "pending_align": q_pending_align,
+    "pending_sort": q_pending_sort,
+    "pending_merge": q_pending_merge,
+    "pending_index": q_pending_index,
+    "pending_dv": q_pending_dv,
+    "completion": q_completion,
+    "completion_csv": q_completion_csv,
+    "vcf_batches": q_vcf_batches,
+    "export_ledger": q_export_ledger,
 }

@@ -203,3 +203,59 @@ SELECT s.run_id,
        CASE WHEN r.manifest_row IS NULL THEN (CASE WHEN s.status = 'valid' THEN s.names END)
             WHEN r.k = 2 AND NOT r.vanish THEN r.names END AS files
 FROM status s LEFT JOIN rep r ON r.manifest_row = s.manifest_row""")
+
+
+def _resume(body: str) -> str:
+    return with_ctes("", "manifest", "stage_objects").rstrip() + """,
+refs AS (SELECT 'ctg' AS reference UNION ALL SELECT 'alt'),
+present AS (SELECT path, max(size) AS size FROM stage_objects GROUP BY path),
+rf AS (
+  SELECT m.run_id, m.sample_id, r.reference,
+         concat('result_aligned_bam/', m.run_id, '_', r.reference) AS align_path,
+         concat('result_sorted_bam/', m.run_id, '_', r.reference) AS sort_path,
+         EXISTS (SELECT 1 FROM present p WHERE p.path = concat('result_aligned_bam/', m.run_id, '_', r.reference)) AS aligned,
+         EXISTS (SELECT 1 FROM present p WHERE p.path = concat('result_sorted_bam/', m.run_id, '_', r.reference)) AS sorted
+  FROM manifest m CROSS JOIN refs r),
+sf0 AS (
+  SELECT sample_id, reference, count(*) AS n_runs, count(*) FILTER (WHERE aligned) AS n_aligned,
+         count(*) FILTER (WHERE sorted) AS n_sorted,
+         concat('result_merged_bam/', sample_id, '_', reference) AS merge_path,
+         concat('result_merged_bam/', sample_id, '_', reference, '.idx') AS index_path,
+         concat('result_dv/', sample_id, '_', reference, '/', sample_id, '_', reference, '.vcf') AS dv_path
+  FROM rf GROUP BY sample_id, reference),
+sf AS (
+  SELECT sf0.*, pm.size AS merged_size, pm.path IS NOT NULL AS merged,
+         EXISTS (SELECT 1 FROM present p WHERE p.path = sf0.index_path) AS indexed,
+         EXISTS (SELECT 1 FROM present p WHERE p.path = sf0.dv_path) AS called
+  FROM sf0 LEFT JOIN present pm ON pm.path = sf0.merge_path)
+""" + body
+
+
+ORACLE["pending_align"] = _resume("SELECT run_id, reference, align_path FROM rf WHERE NOT aligned")
+ORACLE["pending_sort"] = _resume("SELECT run_id, reference, sort_path FROM rf WHERE aligned AND NOT sorted")
+ORACLE["pending_merge"] = _resume("SELECT sample_id, reference, n_runs, n_sorted FROM sf WHERE n_sorted = n_runs AND NOT merged")
+ORACLE["pending_index"] = _resume("SELECT sample_id, reference, index_path FROM sf WHERE merged AND NOT indexed")
+ORACLE["pending_dv"] = _resume("""
+SELECT sample_id, reference, merged_size, dv_path FROM sf
+WHERE indexed AND NOT called AND merged_size >= 100000 AND merged_size <= 450000""")
+_COMPLETE = "(n_aligned = n_runs AND n_sorted = n_runs AND merged AND indexed AND called)"
+ORACLE["completion"] = _resume(f"""
+SELECT sample_id, reference, n_runs, n_aligned, n_sorted, merged, indexed, called, {_COMPLETE} AS complete FROM sf""")
+ORACLE["completion_csv"] = _resume(f"""
+SELECT concat_ws(',', sample_id, reference, CAST(n_runs AS VARCHAR), CAST(n_aligned AS VARCHAR), CAST(n_sorted AS VARCHAR),
+                 CAST(merged AS VARCHAR), CAST(indexed AS VARCHAR), CAST(called AS VARCHAR),
+                 CAST({_COMPLETE} AS VARCHAR)) AS value FROM sf""")
+
+ORACLE["vcf_batches"] = with_ctes("""
+SELECT path, row_number() OVER (ORDER BY path) AS file_rank,
+       CAST(floor((row_number() OVER (ORDER BY path) - 1) / 50) AS BIGINT) AS batch
+FROM stage_objects WHERE stage = 'dv'""", "stage_objects")
+
+ORACLE["export_ledger"] = with_ctes("""
+SELECT path, reference, concat('variants_', reference) AS table_name,
+       row_number() OVER (ORDER BY path) AS file_rank,
+       CAST(floor((row_number() OVER (ORDER BY path) - 1) / 50) AS BIGINT) AS batch
+FROM (SELECT path, regexp_extract(regexp_extract(path, '([^/]*)\\.vcf$', 1), '^[^_]*_(.*)$', 1) AS reference
+      FROM stage_objects
+      WHERE stage = 'dv'
+        AND CAST(substr(regexp_extract(path, '/(SRS[0-9]+)_', 1), 4) AS BIGINT) % 3 <> 0) p""", "stage_objects")
