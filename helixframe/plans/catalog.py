@@ -12,10 +12,13 @@ from pyspark.sql import functions as F
 from helixframe import standins as S
 from helixframe.operators import manifest as M
 from helixframe.operators import export as X
+from helixframe.operators import reads as RD
 from helixframe.operators import reconcile as R
 from helixframe.operators import resume as P
 from helixframe.session import staging_dir
 from helixframe.sources.literal import from_values
+from helixframe.sources import fasta as FA
+from helixframe.sources import fastq as FQ
 from helixframe.sources.manifest import scan_manifest
 
 # Fixed parameters of the checked queries.
@@ -228,6 +231,64 @@ def q_export_ledger(spark, sf):
     return X.plan_exports(files, ledger, EXPORT_PATTERN, 50).select("path", "reference", "table_name", "file_rank", "batch")
 
 
+# ---------------------------------------------------------------- reads and references
+
+FASTQ_SPLIT = 256 << 10   # small byte ranges so records cross range edges in the check
+FASTA_SPLIT = 64 << 10
+TILE, TILE_OVERLAP = 100, 20
+
+
+def _write_fastq(spark, sf):
+    mates = S.standin(spark, sf, "read_mates")
+    out = staging_dir(spark, "fastq")
+    named = mates.withColumn("name", F.concat(F.col("name"), F.lit("/"), F.col("mate").cast("string")))
+    FQ.fastq_text(named.repartition(4, "run_id").sortWithinPartitions("run_id", "mate", "ordinal")).write.text(out)
+    return out
+
+
+def q_fastq_scan(spark, sf):
+    """read_mates written as FASTQ text, scanned back by byte range."""
+    reads = FQ.scan_fastq(spark, _write_fastq(spark, sf), split_size=FASTQ_SPLIT)
+    tok = F.split(F.col("name"), "/")
+    head = F.element_at(tok, 1)
+    return reads.select(F.substring_index(head, ".", 1).alias("run_id"),
+                        F.element_at(tok, 2).cast("int").alias("mate"),
+                        F.substring_index(head, ".", -1).cast("bigint").alias("ordinal"),
+                        "seq", "qual", "malformed")
+
+
+def q_mate_pairs(spark, sf):
+    p = RD.pair_mates(S.standin(spark, sf, "read_mates"))
+    return p.select("run_id", "ordinal", "status", F.col("r1.seq").alias("seq1"), F.col("r2.seq").alias("seq2"))
+
+
+def _run_of_object(path_col):
+    return F.regexp_extract(path_col, r"/(SRR[0-9]+)[^/]*$", 1)
+
+
+def q_read_chunks(spark, sf):
+    objs = S.standin(spark, sf, "objects").withColumn("run_id", _run_of_object(F.col("path")))
+    sizes = RD.run_sizes(objs)
+    ch = RD.chunk_reads(S.standin(spark, sf, "read_mates"), sizes, max_bytes=400000, chunk_records=2)
+    return ch.select("run_id", "mate", "ordinal", "chunk")
+
+
+def _write_fasta(spark, sf):
+    out = staging_dir(spark, "fasta")
+    FA.fasta_text(S.standin(spark, sf, "contigs").repartition(4).sortWithinPartitions("contig_idx")).write.text(out)
+    return out
+
+
+def q_fasta_scan(spark, sf):
+    tiles = FA.scan_fasta(spark, _write_fasta(spark, sf), TILE, TILE_OVERLAP, split_size=FASTA_SPLIT)
+    return tiles.select("contig", "tile", "start", "seq")
+
+
+def q_fasta_index(spark, sf):
+    located = FA.located_lines(FA.scan_fasta_lines(spark, _write_fasta(spark, sf), FASTA_SPLIT))
+    return RD.fasta_index(located).select("contig", "length", "linebases", "linewidth")
+
+
 QUERIES = {
     "manifest_scan": q_manifest_scan,
     "manifest_required": q_manifest_required,
@@ -255,4 +316,9 @@ QUERIES = {
     "completion_csv": q_completion_csv,
     "vcf_batches": q_vcf_batches,
     "export_ledger": q_export_ledger,
+    "fastq_scan": q_fastq_scan,
+    "mate_pairs": q_mate_pairs,
+    "read_chunks": q_read_chunks,
+    "fasta_scan": q_fasta_scan,
+    "fasta_index": q_fasta_index,
 }

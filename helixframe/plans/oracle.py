@@ -259,3 +259,30 @@ FROM (SELECT path, regexp_extract(regexp_extract(path, '([^/]*)\\.vcf$', 1), '^[
       FROM stage_objects
       WHERE stage = 'dv'
         AND CAST(substr(regexp_extract(path, '/(SRS[0-9]+)_', 1), 4) AS BIGINT) % 3 <> 0) p""", "stage_objects")
+
+ORACLE["fastq_scan"] = with_ctes("""
+SELECT run_id, mate, ordinal, seq, qual, false AS malformed FROM read_mates""", "read_mates")
+
+ORACLE["mate_pairs"] = with_ctes("""
+SELECT coalesce(a.run_id, b.run_id) AS run_id, coalesce(a.ordinal, b.ordinal) AS ordinal,
+       CASE WHEN a.run_id IS NOT NULL AND b.run_id IS NOT NULL THEN 'paired'
+            WHEN a.run_id IS NOT NULL THEN 'orphan_1' ELSE 'orphan_2' END AS status,
+       a.seq AS seq1, b.seq AS seq2
+FROM (SELECT * FROM read_mates WHERE mate = 1) a
+FULL OUTER JOIN (SELECT * FROM read_mates WHERE mate = 2) b ON a.run_id = b.run_id AND a.ordinal = b.ordinal""",
+                                 "read_mates")
+
+ORACLE["read_chunks"] = with_ctes("""
+SELECT r.run_id, r.mate, r.ordinal,
+       CAST(CASE WHEN coalesce(s.run_bytes, 0) > 400000 THEN floor((r.ordinal - 1) / 2) ELSE 0 END AS BIGINT) AS chunk
+FROM read_mates r
+LEFT JOIN (SELECT regexp_extract(path, '/(SRR[0-9]+)[^/]*$', 1) AS run_id, sum(size) AS run_bytes
+           FROM objects GROUP BY 1) s ON s.run_id = r.run_id""", "read_mates", "objects")
+
+ORACLE["fasta_scan"] = with_ctes("""
+SELECT c.contig, t.tile, t.tile * 100 AS start, substring(c.seq, CAST(t.tile * 100 + 1 AS INTEGER), 120) AS seq
+FROM contigs c JOIN (SELECT CAST(range AS BIGINT) AS tile FROM range(0, 3)) t ON t.tile * 100 < length(c.seq)""",
+                                 "contigs")
+
+ORACLE["fasta_index"] = with_ctes("""
+SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS linewidth FROM contigs""", "contigs")
