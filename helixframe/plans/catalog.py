@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 
 from helixframe import standins as S
 from helixframe.operators import manifest as M
+from helixframe.functions.rank import global_rank
+from helixframe.operators import align as A
 from helixframe.operators import export as X
 from helixframe.operators import reads as RD
 from helixframe.operators import reconcile as R
 from helixframe.operators import resume as P
+from helixframe.operators import variants as V
 from helixframe.session import staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources import fasta as FA
@@ -289,6 +292,122 @@ def q_fasta_index(spark, sf):
     return RD.fasta_index(located).select("contig", "length", "linebases", "linewidth")
 
 
+# ---------------------------------------------------------------- alignment
+
+K, MAX_OCC, MAX_MM = 15, 4, 4
+ATILE, ATILE_OVERLAP = 100, 80
+REF_NAME = "ctg"
+
+
+def _tiles(spark, sf):
+    return A.tiles_from_contigs(S.standin(spark, sf, "contigs"), ATILE, ATILE_OVERLAP, reference=REF_NAME)
+
+
+def _alignments(spark, sf):
+    reads = S.standin(spark, sf, "reads")
+    return A.align_reads(reads, _tiles(spark, sf), K, MAX_OCC, MAX_MM, ATILE)
+
+
+def q_kmer_index(spark, sf):
+    idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
+    return idx.groupBy("contig_idx").agg(F.count("*").alias("n_kmers"), F.sum("pos").alias("sum_pos"))
+
+
+def q_map_reads(spark, sf):
+    reads = S.standin(spark, sf, "reads").select("read_id", "seq")
+    idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
+    return A.map_reads(reads, idx, K).select("read_id", "contig_idx", "start", "strand", "votes", "second_votes", "mapq")
+
+
+def q_verify_hits(spark, sf):
+    a = _alignments(spark, sf)
+    correct = ((F.col("contig_idx") == F.col("true_contig_idx")) & (F.col("pos") == F.col("true_pos"))
+               & (F.col("strand") == F.col("true_strand")))
+    return a.select("read_id", "contig_idx", "pos", "strand", "flag", "cigar", "nm", "mapq",
+                    F.coalesce(correct, F.lit(False)).alias("correct"))
+
+
+
+
+def q_sorted_alignments(spark, sf):
+    """A4: the position of every row in the range-partitioned, sorted output."""
+    srt = A.sort_alignments(_alignments(spark, sf)).withColumn("_mid", F.monotonically_increasing_id())
+    return global_rank(srt, ["_mid"], "sort_rank").select("read_id", "sort_rank", "contig_idx", "pos")
+
+
+def q_merged_runs(spark, sf):
+    m = A.merge_runs(_alignments(spark, sf))
+    return m.groupBy("sample_id", "reference").agg(
+        F.count("*").alias("n_reads"), F.count_distinct("read_group").alias("n_read_groups"),
+        F.count("pos").alias("n_mapped"), F.min("pos").alias("min_pos"), F.max("pos").alias("max_pos"))
+
+
+def q_regions(spark, sf):
+    t = A.tile_regions(_alignments(spark, sf).where(F.col("pos").isNotNull()), 50)
+    return t.groupBy("contig_idx", "region").agg(F.count("*").alias("n_reads"))
+
+
+def q_window_index(spark, sf):
+    return A.index_alignments(_alignments(spark, sf), 64).select(
+        "contig_idx", "window", "n_reads", "min_pos", "max_pos", "max_end")
+
+
+def q_region_query(spark, sf):
+    a = _alignments(spark, sf)
+    idx = A.index_alignments(a, 64)
+    return A.query_region(a, idx, "ctg3", 100, 130, 64).select("read_id", "pos")
+
+
+def _regions_of_interest(spark, sf):
+    c = S.standin(spark, sf, "contigs")
+    a = c.select("contig", F.lit(110).cast("long").alias("start"), F.lit(130).cast("long").alias("end"))
+    b = c.select("contig", F.lit(200).cast("long").alias("start"), F.length("seq").cast("long").alias("end"))
+    return a.unionByName(b)
+
+
+def q_overlap(spark, sf):
+    a = (_alignments(spark, sf).where(F.col("pos").isNotNull())
+         .select("read_id", "contig", F.col("pos").alias("start"), (F.col("pos") + F.length("seq") - 1).alias("end")))
+    j = A.overlap_join(a, _regions_of_interest(spark, sf), bin_size=32)
+    return j.select(F.col("l_read_id").alias("read_id"), F.col("r_contig").alias("contig"),
+                    F.col("r_start").alias("region_start"), F.col("r_end").alias("region_end"))
+
+
+# ---------------------------------------------------------------- variants
+
+MIN_DEPTH = 4
+
+
+def q_pileup(spark, sf):
+    return V.pileup(_alignments(spark, sf)).select(
+        "sample_id", "contig_idx", "pos", "ref", "base", "n", "n_fwd", "n_rev", "qual_sum")
+
+
+def _calls(spark, sf):
+    return V.call_genotypes(V.pileup(_alignments(spark, sf)), MIN_DEPTH)
+
+
+def q_genotypes(spark, sf):
+    return _calls(spark, sf).select("sample_id", "contig", "pos", "ref", "alt", "depth", "ref_count", "alt_count", "genotype")
+
+
+def _written_vcf(spark, sf):
+    out = staging_dir(spark, "vcf")
+    V.write_vcf(_calls(spark, sf), out)
+    return out
+
+
+def q_vcf_roundtrip(spark, sf):
+    rows = V.scan_vcf(spark, _written_vcf(spark, sf))
+    return rows.select(F.col("call_name").alias("sample_id"), F.col("chrom").alias("contig"), "pos", "ref",
+                       F.element_at("alts", 1).alias("alt"), F.col("gt").alias("genotype"), F.col("dp").alias("depth"))
+
+
+def q_variants_flat(spark, sf):
+    v = V.variants_table(V.scan_vcf(spark, _written_vcf(spark, sf)))
+    return V.flatten_variants(v)
+
+
 QUERIES = {
     "manifest_scan": q_manifest_scan,
     "manifest_required": q_manifest_required,
@@ -321,4 +440,17 @@ QUERIES = {
     "read_chunks": q_read_chunks,
     "fasta_scan": q_fasta_scan,
     "fasta_index": q_fasta_index,
+    "kmer_index": q_kmer_index,
+    "map_reads": q_map_reads,
+    "verify_hits": q_verify_hits,
+    "sorted_alignments": q_sorted_alignments,
+    "merged_runs": q_merged_runs,
+    "regions": q_regions,
+    "window_index": q_window_index,
+    "region_query": q_region_query,
+    "overlap": q_overlap,
+    "pileup": q_pileup,
+    "genotypes": q_genotypes,
+    "vcf_roundtrip": q_vcf_roundtrip,
+    "variants_flat": q_variants_flat,
 }

@@ -286,3 +286,123 @@ FROM contigs c JOIN (SELECT CAST(range AS BIGINT) AS tile FROM range(0, 3)) t ON
 
 ORACLE["fasta_index"] = with_ctes("""
 SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS linewidth FROM contigs""", "contigs")
+
+
+def _align(body: str) -> str:
+    """Seed-and-vote mapping and ungapped verification over whole contigs
+    (k = 15, max_occ = 4, max_mm = 4), string k-mers instead of codes."""
+    return with_ctes("", "contigs", "reads").rstrip() + """,
+ck AS (
+  SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer
+  FROM (SELECT contig_idx, seq, unnest(range(0, length(seq) - 14)) AS pos FROM contigs) x),
+idx AS (
+  SELECT contig_idx, pos, kmer FROM ck
+  WHERE regexp_full_match(kmer, '[ACGT]{15}')
+    AND kmer IN (SELECT kmer FROM ck WHERE regexp_full_match(kmer, '[ACGT]{15}') GROUP BY kmer HAVING count(*) <= 4)),
+rk AS (
+  SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer
+  FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14)) AS j
+        FROM (SELECT read_id, 0 AS strand, seq AS s FROM reads
+              UNION ALL SELECT read_id, 1 AS strand, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads) b) x
+  WHERE regexp_full_match(substring(s, CAST(j + 1 AS INTEGER), 15), '[ACGT]{15}')),
+votes AS (
+  SELECT rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j AS start, count(*) AS votes
+  FROM rk JOIN idx ON rk.kmer = idx.kmer GROUP BY rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j),
+vagg AS (
+  SELECT read_id, max(votes) AS votes, coalesce(list_sort(list(votes), 'DESC')[2], 0) AS second_votes
+  FROM votes GROUP BY read_id),
+pick AS (
+  SELECT read_id, contig_idx, start, strand FROM (
+    SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY votes DESC, contig_idx, start, strand) AS rn FROM votes) v
+  WHERE rn = 1),
+hits AS (
+  SELECT p.read_id, p.contig_idx, p.start, p.strand, a.votes, a.second_votes,
+         CAST(floor(60 * (a.votes - a.second_votes) / a.votes) AS INTEGER) AS mapq
+  FROM pick p JOIN vagg a ON a.read_id = p.read_id),
+al0 AS (
+  SELECT r.read_id, r.run_id, r.sample_id, r.true_contig_idx, r.true_pos, r.true_strand,
+         h.contig_idx AS hc, h.start, h.strand AS hs, h.mapq AS hmapq, c.contig AS hcontig, length(c.seq) AS clen,
+         CASE WHEN h.strand = 1 THEN reverse(translate(r.seq, 'ACGT', 'TGCA')) ELSE r.seq END AS aseq,
+         CASE WHEN h.strand = 1 THEN reverse(r.qual) ELSE r.qual END AS aqual,
+         substring(c.seq, CAST(h.start + 1 AS INTEGER), length(r.seq)) AS refseq
+  FROM reads r LEFT JOIN hits h ON h.read_id = r.read_id LEFT JOIN contigs c ON c.contig_idx = h.contig_idx),
+al1 AS (
+  SELECT *, (start >= 0 AND start + length(aseq) <= clen AND length(refseq) = length(aseq)
+             AND hamming(aseq, refseq) <= 4) AS ok
+  FROM al0),
+aln AS (
+  SELECT read_id, run_id, sample_id, true_contig_idx, true_pos, true_strand, 'ctg' AS reference,
+         CASE WHEN ok THEN hc END AS contig_idx, CASE WHEN ok THEN hcontig END AS contig,
+         CASE WHEN ok THEN CAST(start + 1 AS BIGINT) END AS pos, CASE WHEN ok THEN hs END AS strand,
+         CASE WHEN ok THEN (CASE WHEN hs = 1 THEN 16 ELSE 0 END) ELSE 4 END AS flag,
+         CASE WHEN ok THEN concat(CAST(length(aseq) AS VARCHAR), 'M') END AS cigar,
+         CASE WHEN ok THEN hmapq ELSE 0 END AS mapq,
+         CASE WHEN ok THEN hamming(aseq, refseq) END AS nm,
+         aseq AS seq, aqual AS qual, CASE WHEN ok THEN refseq END AS ref_seq
+  FROM al1)
+""" + body
+
+
+ORACLE["kmer_index"] = _align("SELECT contig_idx, count(*) AS n_kmers, sum(pos) AS sum_pos FROM idx GROUP BY contig_idx")
+ORACLE["map_reads"] = _align("SELECT read_id, contig_idx, start, strand, votes, second_votes, mapq FROM hits")
+ORACLE["verify_hits"] = _align("""
+SELECT read_id, contig_idx, pos, strand, flag, cigar, nm, mapq,
+       coalesce(contig_idx = true_contig_idx AND pos = true_pos AND strand = true_strand, false) AS correct
+FROM aln""")
+ORACLE["sorted_alignments"] = _align("""
+SELECT read_id, row_number() OVER (ORDER BY reference, contig_idx NULLS LAST, pos NULLS LAST, strand NULLS FIRST, read_id)
+       AS sort_rank, contig_idx, pos FROM aln""")
+ORACLE["merged_runs"] = _align("""
+SELECT sample_id, reference, count(*) AS n_reads, count(DISTINCT run_id) AS n_read_groups, count(pos) AS n_mapped,
+       min(pos) AS min_pos, max(pos) AS max_pos FROM aln GROUP BY sample_id, reference""")
+ORACLE["regions"] = _align("""
+SELECT contig_idx, CAST(floor((pos - 1) / 50) AS BIGINT) AS region, count(*) AS n_reads
+FROM aln WHERE pos IS NOT NULL GROUP BY ALL""")
+ORACLE["window_index"] = _align("""
+SELECT contig_idx, CAST(floor((pos - 1) / 64) AS BIGINT) AS window, count(*) AS n_reads, min(pos) AS min_pos,
+       max(pos) AS max_pos, max(pos + length(seq) - 1) AS max_end
+FROM aln WHERE pos IS NOT NULL GROUP BY ALL""")
+ORACLE["region_query"] = _align("""
+SELECT read_id, pos FROM aln WHERE contig = 'ctg3' AND pos <= 130 AND pos + length(seq) - 1 >= 100""")
+ORACLE["overlap"] = _align("""
+SELECT a.read_id, r.contig, r.region_start, r.region_end
+FROM aln a JOIN (SELECT contig, CAST(110 AS BIGINT) AS region_start, CAST(130 AS BIGINT) AS region_end FROM contigs
+                 UNION ALL
+                 SELECT contig, CAST(200 AS BIGINT), CAST(length(seq) AS BIGINT) FROM contigs) r
+  ON a.contig = r.contig AND a.pos <= r.region_end AND r.region_start <= a.pos + length(a.seq) - 1
+WHERE a.pos IS NOT NULL""")
+
+_PILEUP = """,
+pu0 AS (
+  SELECT sample_id, contig_idx, contig, pos + i - 1 AS p, strand,
+         substring(ref_seq, CAST(i AS INTEGER), 1) AS ref, substring(seq, CAST(i AS INTEGER), 1) AS base,
+         ascii(substring(qual, CAST(i AS INTEGER), 1)) - 33 AS q
+  FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM aln WHERE pos IS NOT NULL) x),
+pu AS (
+  SELECT sample_id, contig_idx, contig, p AS pos, ref, base, count(*) AS n,
+         count(*) FILTER (WHERE strand = 0) AS n_fwd, count(*) FILTER (WHERE strand = 1) AS n_rev, sum(q) AS qual_sum
+  FROM pu0 GROUP BY ALL),
+site AS (
+  SELECT sample_id, contig_idx, contig, pos, min(ref) AS ref, sum(n) AS depth,
+         sum(CASE WHEN base = ref THEN n ELSE 0 END) AS ref_count,
+         arg_min(base, (-n, base)) FILTER (WHERE base <> ref) AS alt,
+         coalesce(max(n) FILTER (WHERE base <> ref), 0) AS alt_count
+  FROM pu GROUP BY sample_id, contig_idx, contig, pos),
+calls AS (
+  SELECT *, CASE WHEN depth < 4 THEN './.' WHEN 10 * alt_count >= 8 * depth THEN '1/1'
+                 WHEN 10 * alt_count >= 2 * depth THEN '0/1' ELSE '0/0' END AS genotype
+  FROM site WHERE alt_count > 0)
+"""
+
+ORACLE["pileup"] = _align(_PILEUP + """
+SELECT sample_id, contig_idx, pos, ref, base, n, n_fwd, n_rev, qual_sum FROM pu""")
+ORACLE["genotypes"] = _align(_PILEUP + """
+SELECT sample_id, contig, pos, ref, alt, depth, ref_count, alt_count, genotype FROM calls""")
+ORACLE["vcf_roundtrip"] = _align(_PILEUP + """
+SELECT sample_id, contig, pos, ref, alt, genotype, CAST(depth AS INTEGER) AS depth FROM calls""")
+ORACLE["variants_flat"] = _align(_PILEUP + """
+SELECT contig AS reference_name, pos - 1 AS start, pos - 1 + length(ref) AS "end", ref AS reference_bases, alt,
+       sample_id AS call_set_name,
+       concat_ws('/', CASE WHEN genotype LIKE '1%' THEN '1' WHEN genotype LIKE '.%' THEN '-1' ELSE '0' END,
+                      CASE WHEN genotype LIKE '%1' THEN '1' WHEN genotype LIKE '%.' THEN '-1' ELSE '0' END) AS genotype
+FROM calls""")
