@@ -18,6 +18,8 @@ from helixframe.operators import reads as RD
 from helixframe.operators import reconcile as R
 from helixframe.operators import resume as P
 from helixframe.operators import variants as V
+from helixframe.plans import jobs as J
+from helixframe.streaming.manifest_stream import start_manifest_stream
 from helixframe.session import staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources import fasta as FA
@@ -408,6 +410,51 @@ def q_variants_flat(spark, sf):
     return V.flatten_variants(v)
 
 
+# ---------------------------------------------------------------- jobs and streams
+
+
+def _job_config(spark, tag):
+    return J.JobConfig(output_root=staging_dir(spark, tag), known_platforms=KNOWN_PLATFORMS, references=[REF_NAME],
+                       fastq_root=SRC_ROOT, k=K, max_occ=MAX_OCC, max_mm=MAX_MM, tile=ATILE, tile_overlap=ATILE_OVERLAP,
+                       min_depth=MIN_DEPTH, with_variant_calling=True, with_export=True, sample_buckets=8,
+                       run_ts="run-0001")
+
+
+def _job_inputs(spark, sf):
+    return J.JobInputs(manifest=S.standin(spark, sf, "manifest").withColumnRenamed("n", "manifest_row"),
+                       objects=S.standin(spark, sf, "objects"), reads=S.standin(spark, sf, "reads"),
+                       tiles=_tiles(spark, sf))
+
+
+def q_job_completion(spark, sf):
+    """The whole job over the stand-ins (reconcile, align, sort, merge,
+    index, call, VCF, export), then the completion report of its outputs."""
+    cfg = _job_config(spark, "job")
+    J.run_job(spark, cfg, _job_inputs(spark, sf), stop_after="variants")
+    return J.finalise(spark, cfg, "completion").select(
+        "sample_id", "reference", F.col("n_runs").cast("bigint").alias("n_runs"),
+        F.col("n_aligned").cast("bigint").alias("n_aligned"), F.col("n_sorted").cast("bigint").alias("n_sorted"),
+        F.col("merged").cast("boolean").alias("merged"), F.col("indexed").cast("boolean").alias("indexed"),
+        F.col("called").cast("boolean").alias("called"), F.col("complete").cast("boolean").alias("complete"))
+
+
+def q_manifest_stream(spark, sf):
+    """Streaming reconciliation: manifests dropped as files, processed by an
+    availableNow stream, statuses read back from the idempotent sink."""
+    m = S.standin(spark, sf, "manifest")
+    drop = staging_dir(spark, "manifest-drop")
+    cols = [F.col("run_id").alias("Run"), F.col("sample_id").alias("SRA_Sample"), F.col("study_id").alias("SRA_Study"),
+            F.col("layout").alias("LibraryLayout"), F.col("platform").alias("Platform"),
+            F.col("center_name").alias("Center_Name")]
+    m.where(F.col("n") % 3 == 0).select(*cols).write.option("header", True).csv(f"{drop}/a")
+    m.where(F.col("n") % 3 != 0).select(*cols).write.option("header", True).option("sep", "\t").csv(f"{drop}/b")
+    out = staging_dir(spark, "manifest-stream-out")
+    q = start_manifest_stream(spark, f"{drop}/*", S.standin(spark, sf, "objects"), KNOWN_PLATFORMS, SRC_ROOT, out,
+                              checkpoint=staging_dir(spark, "manifest-stream-ckpt"))
+    q.awaitTermination()
+    return _status_cols(spark.read.parquet(out))
+
+
 QUERIES = {
     "manifest_scan": q_manifest_scan,
     "manifest_required": q_manifest_required,
@@ -453,4 +500,6 @@ QUERIES = {
     "genotypes": q_genotypes,
     "vcf_roundtrip": q_vcf_roundtrip,
     "variants_flat": q_variants_flat,
+    "job_completion": q_job_completion,
+    "manifest_stream": q_manifest_stream,
 }

@@ -406,3 +406,5 @@ SELECT contig AS reference_name, pos - 1 AS start, pos - 1 + length(ref) AS "end
        concat_ws('/', CASE WHEN genotype LIKE '1%' THEN '1' WHEN genotype LIKE '.%' THEN '-1' ELSE '0' END,
                       CASE WHEN genotype LIKE '%1' THEN '1' WHEN genotype LIKE '%.' THEN '-1' ELSE '0' END) AS genotype
 FROM calls""")
+
+ORACLE["manifest_stream"] = ORACLE["run_status"]
