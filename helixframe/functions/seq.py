@@ -12,11 +12,23 @@ def revcomp(col) -> Column:
     return F.reverse(F.translate(c, "ACGT", "TGCA"))
 
 
-def kmer_code(col) -> Column:
-    """A k-mer over ACGT (k <= 31) as an exact BIGINT, 2 bits per base.
+def kmer_code(col, k: int = 15) -> Column:
+    """A k-mer over ACGT as an exact BIGINT key.
 
-    Joining on a long instead of a string keeps the k-mer join in fixed-width
-    codegen'd rows.  Callers drop k-mers with other letters first.
+    For k <= 18 the digits 0-3 read as a decimal number (injective because all
+    k-mers have the same length, and a plain string→long cast); up to k = 31
+    the base-4 value via ``conv``.  Joining on a long instead of a string keeps
+    the k-mer join in fixed-width codegen'd rows.  Callers drop k-mers with
+    other letters first.
     """
     c = F.col(col) if isinstance(col, str) else col
-    return F.conv(F.translate(c, "ACGT", "0123"), 4, 10).cast("bigint")
+    digits = F.translate(c, "ACGT", "0123")
+    if k <= 18:
+        return digits.cast("bigint")
+    return F.conv(digits, 4, 10).cast("bigint")
+
+
+def acgt_only(col) -> Column:
+    """True when the sequence has only A, C, G, T."""
+    c = F.col(col) if isinstance(col, str) else col
+    return c.rlike("^[ACGT]*$")

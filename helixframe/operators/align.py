@@ -18,10 +18,11 @@ their table-level re-aim with its own contract:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from helixframe.functions.seq import kmer_code, revcomp
+from helixframe.functions.partitioning import spread
+from helixframe.functions.seq import acgt_only, kmer_code, revcomp
 
 UNMAPPED_FLAG, REVERSE_FLAG = 4, 16
 WINDOW = 16384
@@ -46,34 +47,44 @@ def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 655
     """A1: (reference, kmer code, contig_idx, pos) for every non-repetitive k-mer."""
     ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
     own = F.least(F.lit(tile), F.length("seq") - k + 1)
-    km = (tiles.select(ref.alias("reference"), "contig_idx", "start", "seq",
+    km = (spread(tiles).select(ref.alias("reference"), "contig_idx", "start", "seq", acgt_only("seq").alias("_clean"),
                        F.explode(F.sequence(F.lit(0), own - 1)).alias("i"))
           .where(F.col("i") >= 0)
-          .select("reference", "contig_idx", (F.col("start") + F.col("i")).alias("pos"),
+          .select("reference", "contig_idx", "_clean", (F.col("start") + F.col("i")).alias("pos"),
                   F.expr(f"substring(seq, i + 1, {k})").alias("kmer"))
-          .where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
-          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer")).alias("code")))
-    # Repeat filter: count per k-mer with map-side partial aggregation, keep the rare ones.
-    rare = km.groupBy("reference", "code").agg(F.count("*").alias("_n")).where(F.col("_n") <= max_occ)
-    return km.join(rare.select("reference", "code"), ["reference", "code"], "left_semi")
-
-
-def read_kmers(reads: DataFrame, k: int = 15, stride: int = 1) -> DataFrame:
-    """Both strands of each read cut into k-mers (every ``stride``-th offset)."""
-    both = reads.select("read_id", F.explode(F.array(
+          # the per-k-mer check runs only for tiles with other letters (N runs)
+          .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
+          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code")))
+    # Repeat filter: occurrences per k-mer as a window over the code partitioning,
+    # which is the same exchange (and sort) the seed join needs, so the index is
+    # shuffled once.  Codes over max_occ (poly-A and other repeats) are dropped.
+    occ = F.count("*").over(Window.partitionBy("reference", "code"))
+    return km.withColumn("_occ", occ).where(F.col("_occ") <= max_occ).drop("_occ")
+
+
+def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None) -> DataFrame:
+    """Both strands of each read cut into seed k-mers at offsets 0, stride, 2·stride, …
+    (default stride = k: non-overlapping seeds)."""
+    stride = stride or k
+    both = spread(reads).select("read_id", F.explode(F.array(
         F.struct(F.lit(0).alias("strand"), F.col("seq").alias("s")),
         F.struct(F.lit(1).alias("strand"), revcomp(F.col("seq")).alias("s")))).alias("x"))
     both = both.select("read_id", F.col("x.strand").alias("strand"), F.col("x.s").alias("s"))
-    km = (both.select("read_id", "strand", "s",
+    km = (both.select("read_id", "strand", "s", acgt_only("s").alias("_clean"),
                       F.explode(F.sequence(F.lit(0), F.length("s") - k, F.lit(stride))).alias("j"))
-          .select("read_id", "strand", "j", F.expr(f"substring(s, j + 1, {k})").alias("kmer"))
-          .where(F.col("kmer").rlike(f"^[ACGT]{{{k}}}$")))
-    return km.select("read_id", "strand", "j", kmer_code(F.col("kmer")).alias("code"))
+          .select("read_id", "strand", "j", "_clean", F.expr(f"substring(s, j + 1, {k})").alias("kmer"))
+          .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$")))
+    return km.select("read_id", "strand", "j", kmer_code(F.col("kmer"), k).alias("code"))
 
 
-def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int = 1) -> DataFrame:
+def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None) -> DataFrame:
     """A2: best (reference, contig, start, strand) per read and reference.
 
+    Seeds: the read's k-mers at offsets 0, stride, … on both strands (default
+    stride = k, non-overlapping), looked up in an index of *every* reference
+    k-mer, so each exact seed votes for the true diagonal.  Probe volume is
+    what grows with the read data, hence the sparse seeds.
+
     ``reads`` needs read_id and seq.  Returns read_id, reference, contig_idx,
     start (0-based), strand, votes, second_votes, mapq.  The seed join is an
     equi-join on a BIGINT code; repetitive codes were removed by the index, so
@@ -81,7 +92,7 @@ def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int = 1)
     2 · (read length − k + 1) · max_occ.
     """
     km = read_kmers(reads, k, stride)
-    hits = km.join(index, "code")
+    hits = km.join(index.hint("merge"), "code")
     votes = (hits.groupBy("read_id", "reference", "contig_idx", "strand", (F.col("pos") - F.col("j")).alias("start"))
              .agg(F.count("*").alias("votes")))
     best = votes.groupBy("read_id", "reference").agg(
@@ -136,7 +147,7 @@ def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int
 
 
 def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4,
-                tile: int = 65536, stride: int = 1) -> DataFrame:
+                tile: int = 65536, stride: int | None = None) -> DataFrame:
     """A1-A3 together.  Reads without any hit still come out (unmapped)."""
     ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
     idx = kmer_index(tiles, k, max_occ, tile)

@@ -290,7 +290,8 @@ SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS lin
 
 def _align(body: str) -> str:
     """Seed-and-vote mapping and ungapped verification over whole contigs
-    (k = 15, max_occ = 4, max_mm = 4), string k-mers instead of codes."""
+    (k = 15, read seeds every 15 bases, max_occ = 4, max_mm = 4), string
+    k-mers instead of codes."""
     return with_ctes("", "contigs", "reads").rstrip() + """,
 ck AS (
   SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer
@@ -301,7 +302,7 @@ idx AS (
     AND kmer IN (SELECT kmer FROM ck WHERE regexp_full_match(kmer, '[ACGT]{15}') GROUP BY kmer HAVING count(*) <= 4)),
 rk AS (
   SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer
-  FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14)) AS j
+  FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14, 15)) AS j
         FROM (SELECT read_id, 0 AS strand, seq AS s FROM reads
               UNION ALL SELECT read_id, 1 AS strand, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads) b) x
   WHERE regexp_full_match(substring(s, CAST(j + 1 AS INTEGER), 15), '[ACGT]{15}')),

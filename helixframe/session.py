@@ -17,6 +17,11 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # Static size estimates after explode / Python sources are guesses, so the
+    # planner never broadcasts on them; AQE broadcasts a side only once its
+    # shuffle output has been measured below the adaptive threshold.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
 }
 
 
