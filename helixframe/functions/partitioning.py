@@ -6,15 +6,12 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame, factor: int = 2) -> DataFrame:
-    """Round-robin ``df`` over ``factor`` × the cluster's cores when it has fewer
-    partitions than cores.
+    """Round-robin ``df`` over ``factor`` × the cluster's cores.
 
-    Used right before a large fan-out (k-mers of tiles or reads, bases of
-    alignments): the rows are few and small *before* the explode, so moving
-    them is cheap, while exploding inside one or two input partitions would
-    leave every other core idle.  Inputs already split wider are untouched.
+    For the one place where a few small rows fan out into very many: reference
+    tiles (a 65 kb tile becomes 65 k index rows).  Moving the tiles costs a
+    fraction of the index they produce, and keeps a reference held in a few
+    files from being exploded by a few tasks.  (The partition count is not
+    inspected: under adaptive execution that would run the upstream stages.)
     """
-    target = df.sparkSession.sparkContext.defaultParallelism * factor
-    if df.rdd.getNumPartitions() >= df.sparkSession.sparkContext.defaultParallelism:
-        return df
-    return df.repartition(target)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism * factor)

@@ -11,17 +11,23 @@ from pyspark.sql import SparkSession
 # skewed join partitions and coalesces small shuffle partitions.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Skewed join partitions (a hot sample, directory or k-mer) are split at run time.
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.localShuffleReader.enabled": "true",
+    # Stages here are CPU-bound after large fan-outs (k-mers, bases): merging
+    # shuffle partitions by byte size before the fan-out starves cores, so the
+    # partition count stays what spark.sql.shuffle.partitions says (size it to
+    # the data on a cluster).
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # Static size estimates after explode / Python sources are guesses, so the
-    # planner never broadcasts on them; AQE broadcasts a side only once its
-    # shuffle output has been measured below the adaptive threshold.
+    # No implicit broadcasts: static estimates after explode / Python sources
+    # are guesses, and measured-size broadcasts of mid-size tables cost more
+    # than they save here.  Broadcasts are explicit and only on data with a
+    # known bound (literal lists, one-row aggregates, per-range tables sized
+    # from the file listing, lookups counted first).
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
 }
 
 
