@@ -147,14 +147,17 @@ def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int
 
 
 def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4,
-                tile: int = 65536, stride: int | None = None) -> DataFrame:
-    """A1-A3 together.  Reads without any hit still come out (unmapped)."""
-    ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
+                tile: int = 65536, stride: int | None = None, references: list[str] | None = None) -> DataFrame:
+    """A1-A3 together.  Reads without any hit still come out (unmapped), once per
+    reference (``references`` defaults to the names present in ``tiles``)."""
+    if references is None:
+        if "reference" in tiles.columns:
+            references = sorted({r.reference for r in tiles.select("reference").distinct().collect()})
+        else:
+            references = ["ref"]
     idx = kmer_index(tiles, k, max_occ, tile)
     hits = map_reads(reads.select("read_id", "seq"), idx, k, stride)
-    refs = tiles.select(ref.alias("reference")).distinct()
-    # Every read gets a row per reference (mapped or not): the reference list is small.
-    per_ref = reads.select("read_id").crossJoin(F.broadcast(refs))
+    per_ref = reads.select("read_id", F.explode(F.array(*[F.lit(r) for r in references])).alias("reference"))
     hits = per_ref.join(hits, ["read_id", "reference"], "left")
     return verify_hits(hits, reads, tiles, max_mm, tile)
 

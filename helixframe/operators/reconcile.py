@@ -55,9 +55,9 @@ def parse_objects(objects: DataFrame) -> DataFrame:
             .withColumn("suffix", mate_suffix(F.col("name"))))
 
 
-def _run_lengths(keys: DataFrame) -> DataFrame:
-    # Exactly one row: safe to broadcast whatever the manifest size.
-    return keys.agg(F.min(F.length("run_id")).alias("_lo"), F.max(F.length("run_id")).alias("_hi"))
+def _run_length_bounds(keys: DataFrame) -> tuple[Column, Column]:
+    """Shortest and longest run id as scalar sub-queries (one aggregate row each)."""
+    return (keys.select(F.min(F.length("run_id"))).scalar(), keys.select(F.max(F.length("run_id"))).scalar())
 
 
 def match_run_files(keys: DataFrame, objects: DataFrame, mode: str = "prefix") -> DataFrame:
@@ -72,9 +72,9 @@ def match_run_files(keys: DataFrame, objects: DataFrame, mode: str = "prefix") -
         token = F.regexp_extract(F.col("name"), r"^([^_.]*)", 1)
         cand = obj.select(F.col("dir").alias("_d"), token.alias("_p"), "path", "name", "suffix")
     elif mode == "prefix":
-        lens = F.broadcast(_run_lengths(keys))
-        exp = (obj.crossJoin(lens)
-               .select("path", "name", "suffix", "_lo", "_hi", F.explode(ancestor_dirs(F.col("path"))).alias("_d")))
+        lo, hi = _run_length_bounds(keys)
+        exp = obj.select("path", "name", "suffix", lo.alias("_lo"), hi.alias("_hi"),
+                         F.explode(ancestor_dirs(F.col("path"))).alias("_d"))
         rel_len = F.length("path") - F.length("_d")
         exp = exp.where(rel_len >= F.col("_lo"))
         exp = exp.select("path", "name", "suffix", "_d",

@@ -307,7 +307,7 @@ def _tiles(spark, sf):
 
 def _alignments(spark, sf):
     reads = S.standin(spark, sf, "reads")
-    return A.align_reads(reads, _tiles(spark, sf), K, MAX_OCC, MAX_MM, ATILE)
+    return A.align_reads(reads, _tiles(spark, sf), K, MAX_OCC, MAX_MM, ATILE, references=[REF_NAME])
 
 
 def q_kmer_index(spark, sf):
@@ -386,7 +386,13 @@ def q_pileup(spark, sf):
 
 
 def _calls(spark, sf):
-    return V.call_genotypes(V.pileup(_alignments(spark, sf)), MIN_DEPTH)
+    return V.call_variants(_alignments(spark, sf), MIN_DEPTH)
+
+
+def q_genotypes_pileup(spark, sf):
+    """V2 through the full pileup (same answer as ``genotypes``)."""
+    return V.call_genotypes(V.pileup(_alignments(spark, sf)), MIN_DEPTH).select(
+        "sample_id", "contig", "pos", "ref", "alt", "depth", "ref_count", "alt_count", "genotype")
 
 
 def q_genotypes(spark, sf):
@@ -498,6 +504,7 @@ QUERIES = {
     "overlap": q_overlap,
     "pileup": q_pileup,
     "genotypes": q_genotypes,
+    "genotypes_pileup": q_genotypes_pileup,
     "vcf_roundtrip": q_vcf_roundtrip,
     "variants_flat": q_variants_flat,
     "job_completion": q_job_completion,

@@ -409,3 +409,4 @@ SELECT contig AS reference_name, pos - 1 AS start, pos - 1 + length(ref) AS "end
 FROM calls""")
 
 ORACLE["manifest_stream"] = ORACLE["run_status"]
+ORACLE["genotypes_pileup"] = ORACLE["genotypes"]

@@ -49,13 +49,15 @@ WITH m AS (
          concat('fastq/SRP', CAST(o.o_custkey % 25 + 100000 AS STRING), '/SRS', CAST(o.o_custkey + 100000 AS STRING), '/') AS dir,
          CASE WHEN o.o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS n_expected
   FROM {orders} o),
-mates AS (SELECT 1 AS mate UNION ALL SELECT 2 UNION ALL SELECT 3)
-SELECT concat(m.dir, 'SRR', CAST(m.n + 1000000 + CASE WHEN m.n % 30 = 3 AND mates.mate = 2 THEN 1 ELSE 0 END AS STRING),
-              CASE WHEN m.n % 50 = 0 THEN '' ELSE concat('_', CAST(mates.mate AS STRING)) END, '.fastq') AS path,
-       CAST(floor(m.price) AS BIGINT) AS size
-FROM m CROSS JOIN mates
-WHERE (mates.mate <= m.n_expected AND NOT (m.n % 11 = 0 AND mates.mate = m.n_expected) AND NOT (m.n % 50 = 0 AND mates.mate = 2))
-   OR (mates.mate = 3 AND m.n % 13 = 0 AND m.n % 50 <> 0)
+mm AS (SELECT n, price, dir, n_expected, 1 AS mate FROM m
+       UNION ALL SELECT n, price, dir, n_expected, 2 AS mate FROM m
+       UNION ALL SELECT n, price, dir, n_expected, 3 AS mate FROM m)
+SELECT concat(mm.dir, 'SRR', CAST(mm.n + 1000000 + CASE WHEN mm.n % 30 = 3 AND mm.mate = 2 THEN 1 ELSE 0 END AS STRING),
+              CASE WHEN mm.n % 50 = 0 THEN '' ELSE concat('_', CAST(mm.mate AS STRING)) END, '.fastq') AS path,
+       CAST(floor(mm.price) AS BIGINT) AS size
+FROM mm
+WHERE (mm.mate <= mm.n_expected AND NOT (mm.n % 11 = 0 AND mm.mate = mm.n_expected) AND NOT (mm.n % 50 = 0 AND mm.mate = 2))
+   OR (mm.mate = 3 AND mm.n % 13 = 0 AND mm.n % 50 <> 0)
 """
 
 # One 256-base contig per part, the whole part table.
@@ -103,18 +105,19 @@ WITH m AS (
   SELECT o_orderkey AS n, CASE WHEN o_orderkey % 3 = 0 THEN 2 ELSE 1 END AS n_mates,
          o_orderkey % 4 + 1 AS k
   FROM {orders}),
-mates AS (SELECT 1 AS mate UNION ALL SELECT 2),
-ords AS (SELECT 1 AS ordinal UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4)
-SELECT concat('SRR', CAST(m.n + 1000000 AS STRING)) AS run_id,
-       mates.mate AS mate, CAST(ords.ordinal AS BIGINT) AS ordinal,
-       concat('SRR', CAST(m.n + 1000000 AS STRING), '.', CAST(ords.ordinal AS STRING)) AS name,
-       translate(substring(md5(concat(CAST(m.n AS STRING), '/', CAST(mates.mate AS STRING), '/', CAST(ords.ordinal AS STRING))), 1, 24),
+mm AS (SELECT n, n_mates, k, 1 AS mate FROM m UNION ALL SELECT n, n_mates, k, 2 AS mate FROM m),
+mo AS (SELECT n, n_mates, k, mate, 1 AS ordinal FROM mm UNION ALL SELECT n, n_mates, k, mate, 2 AS ordinal FROM mm
+       UNION ALL SELECT n, n_mates, k, mate, 3 AS ordinal FROM mm UNION ALL SELECT n, n_mates, k, mate, 4 AS ordinal FROM mm)
+SELECT concat('SRR', CAST(mo.n + 1000000 AS STRING)) AS run_id,
+       mo.mate AS mate, CAST(mo.ordinal AS BIGINT) AS ordinal,
+       concat('SRR', CAST(mo.n + 1000000 AS STRING), '.', CAST(mo.ordinal AS STRING)) AS name,
+       translate(substring(md5(concat(CAST(mo.n AS STRING), '/', CAST(mo.mate AS STRING), '/', CAST(mo.ordinal AS STRING))), 1, 24),
                  '0123456789abcdef', 'ACGTACGTACGTACGT') AS seq,
-       translate(substring(md5(concat('q', CAST(m.n AS STRING), '/', CAST(mates.mate AS STRING), '/', CAST(ords.ordinal AS STRING))), 1, 24),
+       translate(substring(md5(concat('q', CAST(mo.n AS STRING), '/', CAST(mo.mate AS STRING), '/', CAST(mo.ordinal AS STRING))), 1, 24),
                  '0123456789abcdef', '56789:;<=>?@ABCD') AS qual
-FROM m CROSS JOIN mates CROSS JOIN ords
-WHERE mates.mate <= m.n_mates AND ords.ordinal <= m.k
-  AND NOT (m.n % 11 = 0 AND mates.mate = 2 AND ords.ordinal = m.k)
+FROM mo
+WHERE mo.mate <= mo.n_mates AND mo.ordinal <= mo.k
+  AND NOT (mo.n % 11 = 0 AND mo.mate = 2 AND mo.ordinal = mo.k)
 """
 
 # What exists per stage, for the resume queries.  The reference name is 'ctg'.
