@@ -20,7 +20,7 @@ from helixframe.operators import resume as P
 from helixframe.operators import variants as V
 from helixframe.plans import jobs as J
 from helixframe.streaming.manifest_stream import start_manifest_stream
-from helixframe.session import staging_dir
+from helixframe.session import cut_lineage, staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources import fasta as FA
 from helixframe.sources import fastq as FQ
@@ -310,6 +310,13 @@ def _alignments(spark, sf):
     return A.align_reads(reads, _tiles(spark, sf), K, MAX_OCC, MAX_MM, ATILE, references=[REF_NAME])
 
 
+def _alignments_table(spark, sf):
+    """The alignments materialised once (reliable checkpoint in the shared
+    folder), as the job's written stage table is, for queries that read them
+    in more than one branch."""
+    return cut_lineage(_alignments(spark, sf))
+
+
 def q_kmer_index(spark, sf):
     idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
     return idx.groupBy("contig_idx").agg(F.count("*").alias("n_kmers"), F.sum("pos").alias("sum_pos"))
@@ -355,7 +362,7 @@ def q_window_index(spark, sf):
 
 
 def q_region_query(spark, sf):
-    a = _alignments(spark, sf)
+    a = _alignments_table(spark, sf)
     idx = A.index_alignments(a, 64)
     return A.query_region(a, idx, "ctg3", 100, 130, 64).select("read_id", "pos")
 
@@ -386,7 +393,7 @@ def q_pileup(spark, sf):
 
 
 def _calls(spark, sf):
-    return V.call_variants(_alignments(spark, sf), MIN_DEPTH)
+    return V.call_variants(_alignments_table(spark, sf), MIN_DEPTH)
 
 
 def q_genotypes_pileup(spark, sf):

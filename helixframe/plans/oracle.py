@@ -288,11 +288,7 @@ ORACLE["fasta_index"] = with_ctes("""
 SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS linewidth FROM contigs""", "contigs")
 
 
-def _align(body: str) -> str:
-    """Seed-and-vote mapping and ungapped verification over whole contigs
-    (k = 15, read seeds every 15 bases, max_occ = 4, max_mm = 4), string
-    k-mers instead of codes."""
-    return with_ctes("", "contigs", "reads").rstrip() + """,
+_ALIGN_CTES = """,
 ck AS (
   SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer
   FROM (SELECT contig_idx, seq, unnest(range(0, length(seq) - 14)) AS pos FROM contigs) x),
@@ -341,7 +337,14 @@ aln AS (
          CASE WHEN ok THEN hamming(aseq, refseq) END AS nm,
          aseq AS seq, aqual AS qual, CASE WHEN ok THEN refseq END AS ref_seq
   FROM al1)
-""" + body
+"""
+
+
+def _align(body: str) -> str:
+    """Seed-and-vote mapping and ungapped verification over whole contigs
+    (k = 15, read seeds every 15 bases, max_occ = 4, max_mm = 4), string
+    k-mers instead of codes."""
+    return with_ctes("", "contigs", "reads").rstrip() + _ALIGN_CTES + body
 
 
 ORACLE["kmer_index"] = _align("SELECT contig_idx, count(*) AS n_kmers, sum(pos) AS sum_pos FROM idx GROUP BY contig_idx")
@@ -410,3 +413,18 @@ FROM calls""")
 
 ORACLE["manifest_stream"] = ORACLE["run_status"]
 ORACLE["genotypes_pileup"] = ORACLE["genotypes"]
+
+
+# J1-J4 over the stand-ins: valid runs' reads aligned and called; completion of the outputs.
+_JOB_ALIGN = _ALIGN_CTES.replace(
+    "FROM reads r LEFT JOIN hits h ON h.read_id = r.read_id",
+    "FROM (SELECT * FROM reads WHERE run_id IN (SELECT run_id FROM status WHERE status = 'valid')) r "
+    "LEFT JOIN hits h ON h.read_id = r.read_id")
+ORACLE["job_completion"] = (with_ctes("", "manifest", "objects", "contigs", "reads").rstrip() + _recon_ctes()
+                            + _JOB_ALIGN + _PILEUP + """,
+vr AS (SELECT sample_id, count(*) AS n_runs FROM status WHERE status = 'valid' GROUP BY sample_id)
+SELECT vr.sample_id, 'ctg' AS reference, vr.n_runs, vr.n_runs AS n_aligned, vr.n_runs AS n_sorted,
+       true AS merged, true AS indexed,
+       EXISTS (SELECT 1 FROM calls c WHERE c.sample_id = vr.sample_id) AS called,
+       EXISTS (SELECT 1 FROM calls c WHERE c.sample_id = vr.sample_id) AS complete
+FROM vr""")
