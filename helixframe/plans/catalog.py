@@ -20,7 +20,7 @@ from helixframe.operators import resume as P
 from helixframe.operators import variants as V
 from helixframe.plans import jobs as J
 from helixframe.streaming.manifest_stream import start_manifest_stream
-from helixframe.session import cut_lineage, staging_dir
+from helixframe.session import apply_sql_defaults, cut_lineage, staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources import fasta as FA
 from helixframe.sources import fastq as FQ
@@ -468,6 +468,17 @@ def q_manifest_stream(spark, sf):
     return _status_cols(spark.read.parquet(out))
 
 
+def _with_defaults(fn):
+    """Queries run in whatever session the caller built: apply the SQL settings
+    the plans rely on (explicit broadcasts only, fixed partition counts) first."""
+    def run(spark, sf):
+        apply_sql_defaults(spark)
+        return fn(spark, sf)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES = {
     "manifest_scan": q_manifest_scan,
     "manifest_required": q_manifest_required,
@@ -517,3 +528,4 @@ QUERIES = {
     "job_completion": q_job_completion,
     "manifest_stream": q_manifest_stream,
 }
+QUERIES = {name: _with_defaults(fn) for name, fn in QUERIES.items()}

@@ -31,6 +31,14 @@ _DEFAULTS = {
 }
 
 
+def apply_sql_defaults(spark: SparkSession) -> None:
+    """Apply the runtime-settable ``spark.sql.*`` defaults above to an existing
+    session (one built elsewhere, e.g. by a scheduler)."""
+    for k, v in _DEFAULTS.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "helixframe", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)
