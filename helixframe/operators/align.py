@@ -18,7 +18,7 @@ their table-level re-aim with its own contract:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from helixframe.functions.partitioning import spread
@@ -55,11 +55,11 @@ def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 655
           # the per-k-mer check runs only for tiles with other letters (N runs)
           .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
           .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code")))
-    # Repeat filter: occurrences per k-mer as a window over the code partitioning,
-    # which is the same exchange (and sort) the seed join needs, so the index is
-    # shuffled once.  Codes over max_occ (poly-A and other repeats) are dropped.
-    occ = F.count("*").over(Window.partitionBy("reference", "code"))
-    return km.withColumn("_occ", occ).where(F.col("_occ") <= max_occ).drop("_occ")
+    # Repeat filter: occurrences per k-mer with map-side partial aggregation (a
+    # satellite k-mer seen millions of times is one row per map task before the
+    # shuffle), then a semi join; a skewed semi-join partition is split by AQE.
+    rare = km.groupBy("reference", "code").agg(F.count("*").alias("_n")).where(F.col("_n") <= max_occ)
+    return km.join(rare.select("reference", "code").hint("merge"), ["reference", "code"], "left_semi")
 
 
 def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None) -> DataFrame:
@@ -178,11 +178,18 @@ def merge_runs(aln: DataFrame) -> DataFrame:
     return aln.withColumn("read_group", F.col("run_id"))
 
 
-def write_merged(aln: DataFrame, path: str, sample_buckets: int = 64) -> None:
+def write_merged(aln: DataFrame, path: str, sample_buckets: int = 64, num_partitions: int | None = None) -> None:
     """Write merged, sorted alignments partitioned by reference and a sample
-    bucket (not one directory per run or sample: small files)."""
+    bucket (not one directory per run or sample: small files).
+
+    Range-partitioned on (reference, bucket, coordinates), so each task writes
+    one contiguous, coordinate-sorted slice of one or two bucket directories
+    instead of a file into every bucket."""
     out = merge_runs(aln).withColumn("sample_bucket", F.abs(F.xxhash64("sample_id")) % sample_buckets)
-    (sort_alignments(out).write.mode("overwrite")
+    keys = ["reference", "sample_bucket", F.col("contig_idx").asc_nulls_last(), F.col("pos").asc_nulls_last(),
+            "strand", "read_id"]
+    parted = out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
+    (parted.sortWithinPartitions(*keys).write.mode("overwrite")
      .partitionBy("reference", "sample_bucket").parquet(path))
 
 

@@ -90,7 +90,7 @@ def test_vcf_round_trip(spark, tmp_path):
         "depth long, ref_count long, alt_count long, genotype string")
     V.write_vcf(calls, str(tmp_path / "vcf"))
     files = list((tmp_path / "vcf").rglob("part-*"))
-    assert len(files) == 2
+    assert len(files) == 2 and all("contig=c0" in str(f) for f in files)
     first = files[0].read_text().splitlines()
     assert first[0] == "##fileformat=VCFv4.2" and first[1].startswith("#CHROM")
     rows = V.scan_vcf(spark, str(tmp_path / "vcf"))
