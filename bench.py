@@ -35,7 +35,7 @@ def main() -> None:
     sel = os.environ.get("BENCH_QUERIES", "")
     names = list(catalog.QUERIES) if sel == "all" else ([s for s in sel.split(",") if s] or HEADLINE)
     spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus),
-                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "6g")})
+                          extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "4g")})
     # Warm-up on the smallest scale factor next to the bench one (JIT, Python
     # workers), outside the timings.
     warm_dir = os.path.join(os.path.dirname(sf_dir), "sf0.001")
