@@ -31,12 +31,18 @@ _DEFAULTS = {
 }
 
 
+# The settings a session built elsewhere must carry for these plans to be safe:
+# no broadcast of a guessed size, adaptive skew splitting on.  Partition sizing
+# (shuffle partitions, coalescing) stays the session owner's choice.
+_REQUIRED = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+             "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def apply_sql_defaults(spark: SparkSession) -> None:
-    """Apply the runtime-settable ``spark.sql.*`` defaults above to an existing
-    session (one built elsewhere, e.g. by a scheduler)."""
-    for k, v in _DEFAULTS.items():
-        if k.startswith("spark.sql."):
-            spark.conf.set(k, v)
+    """Apply the plan-safety settings to an existing session (one built
+    elsewhere, e.g. by a scheduler)."""
+    for k in _REQUIRED:
+        spark.conf.set(k, _DEFAULTS[k])
 
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
