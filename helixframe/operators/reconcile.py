@@ -18,7 +18,8 @@ The prefix test is not limited to whole tokens (run ``SRR12`` also takes
 token of files directly in the directory instead.
 
 Scale: matching is an equi-join on (directory, run id).  Each object is expanded
-over its ancestor directories and the run-id lengths present in the manifest,
+over its ancestor directories and the distinct run-id lengths present in the
+manifest (a scalar array sub-query),
 so no directory is ever joined against itself pairwise.  Counts are partial
 aggregates; file lists are only gathered for keys whose count equals the
 expected count, so every gathered list is bounded by the layout's file count.
@@ -55,9 +56,10 @@ def parse_objects(objects: DataFrame) -> DataFrame:
             .withColumn("suffix", mate_suffix(F.col("name"))))
 
 
-def _run_length_bounds(keys: DataFrame) -> tuple[Column, Column]:
-    """Shortest and longest run id as scalar sub-queries (one aggregate row each)."""
-    return (keys.select(F.min(F.length("run_id"))).scalar(), keys.select(F.max(F.length("run_id"))).scalar())
+def _run_lengths(keys: DataFrame) -> Column:
+    """The distinct run-id lengths present, as a scalar sub-query (one sorted
+    array; at most as many entries as the longest run id has characters)."""
+    return keys.select(F.sort_array(F.collect_set(F.length("run_id")))).scalar()
 
 
 def match_run_files(keys: DataFrame, objects: DataFrame, mode: str = "prefix") -> DataFrame:
@@ -72,13 +74,12 @@ def match_run_files(keys: DataFrame, objects: DataFrame, mode: str = "prefix") -
         token = F.regexp_extract(F.col("name"), r"^([^_.]*)", 1)
         cand = obj.select(F.col("dir").alias("_d"), token.alias("_p"), "path", "name", "suffix")
     elif mode == "prefix":
-        lo, hi = _run_length_bounds(keys)
-        exp = obj.select("path", "name", "suffix", lo.alias("_lo"), hi.alias("_hi"),
+        exp = obj.select("path", "name", "suffix", _run_lengths(keys).alias("_lens"),
                          F.explode(ancestor_dirs(F.col("path"))).alias("_d"))
         rel_len = F.length("path") - F.length("_d")
-        exp = exp.where(rel_len >= F.col("_lo"))
+        # only the lengths some run id really has, and that fit under this ancestor
         exp = exp.select("path", "name", "suffix", "_d",
-                         F.explode(F.sequence(F.col("_lo"), F.least(F.col("_hi"), rel_len))).alias("_len"))
+                         F.explode(F.filter("_lens", lambda n: n <= rel_len)).alias("_len"))
         cand = exp.select("_d", F.expr("substring(path, length(_d) + 1, _len)").alias("_p"), "path", "name", "suffix")
     else:
         raise ValueError(f"unknown match mode {mode!r}")

@@ -111,3 +111,10 @@ def test_conservation_and_no_cartesian(spark):
     assert sum(counts.values()) == spark.read.parquet(f"{SF}/orders.parquet").count()
     plan = c._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_run_ids_of_different_lengths_share_a_directory(spark):
+    res = classify(spark, [("AB", "S1", "SINGLE", "ILLUMINA"), ("ABCDE", "S1", "SINGLE", "ILLUMINA")],
+                   ["fastq/P/S1/AB_1.fastq", "fastq/P/S1/ABCDE_1.fastq"])
+    assert res[0].comment == "Wrong files number for runId (0/1)" and res[0].n_found == 2
+    assert res[1].status == "valid" and names(res[1]) == ["ABCDE_1.fastq"]
