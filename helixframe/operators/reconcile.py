@@ -99,6 +99,22 @@ def platform_gate(df: DataFrame, known_platforms: Sequence[str]) -> Column:
     return F.coalesce(F.col("platform").isin(list(known_platforms)), F.lit(False))
 
 
+def count_check(matched: DataFrame) -> DataFrame:
+    """Objects found per (dir, run_id) key and how many lack a numeric mate
+    suffix (partial aggregation: a hot key is pre-aggregated per map task)."""
+    return matched.groupBy("dir", "run_id").agg(
+        F.count("*").alias("_found"), F.count_if(F.col("suffix").isNull()).alias("_bad"))
+
+
+def order_mates(matched: DataFrame, keys: DataFrame) -> DataFrame:
+    """The found objects of ``keys`` ordered by integer mate suffix, ties in
+    name order.  Only called for keys whose found count equals the expected
+    count, so each gathered list is bounded by the layout's file count."""
+    return (matched.join(keys.select("dir", "run_id").distinct(), ["dir", "run_id"], "left_semi")
+            .groupBy("dir", "run_id")
+            .agg(F.sort_array(F.collect_list(F.struct("suffix", "path", "name"))).alias("_sorted")))
+
+
 def classify_runs(manifest: DataFrame, objects: DataFrame, known_platforms: Sequence[str],
                   mode: str = "prefix", repair: bool = False, root: str = "") -> DataFrame:
     """One status row per manifest row.
@@ -112,15 +128,12 @@ def classify_runs(manifest: DataFrame, objects: DataFrame, known_platforms: Sequ
     keys = m.where(active).select("dir", "run_id")
     matched = match_run_files(keys, objects, mode)
 
-    counts = matched.groupBy("dir", "run_id").agg(
-        F.count("*").alias("_found"), F.count_if(F.col("suffix").isNull()).alias("_bad"))
+    counts = count_check(matched)
     st = m.join(counts, ["dir", "run_id"], "left").withColumn(
         "n_found", F.when(active, F.coalesce("_found", F.lit(0))).cast("int"))
 
-    ok_keys = st.where(active & (F.col("n_found") == F.col("n_expected"))).select("dir", "run_id").distinct()
-    ordered = (matched.join(ok_keys, ["dir", "run_id"], "left_semi")
-               .groupBy("dir", "run_id")
-               .agg(F.sort_array(F.collect_list(F.struct("suffix", "path", "name"))).alias("_sorted")))
+    ok_keys = st.where(active & (F.col("n_found") == F.col("n_expected"))).select("dir", "run_id")
+    ordered = order_mates(matched, ok_keys)
     st = st.join(ordered, ["dir", "run_id"], "left")
     found_files = F.transform("_sorted", lambda x: F.struct(_uri(root, x["path"]).alias("uri"), x["name"].alias("name")))
 
