@@ -77,7 +77,8 @@ def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None) -> Data
     return km.select("read_id", "strand", "j", kmer_code(F.col("kmer"), k).alias("code"))
 
 
-def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None) -> DataFrame:
+def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None,
+              references: list[str] | None = None) -> DataFrame:
     """A2: best (reference, contig, start, strand) per read and reference.
 
     Seeds: the read's k-mers at offsets 0, stride, … on both strands (default
@@ -92,7 +93,13 @@ def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | Non
     2 · (read length − k + 1) · max_occ.
     """
     km = read_kmers(reads, k, stride)
-    hits = km.join(index.hint("merge"), "code")
+    if references:
+        # Seeds keyed by (reference, code): the join then reuses the index's own
+        # partitioning and order from the repeat filter (no second index shuffle).
+        km = km.withColumn("reference", F.explode(F.array(*[F.lit(r) for r in references])))
+        hits = km.join(index.hint("merge"), ["reference", "code"])
+    else:
+        hits = km.join(index.hint("merge"), "code")
     votes = (hits.groupBy("read_id", "reference", "contig_idx", "strand", (F.col("pos") - F.col("j")).alias("start"))
              .agg(F.count("*").alias("votes")))
     best = votes.groupBy("read_id", "reference").agg(
@@ -156,7 +163,7 @@ def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int =
         else:
             references = ["ref"]
     idx = kmer_index(tiles, k, max_occ, tile)
-    hits = map_reads(reads.select("read_id", "seq"), idx, k, stride)
+    hits = map_reads(reads.select("read_id", "seq"), idx, k, stride, references)
     per_ref = reads.select("read_id", F.explode(F.array(*[F.lit(r) for r in references])).alias("reference"))
     hits = per_ref.join(hits, ["read_id", "reference"], "left")
     return verify_hits(hits, reads, tiles, max_mm, tile)

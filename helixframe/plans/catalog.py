@@ -325,7 +325,8 @@ def q_kmer_index(spark, sf):
 def q_map_reads(spark, sf):
     reads = S.standin(spark, sf, "reads").select("read_id", "seq")
     idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
-    return A.map_reads(reads, idx, K).select("read_id", "contig_idx", "start", "strand", "votes", "second_votes", "mapq")
+    return A.map_reads(reads, idx, K, references=[REF_NAME]).select(
+        "read_id", "contig_idx", "start", "strand", "votes", "second_votes", "mapq")
 
 
 def q_verify_hits(spark, sf):
