@@ -2,7 +2,7 @@
 
 Offline, every vocabulary string is encoded alone; those that come back as the one id they stand for are
 proven whole tokens. A text is cut into pre-tokens; proven ones count one without any merging, and only
-the others go through the tokenizer. The count of a text needs no other row, so there is no shuffle.
+the others are merged by the tokenizer. The count of a text needs no other row, so there is no shuffle.
 """
 
 from __future__ import annotations
@@ -10,19 +10,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-import public_tokenizers
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.llm import tokenizer as tk
 
-PRE_TOKEN = regex.compile(public_tokenizers.PATTERN)
-# Up to here (Latin, Greek, Cyrillic) this pattern and the library know the same letters, digits and blanks.
-# Chunks with characters beyond are not cut further: the library's tables and ours may differ in age.
-AGREED = regex.compile("[\x00-\u0523]*")
-
 
 def whole_tokens(path: str = tk.BYTE_BPE) -> frozenset[str]:
     """Vocabulary strings that, encoded alone, are one pre-token and one token: themselves.
@@ -36,48 +29,31 @@ def whole_tokens(path: str = tk.BYTE_BPE) -> frozenset[str]:
     texts = tokenizer.decode_batch([[i] for i in ids], skip_special_tokens=False)
     found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
     return frozenset(t for i, t, e in zip(ids, texts, found, strict=True)
-                     if e.ids == [i] and "�" not in t and PRE_TOKEN.findall(t) == [t])
+                     if e.ids == [i] and "�" not in t and tk.pre_tokens(t, path) == [t])
 
 
 class Counter:
-    """Counts tokens of texts; merged pre-tokens are remembered up to ``limit`` entries."""
-
-    def __init__(self, whole: frozenset[str], path: str = tk.BYTE_BPE, limit: int = tk.CACHE_CHUNKS):
-        self.whole, self.tokenizer, self.limit = whole, tk.load(path), limit
-        self.path = path
-        self.merged: dict[str, int] = {}
-
-    def _plain(self, text: str) -> list[str]:
-        """Chunks and pre-tokens that together are ``text``: chunks that are whole tokens stay, others are cut."""
-        out = []
-        for chunk in tk.CHUNK.findall(text):
-            if chunk in self.whole or chunk in self.merged or not AGREED.fullmatch(chunk):
-                out.append(chunk)
-            else:
-                out.extend(PRE_TOKEN.findall(chunk))
-        return out
-
-    def count(self, texts: list[str]) -> list[tuple[int, int]]:
-        """Per text: tokens, and how many of them were counted directly."""
-        if len(self.merged) > self.limit:
-            self.merged.clear()
-        odd = [tk.whole_only(t, self.path) for t in texts]
-        split = [[] if o else self._plain(t) for t, o in zip(texts, odd, strict=True)]
-        whole, merged = self.whole, self.merged
-        rest = list({p for parts in split for p in parts if p not in whole and p not in merged})
-        for at in range(0, len(rest), 8192):
-            part = rest[at:at + 8192]
-            for piece, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                merged[piece] = len(found.ids)
-        out = []
-        for text, o, parts in zip(texts, odd, split, strict=True):
-            if o:
-                out.append((len(self.tokenizer.encode(text, add_special_tokens=False).ids), 0))
-            else:
-                other = [merged[p] for p in parts if p not in whole]
-                direct = len(parts) - len(other)
-                out.append((direct + sum(other), direct))
-        return out
+    """Counts tokens of texts: proven whole tokens count one, other pre-tokens what they merge to."""
+
+    def __init__(self, whole: frozenset[str], path: str = tk.BYTE_BPE, limit: int = tk.CACHED):
+        self.whole, self.path = whole, path
+        self.merge = tk.Merger(len, dict.fromkeys(whole, 1), path, limit)
+
+    def count(self, text: str) -> tuple[int, int]:
+        """Tokens, and how many of them were counted directly."""
+        pieces = tk.pre_tokens(text, self.path)
+        return sum(self.merge(pieces)), sum(map(self.whole.__contains__, pieces))
+
+
+_OF_WORKER: dict[tuple, Counter] = {}
+
+
+def worker_counter(whole: frozenset[str], path: str) -> Counter:
+    """The counter that the tasks of one Python worker share, with what it remembers."""
+    if (path, len(whole)) not in _OF_WORKER:
+        _OF_WORKER.clear()
+        _OF_WORKER[path, len(whole)] = Counter(whole, path)
+    return _OF_WORKER[path, len(whole)]
 
 
 def count_tokens(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",), limit: int = 512,
@@ -100,12 +76,10 @@ def count_tokens(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
     shared = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))  # bounded by the vocabulary
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counter = Counter(shared.value, path)
+        counter = worker_counter(shared.value, path)
         for batch in batches:
             texts = batch.pop("_text").tolist()
-            counted = []
-            for at in range(0, len(texts), 500):
-                counted.extend(counter.count(texts[at:at + 500]))
+            counted = [counter.count(t) for t in texts]
             batch["n_bytes"] = [len(t.encode()) for t in texts]
             batch["n_tokens"] = [n for n, _ in counted]
             batch["n_direct"] = [d for _, d in counted]
