@@ -1,10 +1,87 @@
-"""The corpus pipeline (its stages follow as their operators do)."""
+"""The corpus pipeline: five operators over the documents, each on what the one before it kept.
+
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; the caller writes it as Parquet and reads
+it again as the next stage's documents. All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from helixframe.llm import language_id, packing, quality_mcd, secret_scan, simhash_dedup
+from helixframe.llm.common import checked_broadcast, table, written
+from helixframe.session import staging_dir
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts without a letter (or null) and texts whose language is ambiguous.
+
+    An untrained model, as for an empty table or one without languages, rejects nothing that has a letter.
+    """
+    columns = docs.columns
+    model = language_id.fit(docs.where(language_id.learnable(docs["doc_id"])))
+    found = language_id.predict(docs, model)
+    sure = (F.col("lang_pred") != language_id.UNDETERMINED) & ~F.col("ambiguous") if model.languages else F.col("text").rlike(r"\p{L}")
+    return found.where(sure).select(*columns)
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops texts that fail the base rules or are outliers of their language and source."""
+    columns = docs.columns
+    slim = docs.select("text", "lang", "source")
+    estimates = quality_mcd.fit_groups(written(quality_mcd.with_statistics(slim).drop("text")))
+    judged = quality_mcd.judge(quality_mcd.with_statistics(docs), estimates)
+    return judged.where("kept").select(*columns)
+
+
+def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id stays (of repeated rows, one).
+
+    A null id cannot be the smallest one of a group; such a row is kept.
+    """
+    found = written(simhash_dedup.near_duplicates(docs))
+    others = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")))
+    kept = docs.join(checked_broadcast(others, 16), docs["doc_id"] == others["_other"], "left_anti")
+    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").take(1)
+    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+
+
+def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces every secret by its kind; other texts stay as they are, no document is dropped."""
+    columns = docs.columns
+    ledger = secret_scan.scan_pending(docs, path="doc_id")
+    found = secret_scan.attach(docs, ledger)
+    text = secret_scan.redact(F.col("text"), F.col("spans"))
+    return found.select(*[text.alias(c) if c == "text" else F.col(c) for c in columns])
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of 2048 tokens, with their ids."""
+    pieces = packing.pack(docs)
+    return pieces.select("*", F.crc32("ids").alias("ids_crc32"))
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language ID", identify_language),
+    ("quality rules", quality_rules),
+    ("SimHash near-dedup", simhash_near_duplicates),
+    ("secret scans", scan_secrets),
+    ("packing", pack),
+]
+
+# The tokenizer, the fitted classifier and the components have no SQL form: tests/llm holds the stages
+# against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each result written to the shared folder before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for i, (_, stage) in enumerate(STAGES):
+        at = staging_dir(spark, f"pipeline-{i}")
+        stage(spark, docs, sf_dir).write.parquet(at)
+        docs = spark.read.parquet(at)
+    return docs

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import itertools
 import math
-import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 UNDETERMINED = "und"
-LETTER = re.compile(r"[^\W\d_]")
 
 
 class Settings(NamedTuple):
@@ -46,6 +44,10 @@ class Model(NamedTuple):
 # ---------------------------------------------------------------- features
 
 
+def has_letter(text: str) -> bool:
+    return any(c.isalpha() for c in text)
+
+
 def buckets(data: np.ndarray, order: int, bits: int) -> np.ndarray:
     """The bucket of the n-gram that begins at each byte, for bytes with ``order - 1`` successors."""
     n = len(data) - order + 1
@@ -113,7 +115,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", settings: Setti
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for value, language in zip(batch["_text"], batch["_lang"], strict=True):
-                if not LETTER.search(value):
+                if not has_letter(value):
                     continue
                 total = sums.setdefault(language, np.zeros(size, np.int64))
                 data = lowered(value)
@@ -207,7 +209,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for batch in batches:
-            out = [(UNDETERMINED, 0.0, True) if value is None or not known.languages or not LETTER.search(value)
+            out = [(UNDETERMINED, 0.0, True) if value is None or not known.languages or not has_letter(value)
                    else decode(*margins(value, known), known) for value in batch]
             yield pd.DataFrame(out, columns=["lang_pred", "score", "ambiguous"])
 

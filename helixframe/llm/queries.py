@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import chat_format, language_id, token_count, url_filter
-from helixframe.llm.common import table
+from helixframe.llm import (chat_format, language_id, packing, quality_mcd, secret_scan, simhash_dedup, token_count,
+                            topk_nra, url_filter)
+from helixframe.llm.common import table, written
 
 
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,11 +21,45 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chat(messages))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = written(quality_mcd.with_statistics(docs).drop("text"))
+    judged = quality_mcd.judge(rows, quality_mcd.fit_groups(rows))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+                         "kept", "distance2")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
     return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
 
 
+def op4_topk_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_nra.top_k(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ledger = secret_scan.scan_pending(docs, path="doc_id")
+    found = secret_scan.attach(docs, ledger, keep=["doc_id"])
+    base = [k.name for k in secret_scan.BASE.kinds]
+    spans = F.col("spans")
+    n = {kind: F.size(F.filter(spans, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base}
+    return found.select(
+        "doc_id", *n.values(),
+        F.sha2(secret_scan.span_text(F.filter(spans, lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.span_text(spans).alias("spans"))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash_dedup.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op9_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"))
 
@@ -38,7 +73,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op2_quality_rules": op2_quality_rules,
     "op3_url_filter": op3_url_filter,
+    "op4_topk_nra": op4_topk_nra,
+    "op5_secret_scan": op5_secret_scan,
+    "op7_packing": op7_packing,
+    "op8_simhash": op8_simhash,
     "op9_token_count": op9_token_count,
     "op10_language_id": op10_language_id,
 }
@@ -90,7 +130,20 @@ SELECT page_id, host, path, n_strict, n_soft,
 FROM hits
 """
 
+_OP4 = """
+WITH rows AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM rows q JOIN rows c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
 ORACLE = {
     "op1_chat_format": _OP1,
     "op3_url_filter": _OP3,
+    "op4_topk_nra": _OP4,
 }
