@@ -89,13 +89,14 @@ def with_statistics(docs: DataFrame, text: str = "text", settings: Settings = Se
     value = F.coalesce(docs[text], F.lit(""))
     cut = docs.select(*kept, value.alias("_text_of"), F.array_remove(F.split(value, r"[\x20\x09-\x0D]+"), "").alias("_words"),
                       F.filter(F.split(value, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias("_lines"))
-    measured = cut.select(
-        *kept, F.size("_words").cast("long").alias("n_words"),
+    # The generator keeps the optimizer from repeating these measurements in every expression above them.
+    measured = cut.select(*kept, F.explode_outer(F.array(F.struct(
+        F.size("_words").cast("long").alias("n_words"),
         F.aggregate("_words", F.lit(0).cast("long"), lambda acc, w: acc + F.length(w)).alias("word_chars"),
         F.regexp_count("_text_of", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
         F.size("_lines").cast("long").alias("_n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
-        repeat_words(F.col("_words")).cast("long").alias("n_repeat_words"))
+        repeat_words(F.col("_words")).cast("long").alias("n_repeat_words")))).alias("_measured")).select(*kept, "_measured.*")
     n = F.greatest(F.col("n_words"), F.lit(1))
     return measured.select(
         *kept, *BASE_COLUMNS[:5],
