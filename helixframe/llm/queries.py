@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import (chat_format, language_id, packing, quality_mcd, secret_scan, simhash_dedup, token_count,
-                            topk_nra, url_filter)
+from helixframe.llm import (chat_format, language_id, packing, quality_mcd, secret_scan, sentencepiece_maxplus,
+                            simhash_dedup, token_count, topk_nra, url_filter)
 from helixframe.llm.common import table, written
 
 
@@ -44,13 +44,24 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.attach(docs, ledger, keep=["doc_id"])
     base = [k.name for k in secret_scan.BASE.kinds]
     spans = F.col("spans")
-    n = {kind: F.size(F.filter(spans, lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}") for kind in base}
+
+    def of(*kinds: str):
+        return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
     return found.select(
-        "doc_id", *n.values(),
-        F.sha2(secret_scan.span_text(F.filter(spans, lambda s: s["kind"].isin(base))).cast("binary"), 256).alias("base_sha256"),
+        "doc_id", *[F.size(of(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.span_text(of(*base)).cast("binary"), 256).alias("base_sha256"),
         secret_scan.span_text(spans).alias("spans"))
 
 
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row per chunk of every document: its tokens, and a checksum of what they decode to."""
+    found = sentencepiece_maxplus.encode_documents(table(spark, sf_dir, "documents"))
+    decoded = sentencepiece_maxplus.decode_chunks(found)
+    return decoded.select("doc_id", "chunk", "n_chunks", "n_chars", "n_tokens", F.crc32("ids").alias("ids_crc32"),
+                          F.octet_length("utf8").cast("long").alias("n_bytes"), F.crc32("utf8").alias("utf8_crc32"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(table(spark, sf_dir, "documents")))
 
@@ -77,6 +88,7 @@ QUERIES = {
     "op3_url_filter": op3_url_filter,
     "op4_topk_nra": op4_topk_nra,
     "op5_secret_scan": op5_secret_scan,
+    "op6_sentencepiece": op6_sentencepiece,
     "op7_packing": op7_packing,
     "op8_simhash": op8_simhash,
     "op9_token_count": op9_token_count,
