@@ -78,32 +78,30 @@ def validate_manifest(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
-def _as_key_frame(spark: SparkSession, values, col: str) -> DataFrame:
-    if isinstance(values, DataFrame):
-        return values.select(F.col(col)).distinct()
-    return spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(col, T.StringType())]))
+def filter_samples(df: DataFrame, include=None, skip=None) -> DataFrame:
+    """M4: keep samples in ``include`` (empty or None: all) and not in ``skip``; skip wins.
 
-
-def filter_samples(df: DataFrame, include=None, skip=None, inline_limit: int = 1000) -> DataFrame:
-    """M4: keep samples in ``include`` (empty/None = all) and not in ``skip``; skip wins.
-
-    Short Python lists become an ``IN`` predicate (pushed to the scan).  Longer
-    lists and DataFrames become semi / anti joins whose strategy AQE picks from
-    the list's real size.
+    Both may be a list, a comma-joined string or a DataFrame with ``sample_id``,
+    and mean the same in each form.  Lists are a parameter and become an ``IN``
+    predicate (pushed to the scan); DataFrames become semi and anti joins, whose
+    strategy adaptive execution picks from their measured size.
     """
-    spark = df.sparkSession
-    for values, how in ((include, "left_semi"), (skip, "left_anti")):
+    for values, keep in ((include, True), (skip, False)):
         if values is None:
             continue
-        if not isinstance(values, DataFrame):
-            values = [v.strip() for v in (values.split(",") if isinstance(values, str) else values) if v and v.strip()]
-            if not values:
-                continue
-            if len(values) <= inline_limit:
-                cond = F.col("sample_id").isin(values)
-                df = df.where(cond if how == "left_semi" else (~cond | F.col("sample_id").isNull()))
-                continue
-        df = df.join(_as_key_frame(spark, values, "sample_id"), "sample_id", how)
+        if isinstance(values, DataFrame):
+            names = values.select("sample_id").where(F.col("sample_id").isNotNull()).distinct()
+            if keep:
+                none_given = names.select(F.count(F.lit(1))).scalar() == 0
+                chosen = df.join(names.withColumn("_chosen", F.lit(True)), "sample_id", "left")
+                df = chosen.where(F.col("_chosen").isNotNull() | none_given).select(*df.columns)
+            else:
+                df = df.join(names, "sample_id", "left_anti")
+            continue
+        names = [v.strip() for v in (values.split(",") if isinstance(values, str) else values) if v and v.strip()]
+        if names:
+            listed = F.coalesce(F.col("sample_id").isin(names), F.lit(False))
+            df = df.where(listed if keep else ~listed)
     return df
 
 
@@ -167,7 +165,8 @@ def references_from_json(df: DataFrame, json_col: str = "json") -> DataFrame:
     """M9: a JSON array of {name, fastaUri, indexUri} per row → one row per reference."""
     parsed = df.withColumn("_refs", F.from_json(F.col(json_col), REFERENCE_SCHEMA))
     keep = [c for c in df.columns if c != json_col]
-    return (parsed.select(*keep, F.explode("_refs").alias("_r"))
+    # An unreadable document, or an empty one, is a row without a reference, not a lost one.
+    return (parsed.select(*keep, F.explode_outer("_refs").alias("_r"))
             .select(*keep, F.col("_r.name").alias("name"), F.col("_r.fastaUri").alias("fasta_uri"),
                     F.col("_r.indexUri").alias("index_uri")))
 

@@ -58,3 +58,34 @@ def test_group_by_sample_and_references(spark, tmp_path):
     refs = M.filter_references(M.references_from_json(js), ["b"]).collect()
     assert [(r.name, r.fasta_uri) for r in refs] == [("b", "gs://r/b.fa")]
     assert M.select_references(spark, ["x"], "gs://r/").first().index_uri == "gs://r/x/x.fa.fai"
+
+
+def test_wide_quoted_and_headerless_files(spark, tmp_path):
+    head = ",".join(f"c{i}" for i in range(140)) + ",Run,SRA_Sample,SRA_Study,LibraryLayout,Platform,c0"
+    row = ",".join('"a,""b"""' for _ in range(140)) + ",R1,S1,P1,PAIRED,ILLUMINA,again,extra"
+    (tmp_path / "wide.csv").write_text(f"{head}\n{row}\n")
+    (tmp_path / "bare.csv").write_text("R2,S1,P1,PAIRED,ILLUMINA\n")
+    scanned = scan_manifest(spark, str(tmp_path))
+    good, bad = M.validate_manifest(M.normalise_manifest(scanned))
+    r, = good.collect()
+    assert (r.run_id, r.layout) == ("R1", "PAIRED") and r.attrs["c139"] == 'a,"b"' and r.attrs["c0"] == 'a,"b"'
+    assert r.attrs["c0_146"] == "again" and r.attrs["_147"] == "extra"
+    assert [(b.raw, len(b.reasons)) for b in bad.collect()] == [("R2,S1,P1,PAIRED,ILLUMINA", 5)]
+
+
+def test_include_and_skip_mean_the_same_in_every_form(spark):
+    df = spark.createDataFrame([("R1", "a"), ("R2", "b"), ("R3", None)], "run_id string, sample_id string")
+
+    def frame(values):
+        return spark.createDataFrame([(v,) for v in values], "sample_id string")
+    for values in ([], ["a"], ["a", "b"], ["z"]):
+        for names in ("include", "skip"):
+            listed = sorted(r.run_id for r in M.filter_samples(df, **{names: values}).collect())
+            joined = sorted(r.run_id for r in M.filter_samples(df, **{names: frame(values)}).collect())
+            assert listed == joined, (names, values)
+    assert M.filter_samples(df, include=[]).count() == 3
+
+
+def test_an_unreadable_reference_document_is_kept(spark):
+    docs = spark.createDataFrame([(1, "not json"), (2, '[{"name":"x","fastaUri":"f","indexUri":"i"}]')], "doc int, json string")
+    assert {(r.doc, r.name) for r in M.references_from_json(docs).collect()} == {(1, None), (2, "x")}
