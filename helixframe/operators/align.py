@@ -4,14 +4,16 @@ region tiling, window index and interval overlap joins (A1-A8).
 The aligner, BAM and BAI bodies are outside the reference tree; this module is
 their table-level re-aim with its own contract:
 
-* A1 ``kmer_index``: every k-mer of the reference with its 0-based position;
-  k-mers seen more than ``max_occ`` times are dropped (the repeat filter that
-  keeps the seed join free of hot keys).
+* A1 ``kmer_index``: every k-mer of the reference with its 0-based position.
+  No position is dropped: those of a k-mer seen more than ``max_occ`` times are
+  kept under the longer seed that begins there, so that a read is placed by what
+  tells the copies apart and the seed join has no hot key for every repeat.
 * A2 ``map_reads``: both strands of each read are cut into k-mers and joined
-  to the index on the k-mer code; votes are counted per (read, reference,
+  to the index on the seed code; votes are counted per (read, reference,
   contig, strand, diagonal = ref_pos − read_offset); the best hit has the most
   votes, ties broken by contig, start, strand.  One result per read and
-  reference.  Mapping quality = 60 · (best − second) / best.
+  reference.  Mapping quality = 60 · (best − second) / best.  A read whose only
+  seeds are repeats too short to place is reported as ``repeat``, quality 0.
 * A3 ``verify_hits``: ungapped comparison with the reference tile; hits with
   more than ``max_mm`` mismatches or off the contig become unmapped.
 """
@@ -43,42 +45,65 @@ def tiles_from_contigs(contigs: DataFrame, tile: int = 65536, overlap: int = 102
     return t
 
 
-def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 65536) -> DataFrame:
-    """A1: (reference, kmer code, contig_idx, pos) for every non-repetitive k-mer."""
+LONG_K = 31
+
+
+def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 65536, long_k: int = LONG_K) -> DataFrame:
+    """A1: (reference, seed_len, code, contig_idx, pos) for every k-mer position.
+
+    ``seed_len`` is k, or ``long_k`` where the k-mer is frequent and the longer
+    seed fits.  A frequent k-mer also has one row without a position, by which a
+    read finds out that its seed is a repeat.
+    """
     ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
-    own = F.least(F.lit(tile), F.length("seq") - k + 1)
+    own = own_positions(tile, k)
     km = (spread(tiles).select(ref.alias("reference"), "contig_idx", "start", "seq", acgt_only("seq").alias("_clean"),
-                       F.explode(F.sequence(F.lit(0), own - 1)).alias("i"))
-          .where(F.col("i") >= 0)
+                       F.explode(F.sequence(F.lit(0), F.greatest(own - 1, F.lit(0)))).alias("i"))
+          .where(F.col("i") < own)
           .select("reference", "contig_idx", "_clean", (F.col("start") + F.col("i")).alias("pos"),
-                  F.expr(f"substring(seq, i + 1, {k})").alias("kmer"))
+                  F.expr(f"substring(seq, i + 1, {k})").alias("kmer"), F.expr(f"substring(seq, i + 1, {long_k})").alias("long_kmer"))
           # the per-k-mer check runs only for tiles with other letters (N runs)
           .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
-          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code")))
-    # Repeat filter: occurrences per k-mer with map-side partial aggregation (a
-    # satellite k-mer seen millions of times is one row per map task before the
-    # shuffle), then a semi join; a skewed semi-join partition is split by AQE.
-    rare = km.groupBy("reference", "code").agg(F.count("*").alias("_n")).where(F.col("_n") <= max_occ)
-    return km.join(rare.select("reference", "code").hint("merge"), ["reference", "code"], "left_semi")
-
-
-def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None) -> DataFrame:
+          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code"), "long_kmer"))
+    # Occurrences per k-mer with map-side partial aggregation: a satellite k-mer seen millions of times
+    # is one row per map task before the shuffle.
+    frequent = km.groupBy("reference", "code").agg(F.count("*").alias("_n")).where(F.col("_n") > max_occ).drop("_n")
+    marked = km.join(frequent.withColumn("_frequent", F.lit(True)), ["reference", "code"], "left")
+    use_long = F.col("_frequent").isNotNull() & F.col("long_kmer").rlike(f"^[ACGT]{{{long_k}}}$")
+    seeds = marked.select("reference", F.when(use_long, F.lit(long_k)).otherwise(F.lit(k)).alias("seed_len"),
+                          F.when(use_long, kmer_code(F.when(use_long, F.col("long_kmer")), long_k)).otherwise(F.col("code")).alias("code"),
+                          "contig_idx", "pos")
+    notes = frequent.select("reference", F.lit(k).alias("seed_len"), "code", F.lit(None).cast("long").alias("contig_idx"),
+                            F.lit(None).cast("long").alias("pos"))
+    return seeds.unionByName(notes)
+
+
+def own_positions(tile: int, k: int):
+    """k-mers that begin in a tile's own part (its overlap belongs to the next tile)."""
+    return F.least(F.lit(tile), F.length("seq") - k + 1)
+
+
+def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None, long_k: int = LONG_K) -> DataFrame:
     """Both strands of each read cut into seed k-mers at offsets 0, stride, 2·stride, …
-    (default stride = k: non-overlapping seeds)."""
+    (default stride = k: non-overlapping seeds), each also as the longer seed where
+    that fits.  A read shorter than k has no seed."""
     stride = stride or k
-    both = reads.select("read_id", F.explode(F.array(
+    both = reads.where(F.length("seq") >= k).select("read_id", F.explode(F.array(
         F.struct(F.lit(0).alias("strand"), F.col("seq").alias("s")),
         F.struct(F.lit(1).alias("strand"), revcomp(F.col("seq")).alias("s")))).alias("x"))
     both = both.select("read_id", F.col("x.strand").alias("strand"), F.col("x.s").alias("s"))
-    km = (both.select("read_id", "strand", "s", acgt_only("s").alias("_clean"),
-                      F.explode(F.sequence(F.lit(0), F.length("s") - k, F.lit(stride))).alias("j"))
-          .select("read_id", "strand", "j", "_clean", F.expr(f"substring(s, j + 1, {k})").alias("kmer"))
-          .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$")))
-    return km.select("read_id", "strand", "j", kmer_code(F.col("kmer"), k).alias("code"))
+    km = both.select("read_id", "strand", "s", F.explode(F.sequence(F.lit(0), F.length("s") - k, F.lit(stride))).alias("j"))
+
+    def seed(n: int):
+        text = F.expr(f"substring(s, j + 1, {n})")
+        fits = text.rlike(f"^[ACGT]{{{n}}}$")
+        return F.struct(F.lit(n).alias("seed_len"), F.when(fits, kmer_code(F.when(fits, text), n)).alias("code"))
+    return (km.select("read_id", "strand", "j", F.explode(F.array(seed(k), seed(long_k))).alias("x"))
+            .select("read_id", "strand", "j", "x.seed_len", "x.code").where(F.col("code").isNotNull()))
 
 
 def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None,
-              references: list[str] | None = None) -> DataFrame:
+              references: list[str] | None = None, long_k: int = LONG_K) -> DataFrame:
     """A2: best (reference, contig, start, strand) per read and reference.
 
     Seeds: the read's k-mers at offsets 0, stride, … on both strands (default
@@ -87,57 +112,102 @@ def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | Non
     what grows with the read data, hence the sparse seeds.
 
     ``reads`` needs read_id and seq.  Returns read_id, reference, contig_idx,
-    start (0-based), strand, votes, second_votes, mapq.  The seed join is an
-    equi-join on a BIGINT code; repetitive codes were removed by the index, so
-    no key is hot.  Candidate lists per read are bounded by
-    2 · (read length − k + 1) · max_occ.
+    start (0-based), strand, votes, second_votes, mapq, repeat.  The seed join is
+    an equi-join with plain shuffled sides, so a seed that is frequent even at
+    the longer length is split by adaptive execution.  A read that hits only
+    marks of frequent k-mers has no place, no votes and ``repeat`` set.
     """
-    km = read_kmers(reads, k, stride)
+    km = read_kmers(reads, k, stride, long_k)
+    keys = ["seed_len", "code"]
     if references:
-        # Seeds keyed by (reference, code): the join then reuses the index's own
-        # partitioning and order from the repeat filter (no second index shuffle).
         km = km.withColumn("reference", F.explode(F.array(*[F.lit(r) for r in references])))
-        hits = km.join(index.hint("merge"), ["reference", "code"])
-    else:
-        hits = km.join(index.hint("merge"), "code")
+        keys = ["reference", *keys]
+    hits = km.join(index, keys)
     votes = (hits.groupBy("read_id", "reference", "contig_idx", "strand", (F.col("pos") - F.col("j")).alias("start"))
              .agg(F.count("*").alias("votes")))
-    best = votes.groupBy("read_id", "reference").agg(
-        F.min(F.struct((-F.col("votes")).alias("nv"), "contig_idx", "start", "strand")).alias("b"),
-        F.slice(F.sort_array(F.collect_list("votes"), asc=False), 1, 2).alias("top2"))
-    second = F.coalesce(F.try_element_at(F.col("top2"), F.lit(2)), F.lit(0))
-    out = best.select("read_id", "reference", F.col("b.contig_idx").alias("contig_idx"), F.col("b.start").alias("start"),
-                      F.col("b.strand").alias("strand"), (-F.col("b.nv")).alias("votes"), second.alias("second_votes"))
-    return out.withColumn("mapq", F.floor(F.lit(60) * (F.col("votes") - F.col("second_votes")) / F.col("votes")).cast("int"))
+    placed = F.col("contig_idx").isNotNull()
+    hit = F.struct((-F.col("votes")).alias("nv"), "contig_idx", "start", "strand")
+    # The two greatest vote counts without a list of candidates: how many hits share the greatest, and the
+    # greatest below it.  Counts per (read, votes) first, so a read with very many candidates stays small.
+    by_votes = votes.groupBy("read_id", "reference", "votes").agg(
+        F.min(F.when(placed, hit)).alias("b"), F.count_if(placed).alias("n"))
+    best = by_votes.groupBy("read_id", "reference").agg(
+        F.min("b").alias("b"), F.max(F.when(F.col("n") > 0, F.struct("votes", "n"))).alias("top"),
+        F.slice(F.sort_array(F.collect_set(F.when(F.col("n") > 0, F.col("votes"))), asc=False), 1, 2).alias("most"))
+    second = F.when(F.col("top.n") > 1, F.col("top.votes")).otherwise(F.get("most", F.lit(1)))
+    out = best.select(
+        "read_id", "reference", F.col("b.contig_idx").alias("contig_idx"), F.col("b.start").alias("start"),
+        F.col("b.strand").alias("strand"), F.coalesce("top.votes", F.lit(0)).alias("votes"),
+        F.coalesce(second, F.lit(0)).alias("second_votes"), F.col("b").isNull().alias("repeat"))
+    quality = F.when(F.col("votes") > 0, F.floor(F.lit(60) * (F.col("votes") - F.col("second_votes")) / F.col("votes"))).otherwise(0)
+    return out.withColumn("mapq", quality.cast("int"))
+
+
+def _mismatches(a, b):
+    """Positions at which two strings of one length differ; each is cut into bases once."""
+    return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda differ: differ))
 
 
 def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int = 4,
                 tile: int = 65536) -> DataFrame:
-    """A3: ungapped check of each hit against the reference tile.
+    """A3: ungapped check of each hit against the reference.
 
     Returns one alignment row per read and reference: read_id, reference,
     contig_idx, contig, pos (1-based), strand, flag, cigar, mapq, nm, seq (as
     on the forward strand), qual, plus the read's other columns.  Reads with
     no hit, off-contig hits or more than ``max_mm`` mismatches are unmapped
     (flag 4, no position).
+
+    Hits get their reads first, and then go to the tiles, of which only the bases
+    under the read come back: no tile is moved per read.  A read of any length is
+    checked: one that runs over several tiles meets each of them.  Reads
+    without a hit stay out of the tile join.
     """
     ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
-    t = tiles.select(ref.alias("reference"), "contig_idx", "contig", "tile", F.col("start").alias("tile_start"),
-                     F.col("seq").alias("tile_seq"), "contig_len")
-    h = hits.withColumn("tile", F.floor(F.col("start") / tile).cast("long"))
-    j = h.join(t, ["reference", "contig_idx", "tile"], "left")
+    t = tiles.select(ref.alias("t_reference"), F.col("contig_idx").alias("t_contig"), "contig", F.col("tile").alias("t_tile"),
+                     F.col("start").alias("tile_start"), F.col("seq").alias("tile_seq"), "contig_len")
+    extra = [c for c in reads.columns if c not in ("read_id", "seq", "qual")]
     r = reads.withColumnRenamed("seq", "read_seq")
-    j = j.join(r, "read_id")
-    oriented = F.when(F.col("strand") == 1, revcomp(F.col("read_seq"))).otherwise(F.col("read_seq"))
-    j = j.withColumn("aseq", oriented)
-    j = j.withColumn("refseq", F.expr("substring(tile_seq, CAST(start - tile_start + 1 AS INT), length(aseq))"))
-    j = j.withColumn("nm", F.expr(
-        "aggregate(sequence(1, length(aseq)), 0, (acc, i) -> acc + IF(substring(aseq, i, 1) <> substring(refseq, i, 1), 1, 0))"))
-    inside = (F.col("start") >= 0) & (F.col("start") + F.length("aseq") <= F.col("contig_len")) \
+    if "qual" not in reads.columns:
+        r = r.withColumn("qual", F.lit(None).cast("string"))
+    back = F.col("strand") == 1
+    j = hits.join(r, "read_id").withColumns({
+        "aseq": F.when(back, revcomp(F.col("read_seq"))).otherwise(F.col("read_seq")),
+        "aqual": F.when(back, F.reverse("qual")).otherwise(F.col("qual"))}).drop("read_seq", "qual")
+    end = F.col("start") + F.length("aseq")
+    first, last = F.floor(F.greatest(F.col("start"), F.lit(0)) / tile), F.floor(F.greatest(end - 1, F.lit(0)) / tile)
+    j = j.withColumns({"_first": first.cast("long"), "_last": last.cast("long")})
+    has_hit = F.col("contig_idx").isNotNull()
+
+    def under(df: DataFrame) -> DataFrame:
+        """``df`` with ``part``, the reference under the read inside the tile ``_tile``."""
+        met = df.join(t, (F.col("reference") == F.col("t_reference")) & (F.col("contig_idx") == F.col("t_contig"))
+                      & (F.col("_tile") == F.col("t_tile")))
+        low = F.greatest(F.col("start"), F.col("tile_start"))
+        high = F.least(F.col("start") + F.length("aseq"), F.col("tile_start") + tile)
+        return met.withColumn("part", F.substring(F.col("tile_seq"), (low - F.col("tile_start") + 1).cast("int"),
+                                                  F.greatest(high - low, F.lit(0)).cast("int"))
+                              ).drop("t_reference", "t_contig", "t_tile", "tile_start", "tile_seq")
+
+    inside_one = under(j.where(has_hit & (F.col("_first") == F.col("_last"))).withColumn("_tile", F.col("_first")))
+    over_more = under(j.where(has_hit & (F.col("_first") < F.col("_last"))).withColumn(
+        "_tile", F.explode(F.sequence("_first", "_last"))))
+    row = [c for c in j.columns if c not in ("read_id", "reference")]
+    # At most a read's length / tile pieces are gathered.
+    joined = (over_more.groupBy("read_id", "reference").agg(
+        F.min(F.struct(*row, "contig", "contig_len")).alias("x"), F.sort_array(F.collect_list(F.struct("_tile", "part"))).alias("_parts"))
+        .select("read_id", "reference", "x.*", F.array_join(F.transform("_parts", lambda p: p["part"]), "").alias("refseq")))
+    found = inside_one.withColumnRenamed("part", "refseq").drop("_tile").unionByName(joined)
+    fits = (F.col("start") >= 0) & (F.col("start") + F.length("aseq") <= F.col("contig_len")) \
         & (F.length("refseq") == F.length("aseq"))
-    ok = inside & (F.col("nm") <= max_mm)
-    qual = F.when(F.col("strand") == 1, F.reverse("qual")).otherwise(F.col("qual")) if "qual" in reads.columns else F.lit(None)
-    extra = [c for c in reads.columns if c not in ("read_id", "seq", "qual")]
+    found = found.withColumn("nm", F.when(fits, _mismatches(F.col("aseq"), F.col("refseq"))))
+    placed = _alignment(found, F.coalesce(F.col("nm") <= max_mm, F.lit(False)), extra)
+    lost = j.where(~has_hit).withColumns({"contig": F.lit(None).cast("string"), "refseq": F.lit(None).cast("string"),
+                                          "nm": F.lit(None).cast("int")})
+    return placed.unionByName(_alignment(lost, F.lit(False), extra))
+
+
+def _alignment(j: DataFrame, ok, extra: list[str]) -> DataFrame:
     return j.select(
         "read_id", *extra, "reference",
         F.when(ok, F.col("contig_idx")).alias("contig_idx"), F.when(ok, F.col("contig")).alias("contig"),
@@ -147,7 +217,7 @@ def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int
         F.when(ok, F.concat(F.length("aseq").cast("string"), F.lit("M"))).alias("cigar"),
         F.when(ok, F.col("mapq")).otherwise(F.lit(0)).alias("mapq"),
         F.when(ok, F.col("nm")).alias("nm"),
-        F.col("aseq").alias("seq"), qual.alias("qual"),
+        F.col("aseq").alias("seq"), F.col("aqual").alias("qual"),
         # the reference under the read (what an MD tag encodes): lets pileup and
         # calling see the reference base without joining back to the tiles
         F.when(ok, F.col("refseq")).alias("ref_seq"))
@@ -165,7 +235,7 @@ def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int =
     idx = kmer_index(tiles, k, max_occ, tile)
     hits = map_reads(reads.select("read_id", "seq"), idx, k, stride, references)
     per_ref = reads.select("read_id", F.explode(F.array(*[F.lit(r) for r in references])).alias("reference"))
-    hits = per_ref.join(hits, ["read_id", "reference"], "left")
+    hits = per_ref.join(hits.drop("repeat"), ["read_id", "reference"], "left")
     return verify_hits(hits, reads, tiles, max_mm, tile)
 
 

@@ -90,7 +90,7 @@ def test_vcf_round_trip(spark, tmp_path):
         "depth long, ref_count long, alt_count long, genotype string")
     V.write_vcf(calls, str(tmp_path / "vcf"))
     files = list((tmp_path / "vcf").rglob("part-*"))
-    assert len(files) == 2 and all("contig=c0" in str(f) for f in files)
+    assert len(files) == 2 and all("sample_id=S" in str(f) for f in files)
     first = files[0].read_text().splitlines()
     assert first[0] == "##fileformat=VCFv4.2" and first[1].startswith("#CHROM")
     rows = V.scan_vcf(spark, str(tmp_path / "vcf"))
@@ -107,3 +107,48 @@ def test_sparse_calls_equal_pileup_calls(spark):
     full = sorted(tuple(r) for r in V.call_genotypes(V.pileup(aln), 2).select(*cols).collect())
     sparse = sorted(tuple(r) for r in V.call_variants(aln, 2, block=64).select(*cols).collect())
     assert full == sparse and len(full) > 0
+
+
+def test_reads_of_any_length(spark):
+    tiles, _, _ = _setup(spark)
+    g = GENOME["c1"]
+    rows = [(1, g[3:390]), (2, g[100:111]), (3, "ACGTA"), (4, ""), (5, _revcomp(g[20:320])), (6, "N" * 40), (7, g[350:] + "ACGT" * 9)]
+    reads = spark.createDataFrame([(i, "S", "R", s, "I" * len(s)) for i, s in rows],
+                                  "read_id long, sample_id string, run_id string, seq string, qual string")
+    got = {r.read_id: (r.contig_idx, r.pos, r.strand, r.nm) for r in A.align_reads(reads, tiles, k=11, max_mm=2, tile=128).collect()}
+    assert got == {1: (1, 4, 0, 0), 2: (1, 101, 0, 0), 5: (1, 21, 1, 0), **dict.fromkeys((3, 4, 6, 7), (None,) * 4)}
+
+
+def test_repeats_are_placed_by_longer_seeds(spark):
+    rnd = random.Random(5)
+    unit = "".join(rnd.choice("ACGT") for _ in range(20))
+    tails = ["".join(rnd.choice("ACGT") for _ in range(80)) for _ in range(12)]
+    contigs = spark.createDataFrame([(i, f"c{i}", unit + t) for i, t in enumerate(tails)], "contig_idx long, contig string, seq string")
+    tiles = A.tiles_from_contigs(contigs, tile=64, overlap=40, reference="g")
+    reads = spark.createDataFrame([(i, "S", "R", unit + t[:25], "I" * 45) for i, t in enumerate(tails)] + [(99, "S", "R", unit, "I" * 20)],
+                                  "read_id long, sample_id string, run_id string, seq string, qual string")
+    index = A.kmer_index(tiles, 15, 4, 64)
+    assert index.where("pos IS NOT NULL").select("contig_idx", "pos").distinct().count() == 12 * 86   # no position is dropped
+    assert index.where("seed_len = 15 AND pos IS NOT NULL").groupBy("code").count().agg(F.max("count")).first()[0] <= 4
+    hits = {r.read_id: r for r in A.map_reads(reads.select("read_id", "seq"), index, 15, references=["g"]).collect()}
+    assert all((hits[i].contig_idx, hits[i].start, hits[i].repeat) == (i, 0, False) for i in range(12))
+    assert hits[99].repeat and hits[99].mapq == 0 and hits[99].contig_idx is None
+    aln = {r.read_id: r.pos for r in A.align_reads(reads, tiles, 15, 4, 2, 64).collect()}
+    assert aln == {**{i: 1 for i in range(12)}, 99: None}
+
+
+def test_unknown_bases_are_no_evidence(spark):
+    rows = [(i, "S", "g", 0, "c0", 1, 0, s, "IIIII", "ACNGT") for i, s in enumerate(["ANTGT", "ANTGT", "ACTTT", "ACTTT", "ACTTT"])]
+    aln = spark.createDataFrame(rows, "read_id long, sample_id string, reference string, contig_idx long, "
+                                      "contig string, pos long, strand int, seq string, qual string, ref_seq string")
+    cols = ["pos", "ref", "alt", "depth", "ref_count", "alt_count", "genotype"]
+    want = [(4, "G", "T", 5, 2, 3, "0/1")]
+    assert [tuple(r) for r in V.call_variants(aln, 2).select(*cols).collect()] == want
+    assert [tuple(r) for r in V.call_genotypes(V.pileup(aln), 2).select(*cols).collect()] == want
+
+
+def test_no_exchange_moves_tiles_by_read(spark):
+    tiles, reads, _ = _setup(spark)
+    plan = A.align_reads(reads, tiles, k=11, max_mm=2, tile=128)._jdf.queryExecution().executedPlan().toString()
+    for line in plan.split("\n"):
+        assert not ("hashpartitioning(read_id" in line and "tile_seq" in line)
