@@ -43,7 +43,7 @@ ALREADY_TRIED = "Already tried with _1 paired index"
 FILE_NOT_FOUND = "File not found"
 
 
-def _uri(root: str, path: Column) -> Column:
+def uri_of(root: str, path: Column) -> Column:
     base = root.rstrip("/") + "/" if root else ""
     return F.concat(F.lit(base), path)
 
@@ -135,7 +135,7 @@ def classify_runs(manifest: DataFrame, objects: DataFrame, known_platforms: Sequ
     ok_keys = st.where(active & (F.col("n_found") == F.col("n_expected"))).select("dir", "run_id")
     ordered = order_mates(matched, ok_keys)
     st = st.join(ordered, ["dir", "run_id"], "left")
-    found_files = F.transform("_sorted", lambda x: F.struct(_uri(root, x["path"]).alias("uri"), x["name"].alias("name")))
+    found_files = F.transform("_sorted", lambda x: F.struct(uri_of(root, x["path"]).alias("uri"), x["name"].alias("name")))
 
     wrong = F.concat(F.lit(WRONG_FILES_NUMBER + " (0/"), F.col("n_expected").cast("string"), F.lit(")"))
     if repair:
@@ -252,7 +252,7 @@ def repair_mate2(cands: DataFrame, objects: DataFrame, root: str = "") -> DataFr
     vanish = (~F.col("exists") & F.col("idx").isNull()) | vanish_search
     picked = F.when(F.col("exists"), F.struct(F.col("exp_uri").alias("uri"), F.col("exp_name").alias("name"))).when(
         searching & found_path.isNotNull(),
-        F.struct(_uri(root, found_path).alias("uri"), file_name(found_path).alias("name")))
+        F.struct(uri_of(root, found_path).alias("uri"), file_name(found_path).alias("name")))
     note = F.when(F.col("exists"), F.lit(None).cast("string")).when(
         F.col("idx") != 2, F.lit(ALREADY_TRIED)).when(found_path.isNull(), F.lit(FILE_NOT_FOUND))
     per_file = exp.select("manifest_row", "pos", vanish.alias("v"), picked.alias("picked"), note.alias("note"))
