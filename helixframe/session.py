@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pathlib
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -21,13 +24,11 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
-    # No implicit broadcasts: static estimates after explode / Python sources
-    # are guesses, and measured-size broadcasts of mid-size tables cost more
-    # than they save here.  Broadcasts are explicit and only on data with a
-    # known bound (literal lists, one-row aggregates, per-range tables sized
-    # from the file listing, lookups counted first).
+    # No broadcast on a static estimate: after explode and Python sources those
+    # are guesses.  Adaptive execution still broadcasts a side whose *measured*
+    # size is small, and explicit broadcasts are for data with a known bound.
     "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10MB",
 }
 
 
@@ -59,19 +60,41 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that
+    they can import it wherever the job was started from."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    archive = pathlib.Path(tempfile.mkdtemp(prefix="helixframe-")).resolve() / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for source in sorted(package.rglob("*.py")):
+            z.write(source, source.relative_to(package.parent))
+    sc.addPyFile(str(archive))
+    _SHIPPED.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str = "/tmp/helixframe-checkpoints") -> str:
     """Return the cluster's shared checkpoint folder.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (local tests) is a fallback installed.
+    The cluster names it in ``spark.checkpoint.dir``.  Where that is unset, a
+    local master gets a fallback; a cluster without one is an error, as its
+    executors would not see each other's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     configured = spark.conf.get("spark.checkpoint.dir", None) or current
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = fallback
         spark.conf.set("spark.checkpoint.dir", configured)
     if not current:
