@@ -20,7 +20,7 @@ from helixframe.operators import resume as P
 from helixframe.operators import variants as V
 from helixframe.plans import jobs as J
 from helixframe.streaming.manifest_stream import start_manifest_stream
-from helixframe.session import apply_sql_defaults, cut_lineage, staging_dir
+from helixframe.session import apply_sql_defaults, cut_lineage, ship_package, staging_dir
 from helixframe.sources.literal import from_values
 from helixframe.sources import fasta as FA
 from helixframe.sources import fastq as FQ
@@ -72,6 +72,22 @@ def q_manifest_scan(spark: SparkSession, sf: str) -> DataFrame:
                           F.date_format("release_ts", "yyyy-MM-dd").alias("release_day"))
 
 
+def q_manifest_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """M1+M3: a manifest whose run column stands behind 140 others, and one without a header line, whose
+    rows all go to quarantine."""
+    m = S.standin(spark, sf, "manifest")
+    out = staging_dir(spark, "manifest-quarantine")
+    cells = [F.col("sample_id").alias("SRA_Sample"), F.col("layout").alias("LibraryLayout"), F.col("platform").alias("Platform"),
+             F.col("study_id").alias("SRA_Study")]
+    wide = [F.lit(f'x,"{i}"').alias(f"c{i}") for i in range(140)]
+    m.where(F.col("n") % 3 != 0).select(*wide, *cells, F.col("run_id").alias("Run")).write.option("header", True).csv(f"{out}/wide")
+    m.where(F.col("n") % 3 == 0).select("run_id", "sample_id", "study_id").write.csv(f"{out}/bare")
+    good, bad = M.validate_manifest(M.normalise_manifest(scan_manifest(spark, [f"{out}/wide", f"{out}/bare"])))
+    good = good.select("run_id", "sample_id", "layout", F.lit(None).cast("string").alias("raw"), F.lit("").alias("reasons"))
+    bad = bad.select("run_id", "sample_id", "layout", "raw", F.array_join("reasons", ";").alias("reasons"))
+    return good.unionByName(bad)
+
+
 def q_manifest_required(spark, sf):
     d = M.normalise_fields(S.standin(spark, sf, "manifest_dirty"))
     good, bad = M.validate_manifest(d)
@@ -243,23 +259,52 @@ FASTA_SPLIT = 64 << 10
 TILE, TILE_OVERLAP = 100, 20
 
 
-def _write_fastq(spark, sf):
-    mates = S.standin(spark, sf, "read_mates")
+RUNS_PER_FILE = 2000   # runs in one written FASTQ file, so that the files grow in number with the data
+
+
+def _write_fastq(spark, sf, compression="none", broken=False):
+    """The reads as FASTQ files, one per block of runs, in the order of run, mate and ordinal.  ``broken`` gives
+    the first record of some runs a quality line longer than its sequence."""
+    mates = S.standin(spark, sf, "read_mates").withColumn("n", F.substring("run_id", 4, 20).cast("bigint") - 1000000)
+    named = mates.withColumns({"name": F.concat(F.col("name"), F.lit("/"), F.col("mate").cast("string")),
+                               "block": F.floor(F.col("n") / RUNS_PER_FILE)})
+    if broken:
+        bad = (F.col("n") % 37 == 5) & (F.col("mate") == 1) & (F.col("ordinal") == 1)
+        named = named.withColumn("qual", F.when(bad, F.concat("qual", F.lit("@"))).otherwise(F.col("qual")))
     out = staging_dir(spark, "fastq")
-    named = mates.withColumn("name", F.concat(F.col("name"), F.lit("/"), F.col("mate").cast("string")))
-    FQ.fastq_text(named.repartition(4, "run_id").sortWithinPartitions("run_id", "mate", "ordinal")).write.text(out)
+    (named.withColumn("value", FQ.fastq_record("name")).repartition("block").sortWithinPartitions("block", "run_id", "mate", "ordinal").select("block", "value")
+     .write.partitionBy("block").option("compression", compression).text(out))
     return out
 
 
-def q_fastq_scan(spark, sf):
-    """read_mates written as FASTQ text, scanned back by byte range."""
-    reads = FQ.scan_fastq(spark, _write_fastq(spark, sf), split_size=FASTQ_SPLIT)
+def _scanned(reads):
+    """Run, mate and the record's number in its run from the name, the file's block from its path, and the
+    record's computed number in the file."""
     tok = F.split(F.col("name"), "/")
     head = F.element_at(tok, 1)
-    return reads.select(F.substring_index(head, ".", 1).alias("run_id"),
-                        F.element_at(tok, 2).cast("int").alias("mate"),
-                        F.substring_index(head, ".", -1).cast("bigint").alias("ordinal"),
-                        "seq", "qual", "malformed")
+    return reads.select(F.regexp_extract("path", "block=([0-9]+)", 1).cast("bigint").alias("block"), "ordinal",
+                        F.substring_index(head, ".", 1).alias("run_id"), F.element_at(tok, 2).cast("int").alias("mate"),
+                        F.substring_index(head, ".", -1).cast("bigint").alias("read"), "seq", "qual", "malformed")
+
+
+def q_fastq_scan(spark, sf):
+    """read_mates written as FASTQ text, scanned back by byte range."""
+    return _scanned(FQ.scan_fastq(spark, _write_fastq(spark, sf), split_size=FASTQ_SPLIT))
+
+
+def q_fastq_gz_scan(spark, sf):
+    """F1 over compressed files."""
+    return _scanned(FQ.scan_fastq(spark, _write_fastq(spark, sf, "gzip"), split_size=FASTQ_SPLIT))
+
+
+def q_fastq_malformed(spark, sf):
+    """F1 with broken records, at two split sizes and from a table of files."""
+    out = _write_fastq(spark, sf, broken=True)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out).select("path", F.col("length").alias("size"))
+    scans = [("small", FQ.scan_fastq(spark, out, split_size=FASTQ_SPLIT // 16)), ("large", FQ.scan_fastq(spark, out)),
+             ("table", FQ.scan_fastq_files(files, FASTQ_SPLIT))]
+    parts = [_scanned(reads).withColumn("scan", F.lit(name)) for name, reads in scans]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def q_mate_pairs(spark, sf):
@@ -278,9 +323,10 @@ def q_read_chunks(spark, sf):
     return ch.select("run_id", "mate", "ordinal", "chunk")
 
 
-def _write_fasta(spark, sf):
+def _write_fasta(spark, sf, compression="none"):
     out = staging_dir(spark, "fasta")
-    FA.fasta_text(S.standin(spark, sf, "contigs").repartition(4).sortWithinPartitions("contig_idx")).write.text(out)
+    (FA.fasta_text(S.standin(spark, sf, "contigs").repartitionByRange("contig_idx").sortWithinPartitions("contig_idx"))
+     .write.option("compression", compression).text(out))
     return out
 
 
@@ -289,6 +335,12 @@ def q_fasta_scan(spark, sf):
     return tiles.select("contig", "tile", "start", "seq")
 
 
+def q_fasta_gz_scan(spark, sf):
+    """F4 over compressed files."""
+    tiles = FA.scan_fasta(spark, _write_fasta(spark, sf, "gzip"), TILE, TILE_OVERLAP, split_size=FASTA_SPLIT)
+    return tiles.select("contig", "tile", "start", "seq")
+
+
 def q_fasta_index(spark, sf):
     located = FA.located_lines(FA.scan_fasta_lines(spark, _write_fasta(spark, sf), FASTA_SPLIT))
     return RD.fasta_index(located).select("contig", "length", "linebases", "linewidth")
@@ -296,7 +348,7 @@ def q_fasta_index(spark, sf):
 
 # ---------------------------------------------------------------- alignment
 
-K, MAX_OCC, MAX_MM = 15, 4, 4
+K, MAX_OCC, MAX_MM = 15, 1, 4
 ATILE, ATILE_OVERLAP = 100, 80
 REF_NAME = "ctg"
 
@@ -318,14 +370,14 @@ def _alignments_table(spark, sf):
 
 
 def q_kmer_index(spark, sf):
-    idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
+    idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE).where("pos IS NOT NULL")
     return idx.groupBy("contig_idx").agg(F.count("*").alias("n_kmers"), F.sum("pos").alias("sum_pos"))
 
 
 def q_map_reads(spark, sf):
     reads = S.standin(spark, sf, "reads").select("read_id", "seq")
     idx = A.kmer_index(_tiles(spark, sf), K, MAX_OCC, ATILE)
-    return A.map_reads(reads, idx, K, references=[REF_NAME]).select(
+    return A.map_reads(reads, idx, K, references=[REF_NAME]).where(~F.col("repeat")).select(
         "read_id", "contig_idx", "start", "strand", "votes", "second_votes", "mapq")
 
 
@@ -427,6 +479,18 @@ def q_variants_flat(spark, sf):
 # ---------------------------------------------------------------- jobs and streams
 
 
+def q_exported_rows(spark, sf):
+    """V3-V6: half of the samples' files exported, then all of them: the table holds every variant once."""
+    cfg = _job_config(spark, "export")
+    calls = cut_lineage(_calls(spark, sf))
+    half = F.substring("sample_id", 4, 20).cast("bigint") % 2 == 0
+    for part in (calls.where(half), calls):
+        V.write_vcf(part, cfg.path("vcf"))
+        J.export_vcf(spark, cfg)
+    table = spark.read.parquet(cfg.path("variants"))
+    return V.flatten_variants(table.where(F.col("table_name") == f"variants_{REF_NAME}"))
+
+
 def _job_config(spark, tag):
     return J.JobConfig(output_root=staging_dir(spark, tag), known_platforms=KNOWN_PLATFORMS, references=[REF_NAME],
                        fastq_root=SRC_ROOT, k=K, max_occ=MAX_OCC, max_mm=MAX_MM, tile=ATILE, tile_overlap=ATILE_OVERLAP,
@@ -474,6 +538,7 @@ def _with_defaults(fn):
     the plans rely on (explicit broadcasts only, fixed partition counts) first."""
     def run(spark, sf):
         apply_sql_defaults(spark)
+        ship_package(spark)
         return fn(spark, sf)
     run.__name__ = fn.__name__
     run.__doc__ = fn.__doc__
@@ -482,6 +547,7 @@ def _with_defaults(fn):
 
 QUERIES = {
     "manifest_scan": q_manifest_scan,
+    "manifest_quarantine": q_manifest_quarantine,
     "manifest_required": q_manifest_required,
     "filter_samples": q_filter_samples,
     "expected_files": q_expected_files,
@@ -508,9 +574,12 @@ QUERIES = {
     "vcf_batches": q_vcf_batches,
     "export_ledger": q_export_ledger,
     "fastq_scan": q_fastq_scan,
+    "fastq_gz_scan": q_fastq_gz_scan,
+    "fastq_malformed": q_fastq_malformed,
     "mate_pairs": q_mate_pairs,
     "read_chunks": q_read_chunks,
     "fasta_scan": q_fasta_scan,
+    "fasta_gz_scan": q_fasta_gz_scan,
     "fasta_index": q_fasta_index,
     "kmer_index": q_kmer_index,
     "map_reads": q_map_reads,
@@ -526,6 +595,7 @@ QUERIES = {
     "genotypes_pileup": q_genotypes_pileup,
     "vcf_roundtrip": q_vcf_roundtrip,
     "variants_flat": q_variants_flat,
+    "exported_rows": q_exported_rows,
     "job_completion": q_job_completion,
     "manifest_stream": q_manifest_stream,
 }

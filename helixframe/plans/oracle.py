@@ -81,6 +81,13 @@ SELECT n, run_id, layout, reasons = '' AS ok, reasons FROM (
            THEN 'bad:layout' END) AS reasons
   FROM manifest_dirty) t""", "manifest", "manifest_dirty")
 
+ORACLE["manifest_quarantine"] = with_ctes("""
+SELECT CASE WHEN n % 3 <> 0 THEN run_id END AS run_id, CASE WHEN n % 3 <> 0 THEN sample_id END AS sample_id,
+       CASE WHEN n % 3 <> 0 THEN layout END AS layout,
+       CASE WHEN n % 3 = 0 THEN concat(run_id, ',', sample_id, ',', study_id) END AS raw,
+       CASE WHEN n % 3 = 0 THEN 'missing:run_id;missing:sample_id;missing:study_id;missing:layout;missing:platform' ELSE '' END AS reasons
+FROM manifest""", "manifest")
+
 ORACLE["filter_samples"] = with_ctes("""
 SELECT n, run_id, sample_id FROM manifest
 WHERE sample_id IN (SELECT concat('SRS', CAST(c_custkey + 100000 AS STRING)) FROM customer
@@ -260,8 +267,22 @@ FROM (SELECT path, regexp_extract(regexp_extract(path, '([^/]*)\\.vcf$', 1), '^[
       WHERE stage = 'dv'
         AND CAST(substr(regexp_extract(path, '/(SRS[0-9]+)_', 1), 4) AS BIGINT) % 3 <> 0) p""", "stage_objects")
 
-ORACLE["fastq_scan"] = with_ctes("""
-SELECT run_id, mate, ordinal, seq, qual, false AS malformed FROM read_mates""", "read_mates")
+_FASTQ_FILES = """
+SELECT *, row_number() OVER (PARTITION BY block ORDER BY run_id, mate, ordinal) AS number
+FROM (SELECT *, CAST(substr(run_id, 4) AS BIGINT) - 1000000 AS n,
+             CAST(floor((CAST(substr(run_id, 4) AS BIGINT) - 1000000) / 2000) AS BIGINT) AS block FROM read_mates) r"""
+
+ORACLE["fastq_scan"] = with_ctes(f"""
+SELECT block, number AS ordinal, run_id, mate, ordinal AS read, seq, qual, false AS malformed FROM ({_FASTQ_FILES}) f""",
+                                 "read_mates")
+ORACLE["fastq_gz_scan"] = ORACLE["fastq_scan"]
+ORACLE["fastq_malformed"] = with_ctes(f"""
+SELECT scan, block, number AS ordinal, CASE WHEN NOT bad THEN run_id END AS run_id, CASE WHEN NOT bad THEN mate END AS mate,
+       CASE WHEN NOT bad THEN ordinal END AS read, CASE WHEN NOT bad THEN seq END AS seq,
+       CASE WHEN bad THEN concat('@', name, '/', CAST(mate AS STRING), chr(10), seq, chr(10), '+', chr(10), qual, '@') ELSE qual END AS qual,
+       bad AS malformed
+FROM (SELECT *, n % 37 = 5 AND mate = 1 AND ordinal = 1 AS bad FROM ({_FASTQ_FILES}) f) g
+CROSS JOIN (SELECT unnest(['small', 'large', 'table']) AS scan) s""", "read_mates")
 
 ORACLE["mate_pairs"] = with_ctes("""
 SELECT coalesce(a.run_id, b.run_id) AS run_id, coalesce(a.ordinal, b.ordinal) AS ordinal,
@@ -284,27 +305,30 @@ SELECT c.contig, t.tile, t.tile * 100 AS start, substring(c.seq, CAST(t.tile * 1
 FROM contigs c JOIN (SELECT CAST(range AS BIGINT) AS tile FROM range(0, 3)) t ON t.tile * 100 < length(c.seq)""",
                                  "contigs")
 
+ORACLE["fasta_gz_scan"] = ORACLE["fasta_scan"]
+
 ORACLE["fasta_index"] = with_ctes("""
 SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS linewidth FROM contigs""", "contigs")
 
 
 _ALIGN_CTES = """,
 ck AS (
-  SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer
+  SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer, substring(seq, CAST(pos + 1 AS INTEGER), 31) AS k31
   FROM (SELECT contig_idx, seq, unnest(range(0, length(seq) - 14)) AS pos FROM contigs) x),
 idx AS (
-  SELECT contig_idx, pos, kmer FROM ck
-  WHERE regexp_full_match(kmer, '[ACGT]{15}')
-    AND kmer IN (SELECT kmer FROM ck WHERE regexp_full_match(kmer, '[ACGT]{15}') GROUP BY kmer HAVING count(*) <= 4)),
+  SELECT contig_idx, pos, kmer, k31, count(*) OVER (PARTITION BY kmer) AS occ FROM ck
+  WHERE regexp_full_match(kmer, '[ACGT]{15}')),
 rk AS (
-  SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer
+  SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer, substring(s, CAST(j + 1 AS INTEGER), 31) AS k31
   FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14, 15)) AS j
         FROM (SELECT read_id, 0 AS strand, seq AS s FROM reads
               UNION ALL SELECT read_id, 1 AS strand, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads) b) x
   WHERE regexp_full_match(substring(s, CAST(j + 1 AS INTEGER), 15), '[ACGT]{15}')),
 votes AS (
   SELECT rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j AS start, count(*) AS votes
-  FROM rk JOIN idx ON rk.kmer = idx.kmer GROUP BY rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j),
+  FROM rk JOIN idx ON rk.kmer = idx.kmer
+    AND (idx.occ <= 1 OR NOT regexp_full_match(idx.k31, '[ACGT]{31}') OR idx.k31 = rk.k31)
+  GROUP BY rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j),
 vagg AS (
   SELECT read_id, max(votes) AS votes, coalesce(list_sort(list(votes), 'DESC')[2], 0) AS second_votes
   FROM votes GROUP BY read_id),
@@ -342,8 +366,8 @@ aln AS (
 
 def _align(body: str) -> str:
     """Seed-and-vote mapping and ungapped verification over whole contigs
-    (k = 15, read seeds every 15 bases, max_occ = 4, max_mm = 4), string
-    k-mers instead of codes."""
+    (k = 15, read seeds every 15 bases, 31-base seeds where a k-mer occurs
+    more than once, max_mm = 4), string k-mers instead of codes."""
     return with_ctes("", "contigs", "reads").rstrip() + _ALIGN_CTES + body
 
 
@@ -411,6 +435,7 @@ SELECT contig AS reference_name, pos - 1 AS start, pos - 1 + length(ref) AS "end
                       CASE WHEN genotype LIKE '%1' THEN '1' WHEN genotype LIKE '%.' THEN '-1' ELSE '0' END) AS genotype
 FROM calls""")
 
+ORACLE["exported_rows"] = ORACLE["variants_flat"]
 ORACLE["manifest_stream"] = ORACLE["run_status"]
 ORACLE["genotypes_pileup"] = ORACLE["genotypes"]
 
@@ -422,9 +447,9 @@ _JOB_ALIGN = _ALIGN_CTES.replace(
     "LEFT JOIN hits h ON h.read_id = r.read_id")
 ORACLE["job_completion"] = (with_ctes("", "manifest", "objects", "contigs", "reads").rstrip() + _recon_ctes()
                             + _JOB_ALIGN + _PILEUP + """,
-vr AS (SELECT sample_id, count(*) AS n_runs FROM status WHERE status = 'valid' GROUP BY sample_id)
-SELECT vr.sample_id, 'ctg' AS reference, vr.n_runs, vr.n_runs AS n_aligned, vr.n_runs AS n_sorted,
-       true AS merged, true AS indexed,
-       EXISTS (SELECT 1 FROM calls c WHERE c.sample_id = vr.sample_id) AS called,
-       EXISTS (SELECT 1 FROM calls c WHERE c.sample_id = vr.sample_id) AS complete
-FROM vr""")
+vr AS (SELECT sample_id, count(*) AS n_runs FROM status WHERE status = 'valid' GROUP BY sample_id),
+ar AS (SELECT sample_id, count(DISTINCT run_id) AS n, count(pos) AS n_mapped FROM aln GROUP BY sample_id)
+SELECT vr.sample_id, 'ctg' AS reference, vr.n_runs, coalesce(ar.n, 0) AS n_aligned, coalesce(ar.n, 0) AS n_sorted,
+       ar.n IS NOT NULL AS merged, coalesce(ar.n_mapped > 0, false) AS indexed, ar.n IS NOT NULL AS called,
+       coalesce(ar.n = vr.n_runs AND ar.n_mapped > 0, false) AS complete
+FROM vr LEFT JOIN ar ON ar.sample_id = vr.sample_id""")
