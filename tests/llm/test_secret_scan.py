@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from helixframe.llm import queries
 from helixframe.llm import secret_scan as S
 
-SF = "/root/testdata/sf0.001"
+SF = "/root/testdata/sf0.01"
 ASSIGN = re.compile(r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"""
                     r"""[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 
@@ -76,7 +76,7 @@ def test_only_unseen_pairs_are_scanned(spark):
 def test_query_against_regular_expressions(spark):
     got = {r.doc_id: r for r in queries.op5_secret_scan(spark, SF).collect()}
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
-    assert len(got) == len(docs)
+    assert len(got) == len(docs) and any(r.n_assign + r.n_access + r.n_hex for r in got.values())
     for d in docs:
         spans, r = base(d.text), got[d.doc_id]
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(s[3] == k for s in spans) for k in ("assign", "access", "hex"))
