@@ -28,6 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from helixframe.llm.common import written
+
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"           # stands for a blank inside pieces
 UNKNOWN_PENALTY = 10.0     # an unknown character scores this much below the worst piece
@@ -37,7 +39,7 @@ LOWEST = -np.inf
 class Settings(NamedTuple):
     chunk: int = 16_384     # characters
     block: int = 64         # chunks whose matrices are combined in one task
-    cached: int = 300_000   # words that a worker remembers
+    cached: int = 150_000   # words that a worker remembers
 
 
 class Vocabulary:
@@ -234,23 +236,31 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                                T.StructField("ids", T.BinaryType())])
     size, cached, block = settings.chunk, settings.cached, settings.block
 
+    width = worker_vocabulary(path, cached).width
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        width = worker_vocabulary(path, cached).width
+        """The chunks of the texts that are longer than one."""
         for batch in batches:
             rows = []
             for row, doc, value in zip(batch["row"], batch["doc_id"], batch["_text"], strict=True):
+                if len(value) < size:
+                    continue
                 value = normalised(value)
-                n_chunks = max(1, -(-len(value) // size))
+                n_chunks = -(-len(value) // size)
                 for k in range(n_chunks):
                     at, n = k * size, min(size, len(value) - k * size)
                     rows.append((row, doc, k, n_chunks, n, value[at:at + n + width - 1]))
             yield pd.DataFrame(rows, columns=cut_schema.names).astype({"doc_id": batch["doc_id"].dtype})
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Texts of one chunk, from their start to their end."""
         vocabulary = worker_vocabulary(path, cached)
         for batch in batches:
-            ids = [b"".join([vocabulary.of_word(w)[1] for w in vocabulary.word.findall(t)]) for t in batch["piece"]]
-            yield _result(batch, ids)
+            short = batch[batch["_text"].str.len() < size]
+            texts = short["_text"].tolist()
+            yield _result(pd.DataFrame({"doc_id": short["doc_id"], "chunk": 0, "n_chunks": 1,
+                                        "n_chars": [len(t) + 1 if t else 0 for t in texts]}, index=short.index),
+                          [vocabulary.encode(t) for t in texts])
 
     def matrix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = worker_vocabulary(path, cached)
@@ -288,16 +298,16 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
                              "n_tokens": [len(x) // 4 for x in ids],
                              "ids": [np.frombuffer(x, np.uint32).astype("<u4").tobytes() for x in ids]})
 
-    chunks = source.mapInPandas(cut, cut_schema)
-    several = chunks.where("n_chunks > 1")
-    matrices = several.mapInPandas(matrix, "row long, block long, chunk long, m array<double>")
+    several = source.mapInPandas(cut, cut_schema)
+    # Read twice, going up and coming down: computed once, into the shared folder (2 KB a chunk).
+    matrices = written(several.mapInPandas(matrix, "row long, block long, chunk long, m array<double>"))
     per_block = matrices.groupBy("row", "block").applyInPandas(combine, "row long, block long, m array<double>")
     borders = per_block.groupBy("row").applyInPandas(of_blocks, "row long, block long, i int, j int")
     known = matrices.groupBy("row", "block").cogroup(borders.groupBy("row", "block")).applyInPandas(
         of_chunks, "of_row long, of_chunk long, i int, j int")
     # The states are slim, so they are the side that is hashed; the chunks need no sort.
     placed = several.join(known.hint("shuffle_hash"), (several["row"] == known["of_row"]) & (several["chunk"] == known["of_chunk"]))
-    return chunks.where("n_chunks = 1").mapInPandas(whole, out_schema).unionByName(placed.mapInPandas(trace, out_schema))
+    return source.mapInPandas(whole, out_schema).unionByName(placed.mapInPandas(trace, out_schema))
 
 
 def decode_chunks(encoded: DataFrame, path: str = PIECES, settings: Settings = Settings()) -> DataFrame:
