@@ -84,6 +84,27 @@ def test_distance_is_mahalanobis_of_the_final_rows(spark):
     assert np.abs(cov - np.cov(everything.T) - np.diag(np.square(Q.Settings().floors))).max() < 0.6 * np.abs(cov).max()
 
 
+def test_a_text_extreme_in_any_single_statistic_is_rejected(spark):
+    rng = np.random.default_rng(5)
+
+    def words(n, letters=5, alphabet="abcdefghijklmnopqrstuvwxyz"):
+        return ["".join(rng.choice(list(alphabet), max(1, int(k)))) for k in rng.normal(letters, 1, n)]
+
+    def lines(ws, k=25):
+        return "\n".join(" ".join(ws[i:i + k]) for i in range(0, len(ws), k))
+    clean = [lines(words(int(n))) for n in np.exp(rng.normal(5.3, 0.4, 400))]
+    extreme = {"words": lines(words(60_000)), "word length": lines(words(200, 12)), "symbols": lines(words(200, 5, "#*$%&|<>")),
+               "lines": "same old line\n" * 30 + lines(words(900)), "repeated words": lines((w := words(164)) + w[:18], 7)}
+    # the duplicated lines have few words, the repeated words lie on other lines
+    texts = [*clean, *extreme.values()]
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string")
+    rows = Q.written(Q.with_statistics(docs).drop("text"))
+    got = {r.doc_id: r for r in Q.judge(rows, Q.fit_groups(rows)).collect()}
+    assert not any(got[i].base_failed for i in range(len(texts)))
+    assert {name for i, name in enumerate(extreme, len(clean)) if got[i].kept} == set()
+    assert np.mean([got[i].kept for i in range(len(clean))]) > 0.98
+
+
 def test_small_groups_are_pooled_and_tiny_ones_are_not_judged(spark):
     rows, _ = group(spark, n=100, far=0)
     spread = rows.withColumns({"lang": F.when(F.col("id") < 90, "en"), "source": F.concat(F.lit("s"), (F.col("id") % 9).cast("string"))})
