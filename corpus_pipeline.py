@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.llm import language_id, packing, quality_mcd, secret_scan, simhash_dedup
@@ -37,16 +37,24 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return judged.where("kept").select(*columns)
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """128 bits of hash over all columns and their nulls: the same whenever a row is read, ids null or repeated."""
+    values = [c for name in docs.columns for c in (F.isnull(docs[name]), docs[name])]
+    return F.struct(*[F.xxhash64(F.lit(salt), *values).alias(f"h{salt}") for salt in range(2)])
+
+
 def simhash_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the smallest id stays (of repeated rows, one).
+    """Of each group of near-duplicates one document stays: that with the smallest id, null ids last, then the
+    smallest row key (of rows equal in all columns, one).
 
-    A null id cannot be the smallest one of a group; such a row is kept.
+    Rows are told apart by their key, not their id: texts that share an id, or have none, are judged each.
     """
-    found = written(simhash_dedup.near_duplicates(docs))
-    others = written(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_other")))
-    kept = docs.join(checked_broadcast(others, 16), docs["doc_id"] == others["_other"], "left_anti")
-    repeated = found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").take(1)
-    return kept.dropDuplicates(["doc_id"]) if repeated else kept
+    keyed = docs.withColumn("_row_key", _row_key(docs))
+    found = written(simhash_dedup.near_duplicates(keyed, row_key="_row_key"))
+    others = written(found.where("not survives").select(F.col("row_key").alias("_other")))
+    kept = keyed.join(checked_broadcast(others, 32), keyed["_row_key"] == others["_other"], "left_anti")
+    repeated = found.where("survives").groupBy("row_key").count().where("count > 1").take(1)
+    return (kept.dropDuplicates(["_row_key"]) if repeated else kept).drop("_row_key")
 
 
 def scan_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

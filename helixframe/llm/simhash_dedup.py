@@ -52,8 +52,9 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(sum(1 << int(b) for b in bits))
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3,
+                 row_key: str | None = None) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed 64-bit integer; ``row_key`` too, if named."""
 
     @F.pandas_udf("long")
     def of(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -61,7 +62,8 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
             found = np.array([fingerprint(t, shingle) for t in batch], np.uint64)
             yield pd.Series(found.view(np.int64))
 
-    return docs.select(docs[doc_id].alias("doc_id"), of(docs[text]).alias("fp"))
+    key = [docs[row_key].alias("row_key")] if row_key else []
+    return docs.select(docs[doc_id].alias("doc_id"), *key, of(docs[text]).alias("fp"))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -235,20 +237,28 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     return current.select(F.col("v").alias("node"), F.col("u").alias("root")).unionByName(roots)
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings(),
+                    row_key: str | None = None) -> DataFrame:
     """``doc_id``, ``fp`` (signed) and ``component_id``, the least id reachable over links, for every row.
 
     Words are split at ASCII blanks and lower-cased in A-Z; a text of fewer words than a shingle is one
     shingle; a null or blank text has fingerprint zero and is linked like any other. Copies share a
     fingerprint and are compared once. Repeated rows are kept. Ids may be null: such a row is in the
     component of its fingerprint. Other columns are not read. An empty table gives an empty result.
+
+    With ``row_key``, a column that tells rows apart whatever their ids, come ``row_key`` and ``survives``:
+    the row is its component's first by id (nulls last) and key.
     """
-    rows = written(fingerprints(docs, doc_id, text, settings.shingle))
-    distinct = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least_id")))
+    rows = written(fingerprints(docs, doc_id, text, settings.shingle, row_key))
+    key = ["row_key"] if row_key else []
+    place = F.struct(F.isnull("doc_id").alias("no_id"), "doc_id", *key)
+    distinct = written(rows.groupBy("fp").agg(F.min(place).alias("least_id")))
     rooted = written(components(links(distinct, settings)))
     linked = written(rooted.join(distinct, rooted["node"] == distinct["fp"]).select("fp", "root", "least_id"))
     least = written(linked.groupBy("root").agg(F.min("least_id").alias("of_root")).withColumnRenamed("root", "_root"))
     moved = linked.join(least, linked["root"] == least["_root"]).select(F.col("fp").alias("_fp"), "of_root")
     classes = written(distinct.join(moved, distinct["fp"] == moved["_fp"], "left").select(
-        F.col("fp").alias("class_fp"), F.coalesce("of_root", "least_id").alias("component_id")))
-    return rows.join(classes, rows["fp"] == classes["class_fp"]).select("doc_id", "fp", "component_id")
+        F.col("fp").alias("class_fp"), F.coalesce("of_root", "least_id").alias("first")))
+    survives = [place.eqNullSafe(F.col("first")).alias("survives")] if row_key else []
+    return rows.join(classes, rows["fp"] == classes["class_fp"]).select(
+        "doc_id", "fp", F.col("first.doc_id").alias("component_id"), *key, *survives)

@@ -61,3 +61,19 @@ def test_odd_documents(spark, tmp_path):
     assert [r.text[-8:] for r in out[3].where("doc_id = 7").collect()] == ["<assign>"]
     empty = staged(spark, spark.createDataFrame([], SCHEMA), tmp_path / "empty", SF)
     assert [part.count() for part in empty] == [0] * 5
+
+
+def test_near_duplicates_are_decided_row_by_row(spark):
+    def text(tag):
+        return " ".join(f"{tag}{i}" for i in range(60))
+    rows = [(None, text("a"), "en", "s", 1), (None, text("b"), "en", "s", 1),           # different texts without ids
+            (None, text("c"), "en", "s", 1), (None, text("c"), "de", None, 2), (None, text("c"), "de", None, 2),  # copies without ids
+            (3, text("d"), "en", "s", 1), (5, text("d"), "en", "s", 1), (5, text("e"), "en", "s", 1),  # id 5: a copy, and a text of its own
+            (7, text("f"), "en", "s", 1), (7, text("g"), "en", "s", 1), (7, text("g"), "en", "s", 1),  # one id, two texts, one of them twice
+            (None, text("h"), "en", "s", 1), (9, text("h"), "en", "s", 1),               # an id goes before none
+            (11, None, "x", None, 1), (11, "x", None, None, 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    kept = C.simhash_near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    got = sorted(((r.doc_id, (r.text or "")[:1]) for r in kept.collect()), key=str)
+    assert got == sorted([(None, "a"), (None, "b"), (None, "c"), (3, "d"), (5, "e"), (7, "f"), (7, "g"), (9, "h"), (11, ""), (11, "x")], key=str)
