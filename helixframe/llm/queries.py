@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from helixframe.llm import (chat_format, language_id, packing, quality_mcd, secret_scan, sentencepiece_maxplus,
-                            simhash_dedup, token_count, topk_nra, url_filter)
+from helixframe.llm import (chat_format, decontaminate, fill_in_middle, language_id, merkle_manifest, packing, quality_mcd,
+                            secret_scan, sentencepiece_maxplus, simhash_dedup, token_count, topk_nra, url_filter)
 from helixframe.llm.common import table, written
 
 
@@ -82,6 +82,23 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.verified(table(spark, sf_dir, "documents"))
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fill_in_middle.transform(table(spark, sf_dir, "documents"))
+    text = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return cut.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                      F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    ids = F.array_join("items", ",").cast("binary")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(ids, 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_quality_rules": op2_quality_rules,
@@ -93,6 +110,9 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_token_count": op9_token_count,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_decontaminate": op13_decontaminate,
 }
 
 
@@ -154,8 +174,102 @@ ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY scor
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
 
+
+def _merkle_sql(levels: int, top_levels: int) -> str:
+    """The trees level by level, for up to ``8 ** levels`` rows of a language and ``8 ** top_levels`` languages."""
+    def tree(name: str, depth: int) -> str:
+        """Nodes ``{name}k`` of every level over ``{name}0`` (tree, idx, n, h), and what stands beside them (``{name}sk``)."""
+        out = []
+        for k in range(1, depth + 1):
+            out.append(f"""{name}{k} AS (SELECT tree, idx // 8 AS idx, (any_value(n) + 7) // 8 AS n, CASE WHEN any_value(n) > 1
+  THEN sha256(string_agg(h, '' ORDER BY idx)) ELSE any_value(h) END AS h FROM {name}{k - 1} GROUP BY tree, idx // 8)""")
+        for k in range(depth):
+            side = "string_agg(h, '') OVER (PARTITION BY tree, idx // 8 ORDER BY idx ROWS BETWEEN"
+            out.append(f"""{name}s{k} AS (SELECT tree AS t{k}, idx AS i{k}, n > 1 AS used{k}, coalesce({side} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS a{k},
+  coalesce({side} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS b{k} FROM {name}{k})""")
+        return ",\n".join(out)
+
+    def climbed(out: str, rows: str, name: str, depth: int) -> str:
+        """``rows`` (with tree, idx, f, p): f folded and p lengthened by the siblings of every level."""
+        steps, last = [], rows
+        for k in range(depth):
+            steps.append(f"""{out}{k} AS (SELECT r.* REPLACE (CASE WHEN used{k} THEN sha256(a{k} || f || b{k}) ELSE f END AS f,
+  CASE WHEN used{k} THEN p || a{k} || b{k} ELSE p END AS p)
+  FROM {last} r JOIN {name}s{k} ON t{k} IS NOT DISTINCT FROM r.tree AND i{k} = r.idx // {8 ** k})""")
+            last = f"{out}{k}"
+        return ",\n".join(steps)
+
+    def piece(value: str) -> str:
+        return f"coalesce(CAST(strlen({value}) AS VARCHAR) || ':' || {value}, '-')"
+
+    head = " || ".join(piece(f"CAST({c} AS VARCHAR)") for c in merkle_manifest.FIELDS[:-1])
+    low = f"translate(text, '{merkle_manifest.UPPER}', '{merkle_manifest.LOWER}')"
+    # CRC-32, bit by bit over the digits of the id.
+    crc = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ord(d) AS BIGINT))),
+  lambda c, d: list_reduce(list_prepend(xor(c, d), range(8)), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+    return f"""
+WITH src AS (SELECT doc_id, lang, {head} AS head, text, CASE WHEN {crc} % 3 = 0 THEN {low} ELSE text END AS now FROM documents),
+leaves AS (SELECT doc_id, lang AS tree, sha256(head || {piece('text')}) AS h, sha256(head || {piece('now')}) AS f FROM src),
+ranked AS (SELECT *, '' AS p, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n
+  FROM leaves),
+t0 AS (SELECT tree, idx, n, h FROM ranked),
+{tree('t', levels)},
+subs AS (SELECT tree AS name, h AS subroot, row_number() OVER (ORDER BY tree NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM t{levels}),
+u0 AS (SELECT 0 AS tree, place AS idx, n, subroot AS h FROM subs),
+{tree('u', top_levels)},
+{climbed('c', 'ranked', 't', levels)},
+upper AS (SELECT doc_id, c.h AS leaf, subroot, 0 AS tree, place AS idx, f, p FROM c{levels - 1} c JOIN subs ON name IS NOT DISTINCT FROM c.tree),
+{climbed('d', 'upper', 'u', top_levels)}
+SELECT doc_id, leaf, subroot, u{top_levels}.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = u{top_levels}.h AS verified
+FROM d{top_levels - 1} CROSS JOIN u{top_levels}
+"""
+
+
+_OP11 = _merkle_sql(8, 2)
+
+_OP12 = """
+WITH src AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS d FROM documents),
+drawn AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS units,
+         list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(d, i, 8) AS BIGINT)) AS h FROM src),
+cut AS (
+  SELECT *, len(units) AS n,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+         least(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS low, greatest(h[1] % (len(units) + 1), h[2] % (len(units) + 1)) AS high
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:low], '') AS a, array_to_string(units[low + 1:high], '') AS m, array_to_string(units[high + 1:], '') AS z FROM cut)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(a) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || a || '<S>' || z || '<M>' || m ELSE '<S>' || z || '<P>' || a || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts
+"""
+
+_OP13_WORDS = (f"regexp_extract_all(translate(coalesce(text, ''), '{decontaminate.UPPER}', '{decontaminate.LOWER}'), "
+               r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+
+_OP13 = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_OP13_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item_id, {_OP13_WORDS} AS w FROM benchmark),
+wanted AS (
+  SELECT item_id, least(len(w), 10) AS k, unnest(list_transform(range(1, greatest(len(w) - 10, 0) + 2), lambda i: array_to_string(w[i:i + 9], ' '))) AS v
+  FROM b WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT k FROM wanted),
+mine AS (SELECT r, k, unnest(range(1, len(w) - k + 2)) AS i, w FROM d, sizes WHERE len(w) >= k),
+hits AS (SELECT r, m.k, i, item_id FROM (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS v FROM mine) m JOIN wanted ON m.k = wanted.k AND m.v = wanted.v),
+covered AS (SELECT r, count(DISTINCT j) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS j FROM (SELECT DISTINCT r, i, k FROM hits)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids FROM (SELECT DISTINCT r, item_id FROM hits WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN covered USING (r) LEFT JOIN items USING (r)
+"""
+
 ORACLE = {
     "op1_chat_format": _OP1,
     "op3_url_filter": _OP3,
     "op4_topk_nra": _OP4,
+    "op11_merkle_manifest": _OP11,
+    "op12_fill_in_middle": _OP12,
+    "op13_decontaminate": _OP13,
 }
