@@ -1,8 +1,10 @@
 """SentencePiece max-plus scan against a plain best path over whole texts, and exact round trips."""
 
 import random
+import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from helixframe.llm import queries
 from helixframe.llm import sentencepiece_maxplus as S
@@ -95,9 +97,28 @@ def test_documents_in_chunks_and_blocks(spark):
 
 def test_query_reads_back_every_document(spark):
     docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
-    rows = queries.op6_sentencepiece(spark, SF).collect()
-    n_bytes = {}
-    for r in rows:
-        n_bytes[r.doc_id] = n_bytes.get(r.doc_id, 0) + r.n_bytes
-    assert n_bytes == {i: len(S.normalised(t).replace(S.SPACE, " ").encode()) for i, t in docs.items()}
+    rows = queries.op6_sentencepiece(spark, SF, with_values=True).collect()
     assert any(r.n_chunks > 1 for r in rows)
+    ids, decoded = {}, {}
+    for r in rows:
+        assert (r.ids_crc32, r.utf8_crc32, r.n_bytes) == (zlib.crc32(r.ids), zlib.crc32(r.utf8), len(r.utf8))
+    for r in sorted(rows, key=lambda r: r.chunk):
+        ids.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
+        decoded[r.doc_id] = decoded.get(r.doc_id, b"") + r.utf8
+    assert decoded == {i: S.normalised(t).encode() for i, t in docs.items()}
+    # the ids are a path of the highest score through the whole text
+    assert all(abs(score_of(ids[i]) - plain_score(S.normalised(t))) < 1e-6 for i, t in docs.items() if t)
+
+
+def test_order_of_the_input_does_not_matter(spark):
+    """Long texts, copies of them and of their ids, read in another order whenever the plan is evaluated."""
+    text = "the words und so weiter " * 20
+    rows = [(1, text), (1, text), (2, text), (2, text[5:]), (None, text), (3, "short")]
+    docs = spark.createDataFrame(rows * 5, "doc_id long, text string").orderBy(F.rand())
+    out = S.decode_chunks(S.encode_documents(docs, settings=S.Settings(chunk=31, block=2))).collect()
+    for i, t in rows:
+        n = -(-len(S.normalised(t)) // 31)
+        chunks = [r for r in out if r.doc_id == i and r.n_chunks == n]
+        wanted = 5 * sum(1 for k, u in rows if k == i and -(-len(S.normalised(u)) // 31) == n)
+        for k in range(n):
+            assert len([r for r in chunks if r.chunk == k]) == wanted
