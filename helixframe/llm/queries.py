@@ -56,8 +56,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_sentencepiece(spark: SparkSession, sf_dir: str, with_values: bool = False) -> DataFrame:
     """A row per chunk of every document: its tokens, and a checksum of what they decode to."""
-    found = sentencepiece_maxplus.encode_documents(table(spark, sf_dir, "documents"))
-    decoded = sentencepiece_maxplus.decode_chunks(found)
+    decoded = sentencepiece_maxplus.encode_documents(table(spark, sf_dir, "documents"), decoded=True)
     return decoded.select("doc_id", "chunk", "n_chunks", "n_chars", "n_tokens", F.crc32("ids").alias("ids_crc32"),
                           F.octet_length("utf8").cast("long").alias("n_bytes"), F.crc32("utf8").alias("utf8_crc32"),
                           *(["ids", "utf8"] if with_values else []))

@@ -41,7 +41,7 @@ LOWEST = -np.inf
 class Settings(NamedTuple):
     chunk: int = 16_384     # characters
     block: int = 64         # chunks whose matrices are combined at once
-    cached: int = 500_000   # words that a worker remembers
+    cached: int = 450_000   # words that a worker remembers
 
 
 class Remembered:
@@ -52,6 +52,9 @@ class Remembered:
         self.compute, self.half, self.longest = compute, max(1, limit // 2), longest
         self.young, self.old = {}, {}
 
+    def forget(self) -> None:
+        self.young, self.old = {}, {}
+
     def _new(self, word: str):
         found = self.old.get(word)
         if found is None:
@@ -90,6 +93,10 @@ class Decoder:
         """UTF-8 bytes of ids; those of chunks follow each other, also where a character is split over them."""
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decoded(self, ids: pd.Series) -> list[bytes]:
+        """``decode`` for little-endian unsigned 32-bit ids."""
+        return [self.decode(np.frombuffer(x, "<u4").tolist()) for x in ids]
+
 
 def _kind(c: str) -> str:
     kind = unicodedata.category(c)[0]
@@ -124,7 +131,7 @@ class Vocabulary(Decoder):
             node[""] = score
         self.word = self._word_pattern()
         self.ids_of = Remembered(lambda w: self.best_path(w)[1], cached)
-        self.score_of = Remembered(lambda w: self.best_path(w)[0], cached)
+        self.score_of = Remembered(lambda w: self.forward(w, 0, len(w))[0][-1], cached)
 
     def _word_pattern(self) -> re.Pattern:
         """What is segmented on its own. Every path has a border where no piece can reach over: in front of a
@@ -248,6 +255,13 @@ def worker_vocabulary(path: str, cached: int) -> Vocabulary:
     return Vocabulary(path, cached)
 
 
+def segmenting(path: str, cached: int) -> Vocabulary:
+    """The worker's vocabulary, for tasks that need ids: the scores remembered for the matrices make room."""
+    vocabulary = worker_vocabulary(path, cached)
+    vocabulary.score_of.forget()
+    return vocabulary
+
+
 @lru_cache(maxsize=1)
 def worker_decoder(path: str) -> Decoder:
     return Decoder(path)
@@ -288,9 +302,10 @@ def states(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
 
 
 def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = PIECES,
-                     settings: Settings = Settings()) -> DataFrame:
+                     settings: Settings = Settings(), decoded: bool = False) -> DataFrame:
     """A row per chunk: ``doc_id``, ``chunk`` (from 0), ``n_chunks``, ``n_chars`` (of the normalised text),
     ``n_tokens`` and ``ids`` (little-endian unsigned 32-bit); the ids of a document are those of its chunks.
+    With ``decoded`` also ``utf8`` as ``decode_chunks`` adds it, in the same worker.
 
     The normalised text has a blank in front. Characters without a piece become bytes (or the unknown id, in a
     vocabulary without bytes). A null or empty text is one empty chunk. Repeated rows are encoded each; null ids
@@ -304,7 +319,8 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     counts = [T.StructField(c, T.LongType()) for c in ("chunk", "n_chunks", "n_chars")]
     key = [T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]
     cut_schema = T.StructType([*key, id_field, *counts, T.StructField("piece", T.StringType())])
-    out_schema = T.StructType([id_field, *counts, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType())])
+    out_schema = T.StructType([id_field, *counts, T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
+                               *([T.StructField("utf8", T.BinaryType())] if decoded else [])])
     n_parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     width = worker_vocabulary(path, cached).width
 
@@ -320,7 +336,7 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Texts of one chunk, from their start to their end."""
-        vocabulary = worker_vocabulary(path, cached)
+        vocabulary = segmenting(path, cached)
         for batch in batches:
             texts = batch["_text"].tolist()
             yield _result(pd.DataFrame({"doc_id": batch["doc_id"], "chunk": 0, "n_chunks": 1, "n_chars": [len(t) + 1 if t else 0 for t in texts]}),
@@ -358,15 +374,16 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
         return over_runs(batches, 3, solve, ["of_a", "of_b", "of_chunk", "i", "j"])
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        vocabulary = worker_vocabulary(path, cached)
+        vocabulary = segmenting(path, cached)
         for batch in batches:
             yield _result(batch, [vocabulary.segment(t, n, i, j) for t, n, i, j in zip(
                 batch["piece"], batch["n_chars"], batch["i"], batch["j"], strict=True)])
 
     def _result(batch: pd.DataFrame, ids: list[bytes]) -> pd.DataFrame:
-        return pd.DataFrame({**{c: batch[c] for c in ("doc_id", "chunk", "n_chunks", "n_chars")},
-                             "n_tokens": [len(x) // 4 for x in ids],
-                             "ids": [np.frombuffer(x, np.uint32).astype("<u4").tobytes() for x in ids]})
+        out = pd.DataFrame({**{c: batch[c] for c in ("doc_id", "chunk", "n_chunks", "n_chars")},
+                            "n_tokens": [len(x) // 4 for x in ids],
+                            "ids": [np.frombuffer(x, np.uint32).astype("<u4").tobytes() for x in ids]})
+        return out.assign(utf8=worker_vocabulary(path, cached).decoded(out["ids"])) if decoded else out
 
     long = source.where(F.length("_text") >= size).select(F.xxhash64("_text").alias("a"), F.xxhash64(F.lit("text"), "_text").alias("b"), "doc_id", "_text")
     several = long.mapInPandas(cut, cut_schema)
@@ -395,6 +412,6 @@ def decode_chunks(encoded: DataFrame, path: str = PIECES, settings: Settings = S
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         decoder = worker_decoder(path)
         for batch in batches:
-            yield batch.assign(utf8=[decoder.decode(np.frombuffer(x, "<u4").tolist()) for x in batch["ids"]])
+            yield batch.assign(utf8=decoder.decoded(batch["ids"]))
 
     return encoded.mapInPandas(run, schema)
