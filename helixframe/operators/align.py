@@ -4,18 +4,22 @@ region tiling, window index and interval overlap joins (A1-A8).
 The aligner, BAM and BAI bodies are outside the reference tree; this module is
 their table-level re-aim with its own contract:
 
-* A1 ``kmer_index``: every k-mer of the reference with its 0-based position.
-  No position is dropped: those of a k-mer seen more than ``max_occ`` times are
-  kept under the longer seed that begins there, so that a read is placed by what
-  tells the copies apart and the seed join has no hot key for every repeat.
-* A2 ``map_reads``: both strands of each read are cut into k-mers and joined
-  to the index on the seed code; votes are counted per (read, reference,
-  contig, strand, diagonal = ref_pos − read_offset); the best hit has the most
-  votes, ties broken by contig, start, strand.  One result per read and
-  reference.  Mapping quality = 60 · (best − second) / best.  A read whose only
-  seeds are repeats too short to place is reported as ``repeat``, quality 0.
+* A1 ``kmer_index``: every k-mer of the reference with its 0-based position, and
+  ``occ``, how often it occurs, where that is more than ``max_occ``.  No position
+  is dropped.  ``seed_frequencies`` is the table of the frequent ones.
+* A2 ``map_reads``: rarest seeds first.  Round 0: seeds at offsets 0, k, 2k, … of
+  both strands that are rare in the reference vote per (read, reference, contig,
+  strand, diagonal = ref_pos − read_offset); the most votes win, ties broken by
+  contig, start, strand.  Reads that this does not place within ``max_mm``
+  mismatches go on to their seeds at *every* offset, the rare ones first, then
+  class by class of frequency.  So a read that has an intact k-mer and at most
+  ``max_mm`` mismatches somewhere is placed, whatever ``max_occ`` is.
 * A3 ``verify_hits``: ungapped comparison with the reference tile; hits with
   more than ``max_mm`` mismatches or off the contig become unmapped.
+
+A frequent seed has no join of all its reads with all its copies: only reads that
+no rarer seed placed meet it, as distinct sequences, and of its copies only the
+distinct surroundings, under salted keys.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ from pyspark.sql import functions as F
 
 from helixframe.functions.partitioning import spread
 from helixframe.functions.seq import acgt_only, kmer_code, revcomp
+from helixframe.session import cut_lineage
 
 UNMAPPED_FLAG, REVERSE_FLAG = 4, 16
 WINDOW = 16384
@@ -45,37 +50,32 @@ def tiles_from_contigs(contigs: DataFrame, tile: int = 65536, overlap: int = 102
     return t
 
 
-LONG_K = 31
-
+# A class of seeds is this many times as frequent as the one before it, and a salted share of a seed's
+# surroundings has about this many.
+CLASS_FACTOR, SALTED = 64, 1024
 
-def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 65536, long_k: int = LONG_K) -> DataFrame:
-    """A1: (reference, seed_len, code, contig_idx, pos) for every k-mer position.
 
-    ``seed_len`` is k, or ``long_k`` where the k-mer is frequent and the longer
-    seed fits.  A frequent k-mer also has one row without a position, by which a
-    read finds out that its seed is a repeat.
-    """
+def kmer_index(tiles: DataFrame, k: int = 15, max_occ: int = 64, tile: int = 65536) -> DataFrame:
+    """A1: (reference, code, contig_idx, pos, occ) for every k-mer position; ``occ`` is null up to ``max_occ``."""
     ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
     own = own_positions(tile, k)
     km = (spread(tiles).select(ref.alias("reference"), "contig_idx", "start", "seq", acgt_only("seq").alias("_clean"),
                        F.explode(F.sequence(F.lit(0), F.greatest(own - 1, F.lit(0)))).alias("i"))
           .where(F.col("i") < own)
           .select("reference", "contig_idx", "_clean", (F.col("start") + F.col("i")).alias("pos"),
-                  F.expr(f"substring(seq, i + 1, {k})").alias("kmer"), F.expr(f"substring(seq, i + 1, {long_k})").alias("long_kmer"))
+                  F.expr(f"substring(seq, i + 1, {k})").alias("kmer"))
           # the per-k-mer check runs only for tiles with other letters (N runs)
           .where((F.col("_clean") & (F.length("kmer") == k)) | F.col("kmer").rlike(f"^[ACGT]{{{k}}}$"))
-          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code"), "long_kmer"))
+          .select("reference", "contig_idx", "pos", kmer_code(F.col("kmer"), k).alias("code")))
     # Occurrences per k-mer with map-side partial aggregation: a satellite k-mer seen millions of times
     # is one row per map task before the shuffle.
-    frequent = km.groupBy("reference", "code").agg(F.count("*").alias("_n")).where(F.col("_n") > max_occ).drop("_n")
-    marked = km.join(frequent.withColumn("_frequent", F.lit(True)), ["reference", "code"], "left")
-    use_long = F.col("_frequent").isNotNull() & F.col("long_kmer").rlike(f"^[ACGT]{{{long_k}}}$")
-    seeds = marked.select("reference", F.when(use_long, F.lit(long_k)).otherwise(F.lit(k)).alias("seed_len"),
-                          F.when(use_long, kmer_code(F.when(use_long, F.col("long_kmer")), long_k)).otherwise(F.col("code")).alias("code"),
-                          "contig_idx", "pos")
-    notes = frequent.select("reference", F.lit(k).alias("seed_len"), "code", F.lit(None).cast("long").alias("contig_idx"),
-                            F.lit(None).cast("long").alias("pos"))
-    return seeds.unionByName(notes)
+    frequent = km.groupBy("reference", "code").agg(F.count("*").alias("occ")).where(F.col("occ") > max_occ)
+    return km.join(frequent, ["reference", "code"], "left").select("reference", "code", "contig_idx", "pos", "occ")
+
+
+def seed_frequencies(index: DataFrame) -> DataFrame:
+    """A1: (reference, code, occ) of the frequent k-mers."""
+    return index.where("occ IS NOT NULL").groupBy("reference", "code").agg(F.max("occ").alias("occ"))
 
 
 def own_positions(tile: int, k: int):
@@ -83,69 +83,133 @@ def own_positions(tile: int, k: int):
     return F.least(F.lit(tile), F.length("seq") - k + 1)
 
 
-def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None, long_k: int = LONG_K) -> DataFrame:
+def read_kmers(reads: DataFrame, k: int = 15, stride: int | None = None, keys: tuple[str, ...] = ("read_id",)) -> DataFrame:
     """Both strands of each read cut into seed k-mers at offsets 0, stride, 2·stride, …
-    (default stride = k: non-overlapping seeds), each also as the longer seed where
-    that fits.  A read shorter than k has no seed."""
+    (default stride = k: non-overlapping seeds).  A read shorter than k has no seed."""
     stride = stride or k
-    both = reads.where(F.length("seq") >= k).select("read_id", F.explode(F.array(
+    both = reads.where(F.length("seq") >= k).select(*keys, F.explode(F.array(
         F.struct(F.lit(0).alias("strand"), F.col("seq").alias("s")),
         F.struct(F.lit(1).alias("strand"), revcomp(F.col("seq")).alias("s")))).alias("x"))
-    both = both.select("read_id", F.col("x.strand").alias("strand"), F.col("x.s").alias("s"))
-    km = both.select("read_id", "strand", "s", F.explode(F.sequence(F.lit(0), F.length("s") - k, F.lit(stride))).alias("j"))
-
-    def seed(n: int):
-        text = F.expr(f"substring(s, j + 1, {n})")
-        fits = text.rlike(f"^[ACGT]{{{n}}}$")
-        return F.struct(F.lit(n).alias("seed_len"), F.when(fits, kmer_code(F.when(fits, text), n)).alias("code"))
-    return (km.select("read_id", "strand", "j", F.explode(F.array(seed(k), seed(long_k))).alias("x"))
-            .select("read_id", "strand", "j", "x.seed_len", "x.code").where(F.col("code").isNotNull()))
-
-
-def map_reads(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None,
-              references: list[str] | None = None, long_k: int = LONG_K) -> DataFrame:
-    """A2: best (reference, contig, start, strand) per read and reference.
-
-    Seeds: the read's k-mers at offsets 0, stride, … on both strands (default
-    stride = k, non-overlapping), looked up in an index of *every* reference
-    k-mer, so each exact seed votes for the true diagonal.  Probe volume is
-    what grows with the read data, hence the sparse seeds.
-
-    ``reads`` needs read_id and seq.  Returns read_id, reference, contig_idx,
-    start (0-based), strand, votes, second_votes, mapq, repeat.  The seed join is
-    an equi-join with plain shuffled sides, so a seed that is frequent even at
-    the longer length is split by adaptive execution.  A read that hits only
-    marks of frequent k-mers has no place, no votes and ``repeat`` set.
+    both = both.select(*keys, F.col("x.strand").alias("strand"), F.col("x.s").alias("s"))
+    km = both.select(*keys, "strand", "s", F.explode(F.sequence(F.lit(0), F.length("s") - k, F.lit(stride))).alias("j"))
+    text = F.expr(f"substring(s, j + 1, {k})")
+    return (km.where(text.rlike(f"^[ACGT]{{{k}}}$"))
+            .select(*keys, "strand", "j", kmer_code(F.expr(f"substring(s, j + 1, {k})"), k).alias("code")))
+
+
+def vote_hits(reads: DataFrame, index: DataFrame, k: int = 15, stride: int | None = None,
+              references: list[str] | None = None) -> DataFrame:
+    """A2, round 0: the place with the most votes of rare seeds, per read and reference.
+
+    Returns read_id, reference, contig_idx, start (0-based), strand, votes, second_votes, mapq, repeat (another
+    place has as many votes); reads without a rare seed are absent.  Sparse seeds, as probe volume is what grows
+    with the read data; no key of this join has more than ``max_occ`` rows of the index.
     """
-    km = read_kmers(reads, k, stride, long_k)
-    keys = ["seed_len", "code"]
+    km = read_kmers(reads, k, stride)
+    keys = ["code"]
     if references:
         km = km.withColumn("reference", F.explode(F.array(*[F.lit(r) for r in references])))
-        keys = ["reference", *keys]
-    hits = km.join(index, keys)
+        keys = ["reference", "code"]
+    hits = km.join(index.where("occ IS NULL").drop("occ"), keys)
     votes = (hits.groupBy("read_id", "reference", "contig_idx", "strand", (F.col("pos") - F.col("j")).alias("start"))
              .agg(F.count("*").alias("votes")))
-    placed = F.col("contig_idx").isNotNull()
     hit = F.struct((-F.col("votes")).alias("nv"), "contig_idx", "start", "strand")
     # The two greatest vote counts without a list of candidates: how many hits share the greatest, and the
     # greatest below it.  Counts per (read, votes) first, so a read with very many candidates stays small.
-    by_votes = votes.groupBy("read_id", "reference", "votes").agg(
-        F.min(F.when(placed, hit)).alias("b"), F.count_if(placed).alias("n"))
+    by_votes = votes.groupBy("read_id", "reference", "votes").agg(F.min(hit).alias("b"), F.count("*").alias("n"))
     best = by_votes.groupBy("read_id", "reference").agg(
-        F.min("b").alias("b"), F.max(F.when(F.col("n") > 0, F.struct("votes", "n"))).alias("top"),
-        F.slice(F.sort_array(F.collect_set(F.when(F.col("n") > 0, F.col("votes"))), asc=False), 1, 2).alias("most"))
-    second = F.when(F.col("top.n") > 1, F.col("top.votes")).otherwise(F.get("most", F.lit(1)))
-    out = best.select(
+        F.min("b").alias("b"), F.max(F.struct("votes", "n")).alias("top"),
+        F.slice(F.sort_array(F.collect_set("votes"), asc=False), 1, 2).alias("most"))
+    second = F.when(F.col("top.n") > 1, F.col("top.votes")).otherwise(F.coalesce(F.get("most", F.lit(1)), F.lit(0)))
+    return best.select(
         "read_id", "reference", F.col("b.contig_idx").alias("contig_idx"), F.col("b.start").alias("start"),
-        F.col("b.strand").alias("strand"), F.coalesce("top.votes", F.lit(0)).alias("votes"),
-        F.coalesce(second, F.lit(0)).alias("second_votes"), F.col("b").isNull().alias("repeat"))
-    quality = F.when(F.col("votes") > 0, F.floor(F.lit(60) * (F.col("votes") - F.col("second_votes")) / F.col("votes"))).otherwise(0)
-    return out.withColumn("mapq", quality.cast("int"))
+        F.col("b.strand").alias("strand"), F.col("top.votes").alias("votes"), second.alias("second_votes"),
+        F.floor(F.lit(60) * (F.col("top.votes") - second) / F.col("top.votes")).cast("int").alias("mapq"),
+        (F.col("top.n") > 1).alias("repeat"))
+
+
+def surroundings(places: DataFrame, tiles: DataFrame, span: int, k: int, tile: int) -> DataFrame:
+    """(reference, code, contig_idx, pos) to the distinct texts around a seed, ``span - k`` bases to both sides:
+    ``left`` (bases before the seed), ``around``, ``first`` (the first place that looks so) and ``copies``.
+
+    Tiles are joined with their neighbours first, so that a text is cut out of one row."""
+    ref = F.col("reference") if "reference" in tiles.columns else F.lit("ref")
+    reach = -(-span // tile)
+    wide = (tiles.select(ref.alias("_reference"), F.col("contig_idx").alias("_contig"), "tile", "start", F.substring("seq", 1, tile).alias("own"),
+                         F.explode(F.sequence(F.col("tile") - reach, F.col("tile") + reach)).alias("_tile"))
+            .groupBy("_reference", "_contig", "_tile").agg(
+                F.min("start").alias("_start"),
+                F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tile", "own"))), lambda x: x["own"]), "").alias("_text")))
+    met = places.join(wide, (F.col("reference") == F.col("_reference")) & (F.col("contig_idx") == F.col("_contig"))
+                      & (F.floor(F.col("pos") / tile) == F.col("_tile")))
+    left = F.least(F.col("pos") - F.col("_start"), F.lit(span - k))
+    around = F.substring("_text", (F.col("pos") - F.col("_start") - left + 1).cast("int"), (left + span).cast("int"))
+    return met.select("reference", "code", "contig_idx", "pos", left.cast("int").alias("left"), around.alias("around")).groupBy(
+        "reference", "code", "left", "around").agg(F.min(F.struct("contig_idx", "pos")).alias("first"), F.count("*").alias("copies"))
+
+
+def rescue_reads(reads: DataFrame, index: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4,
+                 tile: int = 65536, class_factor: int = CLASS_FACTOR) -> DataFrame:
+    """A2, further rounds, for (read_id, reference, seq) that votes did not place: seeds at every offset, by class of frequency.
+
+    Class 0 are the rare seeds; class c those seen at most ``max_occ · class_factor^c`` times.  Of the places
+    that a class gives, within ``max_mm`` mismatches, the fewest mismatches win, ties by contig, start and
+    strand; the next class meets the reads that are left.  Returns read_id, reference, contig_idx, start,
+    strand, votes (0), second_votes (0), mapq, repeat (several places are as good), written.
+    """
+    sequences = cut_lineage(reads.select("reference", "seq").distinct())
+    span = sequences.agg(F.max(F.length("seq")).alias("n")).first()["n"] or 0
+    most = seed_frequencies(index).agg(F.max("occ").alias("n")).first()["n"] or 0
+    found, top, low = [], 0, None
+    left = sequences
+    while span >= k and left.take(1):
+        seeds = read_kmers(left, k, 1, ("reference", "seq"))
+        high = max_occ * class_factor ** top
+        in_class = F.col("occ").isNull() if low is None else (F.col("occ") > low) & (F.col("occ") <= high)
+        wanted = seeds.select("reference", "code").distinct()
+        texts = surroundings(index.where(in_class).join(wanted, ["reference", "code"], "left_semi"), tiles, span, k, tile)
+        salts = max(1, high // SALTED)
+        texts = texts.withColumn("salt", F.pmod(F.xxhash64("around"), F.lit(salts)))
+        salted = seeds.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
+        met = salted.join(texts, ["reference", "code", "salt"])
+        read = F.when(F.col("strand") == 1, revcomp(F.col("seq"))).otherwise(F.col("seq"))
+        under = F.substring(F.col("around"), F.col("left") - F.col("j") + 1, F.length("seq"))
+        fits = (F.col("left") >= F.col("j")) & (F.length("around") >= F.col("left") - F.col("j") + F.length("seq"))
+        placed = met.where(fits).select("reference", "seq", _mismatches(read, under).alias("nm"), F.col("first.contig_idx").alias("contig_idx"),
+                                        (F.col("first.pos") - F.col("j")).alias("start"), "strand", "copies").where(F.col("nm") <= max_mm)
+        # A place is found by many seeds: one row each, before the best are counted.
+        places = placed.groupBy("reference", "seq", "nm", "contig_idx", "start", "strand").agg(F.max("copies").alias("copies"))
+        by_nm = places.groupBy("reference", "seq", "nm").agg(
+            F.min(F.struct("contig_idx", "start", "strand")).alias("place"), F.sum("copies").alias("n"))
+        best = cut_lineage(by_nm.groupBy("reference", "seq").agg(
+            F.min(F.struct("nm", "place", "n")).alias("best"), F.sort_array(F.collect_list("nm")).alias("all_nm")))
+        found.append(best)
+        left = left.join(best, ["reference", "seq"], "left_anti")
+        top, low = top + 1, max_occ if low is None else high
+        if low >= most:
+            break
+    if not found:
+        return reads.select("read_id", "reference", *[F.lit(None).cast(t).alias(c) for c, t in _HIT]).where(F.lit(False))
+    every = found[0]
+    for part in found[1:]:
+        every = every.unionByName(part)
+    gap = F.coalesce(F.get("all_nm", F.lit(1)), F.lit(max_mm + 1)) - F.col("best.nm")
+    rows = every.select("reference", "seq", F.col("best.place.contig_idx").alias("contig_idx"), F.col("best.place.start").alias("start"),
+                        F.col("best.place.strand").alias("strand"), F.lit(0).cast("long").alias("votes"), F.lit(0).cast("long").alias("second_votes"),
+                        F.when(F.col("best.n") > 1, 0).otherwise(F.floor(60 * gap / (max_mm + 1))).cast("int").alias("mapq"),
+                        (F.col("best.n") > 1).alias("repeat"))
+    return cut_lineage(reads.select("read_id", "reference", "seq").join(rows, ["reference", "seq"]).select(
+        "read_id", "reference", *[c for c, _ in _HIT]))
+
+
+_HIT = (("contig_idx", "long"), ("start", "long"), ("strand", "int"), ("votes", "long"), ("second_votes", "long"), ("mapq", "int"),
+        ("repeat", "boolean"))
 
 
 def _mismatches(a, b):
-    """Positions at which two strings of one length differ; each is cut into bases once."""
-    return F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda differ: differ))
+    """Positions at which two strings of one length differ; each is cut into bases once, equal ones not at all."""
+    differ = F.size(F.filter(F.zip_with(F.split(a, ""), F.split(b, ""), lambda x, y: x != y), lambda differ: differ))
+    return F.when(a == b, F.lit(0)).otherwise(differ)
 
 
 def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int = 4,
@@ -153,9 +217,9 @@ def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int
     """A3: ungapped check of each hit against the reference.
 
     Returns one alignment row per read and reference: read_id, reference,
-    contig_idx, contig, pos (1-based), strand, flag, cigar, mapq, nm, seq (as
-    on the forward strand), qual, plus the read's other columns.  Reads with
-    no hit, off-contig hits or more than ``max_mm`` mismatches are unmapped
+    contig_idx, contig, pos (1-based), strand, flag, cigar, mapq, votes,
+    second_votes, repeat (another place is as good), nm, seq (as on the forward
+    strand), qual, plus the read's other columns.  Reads with no hit, off-contig hits or more than ``max_mm`` mismatches are unmapped
     (flag 4, no position).
 
     Hits get their reads first, and then go to the tiles, of which only the bases
@@ -177,6 +241,8 @@ def verify_hits(hits: DataFrame, reads: DataFrame, tiles: DataFrame, max_mm: int
     end = F.col("start") + F.length("aseq")
     first, last = F.floor(F.greatest(F.col("start"), F.lit(0)) / tile), F.floor(F.greatest(end - 1, F.lit(0)) / tile)
     j = j.withColumns({"_first": first.cast("long"), "_last": last.cast("long")})
+    # Three branches read these rows: the mapping is run once.
+    j = cut_lineage(j)
     has_hit = F.col("contig_idx").isNotNull()
 
     def under(df: DataFrame) -> DataFrame:
@@ -216,6 +282,8 @@ def _alignment(j: DataFrame, ok, extra: list[str]) -> DataFrame:
         F.when(ok, F.when(F.col("strand") == 1, F.lit(REVERSE_FLAG)).otherwise(F.lit(0))).otherwise(F.lit(UNMAPPED_FLAG)).alias("flag"),
         F.when(ok, F.concat(F.length("aseq").cast("string"), F.lit("M"))).alias("cigar"),
         F.when(ok, F.col("mapq")).otherwise(F.lit(0)).alias("mapq"),
+        *[F.when(ok, F.col(c)).otherwise(F.lit(0)).cast("long").alias(c) for c in ("votes", "second_votes")],
+        F.coalesce(ok & F.col("repeat"), F.lit(False)).alias("repeat"),
         F.when(ok, F.col("nm")).alias("nm"),
         F.col("aseq").alias("seq"), F.col("aqual").alias("qual"),
         # the reference under the read (what an MD tag encodes): lets pileup and
@@ -224,7 +292,8 @@ def _alignment(j: DataFrame, ok, extra: list[str]) -> DataFrame:
 
 
 def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4,
-                tile: int = 65536, stride: int | None = None, references: list[str] | None = None) -> DataFrame:
+                tile: int = 65536, stride: int | None = None, references: list[str] | None = None,
+                class_factor: int = CLASS_FACTOR) -> DataFrame:
     """A1-A3 together.  Reads without any hit still come out (unmapped), once per
     reference (``references`` defaults to the names present in ``tiles``)."""
     if references is None:
@@ -232,11 +301,23 @@ def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int =
             references = sorted({r.reference for r in tiles.select("reference").distinct().collect()})
         else:
             references = ["ref"]
-    idx = kmer_index(tiles, k, max_occ, tile)
-    hits = map_reads(reads.select("read_id", "seq"), idx, k, stride, references)
+    index = cut_lineage(kmer_index(tiles, k, max_occ, tile))
+    hits = vote_hits(reads.select("read_id", "seq"), index, k, stride, references)
     per_ref = reads.select("read_id", F.explode(F.array(*[F.lit(r) for r in references])).alias("reference"))
-    hits = per_ref.join(hits.drop("repeat"), ["read_id", "reference"], "left")
-    return verify_hits(hits, reads, tiles, max_mm, tile)
+    first = cut_lineage(verify_hits(per_ref.join(hits, ["read_id", "reference"], "left"), reads, tiles, max_mm, tile))
+    lost = first.where(F.col("flag") == UNMAPPED_FLAG).select("read_id", "reference")
+    lost_reads = lost.join(reads.select("read_id", "seq"), "read_id")
+    rescued = rescue_reads(lost_reads, index, tiles, k, max_occ, max_mm, tile, class_factor)
+    again = verify_hits(rescued, reads, tiles, max_mm, tile)
+    return first.join(rescued.select("read_id", "reference"), ["read_id", "reference"], "left_anti").select(*again.columns).unionByName(again)
+
+
+def map_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4, tile: int = 65536,
+              stride: int | None = None, references: list[str] | None = None, class_factor: int = CLASS_FACTOR) -> DataFrame:
+    """A2: the place of every read per reference, all rounds: read_id, reference, contig_idx, start (0-based), strand,
+    votes (0 where no rare seed at a sparse offset placed it), second_votes, mapq, repeat; a read without a place has nulls."""
+    return align_reads(reads.select("read_id", "seq"), tiles, k, max_occ, max_mm, tile, stride, references, class_factor).select(
+        "read_id", "reference", "contig_idx", (F.col("pos") - 1).alias("start"), "strand", "votes", "second_votes", "mapq", "repeat")
 
 
 def sort_alignments(aln: DataFrame, num_partitions: int | None = None) -> DataFrame:

@@ -312,22 +312,19 @@ SELECT contig, CAST(length(seq) AS BIGINT) AS length, 60 AS linebases, 61 AS lin
 
 
 _ALIGN_CTES = """,
-ck AS (
-  SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer, substring(seq, CAST(pos + 1 AS INTEGER), 31) AS k31
-  FROM (SELECT contig_idx, seq, unnest(range(0, length(seq) - 14)) AS pos FROM contigs) x),
 idx AS (
-  SELECT contig_idx, pos, kmer, k31, count(*) OVER (PARTITION BY kmer) AS occ FROM ck
+  SELECT contig_idx, pos, kmer, count(*) OVER (PARTITION BY kmer) AS occ
+  FROM (SELECT contig_idx, pos, substring(seq, CAST(pos + 1 AS INTEGER), 15) AS kmer
+        FROM (SELECT contig_idx, seq, unnest(range(0, length(seq) - 14)) AS pos FROM contigs) x) ck
   WHERE regexp_full_match(kmer, '[ACGT]{15}')),
-rk AS (
-  SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer, substring(s, CAST(j + 1 AS INTEGER), 31) AS k31
-  FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14, 15)) AS j
-        FROM (SELECT read_id, 0 AS strand, seq AS s FROM reads
-              UNION ALL SELECT read_id, 1 AS strand, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads) b) x
-  WHERE regexp_full_match(substring(s, CAST(j + 1 AS INTEGER), 15), '[ACGT]{15}')),
+oriented AS (
+  SELECT read_id, 0 AS strand, seq AS s FROM reads
+  UNION ALL SELECT read_id, 1 AS strand, reverse(translate(seq, 'ACGT', 'TGCA')) AS s FROM reads),
 votes AS (
   SELECT rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j AS start, count(*) AS votes
-  FROM rk JOIN idx ON rk.kmer = idx.kmer
-    AND (idx.occ <= 1 OR NOT regexp_full_match(idx.k31, '[ACGT]{31}') OR idx.k31 = rk.k31)
+  FROM (SELECT read_id, strand, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer
+        FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14, 15)) AS j FROM oriented) x) rk
+  JOIN idx ON rk.kmer = idx.kmer AND idx.occ <= 1
   GROUP BY rk.read_id, idx.contig_idx, rk.strand, idx.pos - rk.j),
 vagg AS (
   SELECT read_id, max(votes) AS votes, coalesce(list_sort(list(votes), 'DESC')[2], 0) AS second_votes
@@ -341,40 +338,74 @@ hits AS (
          CAST(floor(60 * (a.votes - a.second_votes) / a.votes) AS INTEGER) AS mapq
   FROM pick p JOIN vagg a ON a.read_id = p.read_id),
 al0 AS (
-  SELECT r.read_id, r.run_id, r.sample_id, r.true_contig_idx, r.true_pos, r.true_strand,
-         h.contig_idx AS hc, h.start, h.strand AS hs, h.mapq AS hmapq, c.contig AS hcontig, length(c.seq) AS clen,
+  SELECT r.read_id, r.seq AS rseq, r.qual AS rqual, r.run_id, r.sample_id, r.true_contig_idx, r.true_pos, r.true_strand,
+         h.contig_idx, h.start, h.strand, h.mapq, h.votes, h.second_votes, h.votes = h.second_votes AS repeated,
          CASE WHEN h.strand = 1 THEN reverse(translate(r.seq, 'ACGT', 'TGCA')) ELSE r.seq END AS aseq,
-         CASE WHEN h.strand = 1 THEN reverse(r.qual) ELSE r.qual END AS aqual,
-         substring(c.seq, CAST(h.start + 1 AS INTEGER), length(r.seq)) AS refseq
+         substring(c.seq, CAST(h.start + 1 AS INTEGER), length(r.seq)) AS refseq, length(c.seq) AS clen
   FROM reads r LEFT JOIN hits h ON h.read_id = r.read_id LEFT JOIN contigs c ON c.contig_idx = h.contig_idx),
 al1 AS (
-  SELECT *, (start >= 0 AND start + length(aseq) <= clen AND length(refseq) = length(aseq)
-             AND hamming(aseq, refseq) <= 4) AS ok
-  FROM al0),
+  SELECT *, CASE WHEN start >= 0 AND start + length(aseq) <= clen THEN hamming(aseq, refseq) END AS mm FROM al0),
+lost AS (SELECT read_id FROM al1 WHERE coalesce(mm, 99) > 4),
+places AS (
+  SELECT l.read_id, l.strand, l.s, idx.contig_idx, idx.pos - l.j AS start,
+         min(CASE WHEN occ <= 1 THEN 0 WHEN occ <= 64 THEN 1 WHEN occ <= 4096 THEN 2 WHEN occ <= 262144 THEN 3 ELSE 4 END) AS class
+  FROM (SELECT read_id, strand, s, j, substring(s, CAST(j + 1 AS INTEGER), 15) AS kmer
+        FROM (SELECT read_id, strand, s, unnest(range(0, length(s) - 14)) AS j FROM oriented WHERE read_id IN (SELECT read_id FROM lost)) x) l
+  JOIN idx ON l.kmer = idx.kmer GROUP BY ALL),
+near AS (
+  SELECT * FROM (
+    SELECT p.*, CASE WHEN start >= 0 AND start + length(s) <= length(c.seq) THEN hamming(s, substring(c.seq, CAST(start + 1 AS INTEGER), length(s))) END AS mm
+    FROM places p JOIN contigs c ON c.contig_idx = p.contig_idx) x
+  WHERE mm <= 4),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY read_id ORDER BY class, mm, contig_idx, start, strand) AS rn,
+         count(*) OVER (PARTITION BY read_id, class, mm) AS n_same,
+         lead(mm) OVER (PARTITION BY read_id, class ORDER BY mm, contig_idx, start, strand) AS next_mm
+  FROM near),
+rescued AS (
+  SELECT read_id, contig_idx, start, strand, n_same > 1 AS repeated,
+         CASE WHEN n_same > 1 THEN 0 ELSE CAST(floor(60 * (coalesce(next_mm, 5) - mm) / 5) AS INTEGER) END AS mapq
+  FROM placed WHERE rn = 1),
+al2 AS (
+  SELECT a.read_id, rseq, rqual, run_id, sample_id, true_contig_idx, true_pos, true_strand,
+         CASE WHEN mm <= 4 THEN a.contig_idx ELSE r.contig_idx END AS hc, CASE WHEN mm <= 4 THEN a.start ELSE r.start END AS start,
+         CASE WHEN mm <= 4 THEN a.strand ELSE r.strand END AS hs, CASE WHEN mm <= 4 THEN a.mapq ELSE coalesce(r.mapq, 0) END AS mapq,
+         CASE WHEN mm <= 4 THEN votes ELSE 0 END AS votes, CASE WHEN mm <= 4 THEN second_votes ELSE 0 END AS second_votes,
+         CASE WHEN mm <= 4 THEN a.repeated ELSE coalesce(r.repeated, false) END AS repeated
+  FROM al1 a LEFT JOIN rescued r ON r.read_id = a.read_id),
+al3 AS (
+  SELECT a.*, c.contig, CASE WHEN hs = 1 THEN reverse(translate(rseq, 'ACGT', 'TGCA')) ELSE rseq END AS aseq,
+         CASE WHEN hs = 1 THEN reverse(rqual) ELSE rqual END AS aqual, substring(c.seq, CAST(start + 1 AS INTEGER), length(rseq)) AS refseq
+  FROM al2 a LEFT JOIN contigs c ON c.contig_idx = hc),
 aln AS (
   SELECT read_id, run_id, sample_id, true_contig_idx, true_pos, true_strand, 'ctg' AS reference,
-         CASE WHEN ok THEN hc END AS contig_idx, CASE WHEN ok THEN hcontig END AS contig,
-         CASE WHEN ok THEN CAST(start + 1 AS BIGINT) END AS pos, CASE WHEN ok THEN hs END AS strand,
-         CASE WHEN ok THEN (CASE WHEN hs = 1 THEN 16 ELSE 0 END) ELSE 4 END AS flag,
-         CASE WHEN ok THEN concat(CAST(length(aseq) AS VARCHAR), 'M') END AS cigar,
-         CASE WHEN ok THEN hmapq ELSE 0 END AS mapq,
-         CASE WHEN ok THEN hamming(aseq, refseq) END AS nm,
-         aseq AS seq, aqual AS qual, CASE WHEN ok THEN refseq END AS ref_seq
-  FROM al1)
+         hc AS contig_idx, contig, CAST(start + 1 AS BIGINT) AS pos, hs AS strand,
+         CASE WHEN hc IS NULL THEN 4 WHEN hs = 1 THEN 16 ELSE 0 END AS flag,
+         CASE WHEN hc IS NOT NULL THEN concat(CAST(length(aseq) AS VARCHAR), 'M') END AS cigar,
+         mapq, votes, second_votes, repeated AS repeat, CASE WHEN hc IS NOT NULL THEN hamming(aseq, refseq) END AS nm,
+         aseq AS seq, aqual AS qual, refseq AS ref_seq
+  FROM al3)
 """
 
 
 def _align(body: str) -> str:
-    """Seed-and-vote mapping and ungapped verification over whole contigs
-    (k = 15, read seeds every 15 bases, 31-base seeds where a k-mer occurs
-    more than once, max_mm = 4), string k-mers instead of codes."""
+    """Seed-and-vote mapping and ungapped verification over whole contigs (k = 15, rare read seeds every 15
+    bases, then every seed of the reads not placed, by class of frequency, max_mm = 4), string k-mers instead
+    of codes."""
     return with_ctes("", "contigs", "reads").rstrip() + _ALIGN_CTES + body
 
 
-ORACLE["kmer_index"] = _align("SELECT contig_idx, count(*) AS n_kmers, sum(pos) AS sum_pos FROM idx GROUP BY contig_idx")
-ORACLE["map_reads"] = _align("SELECT read_id, contig_idx, start, strand, votes, second_votes, mapq FROM hits")
+ORACLE["kmer_index"] = _align("""
+SELECT contig_idx, count(*) AS n_kmers, sum(pos) AS sum_pos, count(*) FILTER (WHERE occ > 1) AS n_frequent,
+       coalesce(sum(occ) FILTER (WHERE occ > 1), 0) AS sum_occ
+FROM idx GROUP BY contig_idx""")
+ORACLE["map_reads"] = _align("""
+SELECT read_id, contig_idx, pos - 1 AS start, strand, votes, second_votes, mapq, repeat FROM aln""")
+ORACLE["map_repeats"] = (ORACLE["map_reads"].replace(_ALIGN_CTES, """,
+twice AS (SELECT contig_idx, contig, CASE WHEN contig_idx % 2 = 0 THEN seq || seq ELSE seq END AS seq FROM contigs)"""
+                         + _ALIGN_CTES.replace("FROM contigs", "FROM twice").replace("JOIN contigs c", "JOIN twice c")))
 ORACLE["verify_hits"] = _align("""
-SELECT read_id, contig_idx, pos, strand, flag, cigar, nm, mapq,
+SELECT read_id, contig_idx, pos, strand, flag, cigar, nm, mapq, repeat,
        coalesce(contig_idx = true_contig_idx AND pos = true_pos AND strand = true_strand, false) AS correct
 FROM aln""")
 ORACLE["sorted_alignments"] = _align("""

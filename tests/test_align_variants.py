@@ -119,22 +119,79 @@ def test_reads_of_any_length(spark):
     assert got == {1: (1, 4, 0, 0), 2: (1, 101, 0, 0), 5: (1, 21, 1, 0), **dict.fromkeys((3, 4, 6, 7), (None,) * 4)}
 
 
-def test_repeats_are_placed_by_longer_seeds(spark):
+def _hamming(a, b):
+    return sum(x != y for x, y in zip(a, b, strict=True))
+
+
+def _places(read, contigs, k, max_mm):
+    """All (nm, contig, start, strand) within ``max_mm`` mismatches that share an intact k-mer with the read."""
+    out = set()
+    for strand, s in ((0, read), (1, _revcomp(read))):
+        for c, g in enumerate(contigs):
+            for start in range(len(g) - len(s) + 1):
+                under = g[start:start + len(s)]
+                if _hamming(s, under) <= max_mm and any(s[j:j + k] == under[j:j + k] for j in range(len(s) - k + 1)):
+                    out.add((_hamming(s, under), c, start, strand))
+    return out
+
+
+def test_every_read_with_an_intact_seed_is_placed_whatever_is_frequent(spark):
+    """Repeats: exact copies, copies that differ a little, and reads shorter and longer than a seed or a tile."""
+    rnd = random.Random(11)
+
+    def dna(n):
+        return "".join(rnd.choice("ACGT") for _ in range(n))
+
+    def changed(s, *at):
+        return "".join(("A" if c != "A" else "G") if i in at else c for i, c in enumerate(s))
+
+    unit = dna(150)
+    contigs = [dna(30) + unit + dna(20) + unit, unit, dna(40) + changed(unit, 40, 90) + dna(10), dna(200), unit * 3]
+    reads = {1: unit[5:69], 2: changed(unit[5:69], 30), 3: changed(unit[10:74], 20, 50), 4: unit[60:90], 5: _revcomp(changed(unit[3:67], 1, 40)),
+             6: changed(unit, 40, 90)[20:110], 7: contigs[3][50:114], 8: changed(contigs[3][60:130], 14, 29, 44), 9: dna(64), 10: unit + unit[:40],
+             11: contigs[0][10:70], 12: contigs[0][-40:], 13: unit[:15], 14: "N" * 20 + unit[20:60], 15: unit[1:65]}
+    frame = spark.createDataFrame([(i, f"c{i}", s) for i, s in enumerate(contigs)], "contig_idx long, contig string, seq string")
+    tiles = A.tiles_from_contigs(frame, tile=64, overlap=40, reference="g")
+    rows = spark.createDataFrame([(i, "S", "R", s, "I" * len(s)) for i, s in reads.items()],
+                                 "read_id long, sample_id string, run_id string, seq string, qual string")
+    near = {i: _places(s, contigs, 15, 4) for i, s in reads.items()}
+    assert [i for i, found in near.items() if not found] == [9, 14]
+    for max_occ in (1, 7):
+        aln = {r.read_id: r for r in A.align_reads(rows, tiles, 15, max_occ, 4, 64, class_factor=2).collect()}
+        assert set(aln) == set(reads)
+        for i, r in aln.items():
+            if not near[i]:
+                assert (r.flag, r.repeat) == (4, False)
+                continue
+            assert (r.nm, r.contig_idx, r.pos - 1, r.strand) in near[i], (max_occ, i)
+            same = [p for p in near[i] if p[0] == r.nm]
+            if max_occ == 1:          # these repeats hold no rare seed
+                assert r.repeat == (len(same) > 1) and (r.mapq == 0) == (len(same) > 1), i
+            assert not r.repeat or len(same) > 1
+    # the placed rows say how: votes of rare seeds, or none
+    hits = {r.read_id: r for r in A.map_reads(rows, tiles, 15, 1, 4, 64).collect()}
+    assert hits[7].votes > 1 and not hits[7].repeat and hits[2].votes == 0 and hits[2].repeat and hits[9].start is None
+
+
+def test_index_counts_and_frequent_seeds(spark):
     rnd = random.Random(5)
-    unit = "".join(rnd.choice("ACGT") for _ in range(20))
-    tails = ["".join(rnd.choice("ACGT") for _ in range(80)) for _ in range(12)]
+    unit, *tails = ["".join(rnd.choice("ACGT") for _ in range(n)) for n in [20] + [80] * 12]
     contigs = spark.createDataFrame([(i, f"c{i}", unit + t) for i, t in enumerate(tails)], "contig_idx long, contig string, seq string")
-    tiles = A.tiles_from_contigs(contigs, tile=64, overlap=40, reference="g")
-    reads = spark.createDataFrame([(i, "S", "R", unit + t[:25], "I" * 45) for i, t in enumerate(tails)] + [(99, "S", "R", unit, "I" * 20)],
-                                  "read_id long, sample_id string, run_id string, seq string, qual string")
-    index = A.kmer_index(tiles, 15, 4, 64)
-    assert index.where("pos IS NOT NULL").select("contig_idx", "pos").distinct().count() == 12 * 86   # no position is dropped
-    assert index.where("seed_len = 15 AND pos IS NOT NULL").groupBy("code").count().agg(F.max("count")).first()[0] <= 4
-    hits = {r.read_id: r for r in A.map_reads(reads.select("read_id", "seq"), index, 15, references=["g"]).collect()}
-    assert all((hits[i].contig_idx, hits[i].start, hits[i].repeat) == (i, 0, False) for i in range(12))
-    assert hits[99].repeat and hits[99].mapq == 0 and hits[99].contig_idx is None
-    aln = {r.read_id: r.pos for r in A.align_reads(reads, tiles, 15, 4, 2, 64).collect()}
-    assert aln == {**{i: 1 for i in range(12)}, 99: None}
+    index = A.kmer_index(A.tiles_from_contigs(contigs, tile=64, overlap=40, reference="g"), 15, 4, 64)
+    assert index.select("contig_idx", "pos").distinct().count() == index.count() == 12 * 86   # no position is dropped
+    occ = sorted(r.occ for r in A.seed_frequencies(index).collect())
+    assert occ[-6:] == [12] * 6 and occ[0] > 4
+
+
+def test_a_hot_seed_is_joined_by_distinct_surroundings_under_salted_keys(spark):
+    """100 copies of a unit: what meets the reads is one text per distinct surrounding, not one per copy."""
+    rnd = random.Random(1)
+    unit = "".join(rnd.choice("ACGT") for _ in range(60))
+    contigs = spark.createDataFrame([(0, "c0", unit * 100)], "contig_idx long, contig string, seq string")
+    tiles = A.tiles_from_contigs(contigs, tile=512, overlap=40, reference="g")
+    index = A.kmer_index(tiles, 15, 4, 512)
+    texts = A.surroundings(index, tiles, 40, 15, 512)
+    assert texts.agg(F.sum("copies")).first()[0] == 6000 - 14 and texts.count() < 60 + 2 * 40
 
 
 def test_unknown_bases_are_no_evidence(spark):

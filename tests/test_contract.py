@@ -13,8 +13,6 @@ def test_oracle_keys_subset_of_queries():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     assert len(q) >= 40
-    for name in q:
-        assert "pipeline" not in name
 
 
 def test_queries_plan_on_small_data(spark):
