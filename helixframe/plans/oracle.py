@@ -481,6 +481,12 @@ ORACLE["job_completion"] = (with_ctes("", "manifest", "objects", "contigs", "rea
 vr AS (SELECT sample_id, count(*) AS n_runs FROM status WHERE status = 'valid' GROUP BY sample_id),
 ar AS (SELECT sample_id, count(DISTINCT run_id) AS n, count(pos) AS n_mapped FROM aln GROUP BY sample_id)
 SELECT vr.sample_id, 'ctg' AS reference, vr.n_runs, coalesce(ar.n, 0) AS n_aligned, coalesce(ar.n, 0) AS n_sorted,
-       ar.n IS NOT NULL AS merged, coalesce(ar.n_mapped > 0, false) AS indexed, ar.n IS NOT NULL AS called,
-       coalesce(ar.n = vr.n_runs AND ar.n_mapped > 0, false) AS complete
+       ar.n IS NOT NULL AS merged, ar.n IS NOT NULL AS indexed, ar.n IS NOT NULL AS called,
+       coalesce(ar.n = vr.n_runs, false) AS complete
 FROM vr LEFT JOIN ar ON ar.sample_id = vr.sample_id""")
+ORACLE["finalise_modes"] = (with_ctes("", "manifest", "objects", "contigs", "reads").rstrip() + _recon_ctes()
+                            + _JOB_ALIGN + _PILEUP + """
+SELECT a.sample_id, count(*) AS n_reads, count(DISTINCT run_id) AS n_runs, count(pos) AS n_mapped, count(pos) AS n_indexed,
+       coalesce(any_value(c.n), 0) AS n_exported
+FROM aln a LEFT JOIN (SELECT sample_id, count(*) AS n FROM calls GROUP BY sample_id) c ON c.sample_id = a.sample_id
+GROUP BY a.sample_id""")
