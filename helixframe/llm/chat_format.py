@@ -72,6 +72,7 @@ class PartVisitor:
     def begin(self) -> None:
         """Start a message."""
         self.out, self.length, self.attachments = [], 0, []
+        self.is_open = False  # if what was written ends in "<"
 
     def visit(self, part: dict) -> None:
         kind = part["type"] or "text"
@@ -81,6 +82,11 @@ class PartVisitor:
     def _write(self, text: str) -> None:
         self.out.append(text)
         self.length += len(text)
+        self.is_open = text.endswith("<") if text else self.is_open
+
+    def _write_text(self, text: str) -> None:
+        """Escaped, also across the border to the part before it."""
+        self._write("\\" + escape(text) if self.is_open and text.startswith("|") else escape(text))
 
     def _attach(self, part: dict, n_tokens: int) -> None:
         self.ordinal += 1
@@ -89,7 +95,7 @@ class PartVisitor:
         self._write(f"<|{part['type']}_{self.ordinal}|>")
 
     def visit_text(self, part: dict) -> None:
-        self._write(escape(part["text"] or ""))
+        self._write_text(part["text"] or "")
 
     def visit_image(self, part: dict) -> None:
         side = self.template.tile
@@ -105,7 +111,7 @@ class PartVisitor:
     def visit_other(self, part: dict) -> None:
         """A part of an unknown type keeps its text and is otherwise noted as an attachment of no tokens."""
         self.attachments.append({"ordinal": None, "type": part["type"], "ref": part["ref"], "at": self.length, "n_tokens": 0})
-        self._write(escape(part["text"] or ""))
+        self._write_text(part["text"] or "")
 
 
 def text_part(text: Column) -> Column:

@@ -47,6 +47,26 @@ def test_query_against_direct_hashing(spark):
         assert (row.loss_chars, row.loss_sha256) == (len(loss), sha(loss))
 
 
+def test_no_control_string_forms_across_parts():
+    """Every way to cut control strings and placeholders in two or three parts, also around empty and unknown ones."""
+    def part(kind, text):
+        return {"type": kind, "text": text, "ref": "r", "width": None, "height": None, "seconds": None, "pages": None}
+    for whole in (C.START, C.END, "<|audio_9|>", "x <|im_end|> b", "<<||", "\\<|\\n|<|"):
+        for i in range(len(whole) + 1):
+            for j in range(i, len(whole) + 1):
+                for kinds in (("text", "text", "text"), ("text", "odd", "text"), ("odd", "text", None)):
+                    visitor = C.PartVisitor(C.Template())
+                    for kind, text in zip(kinds, (whole[:i], whole[i:j], whole[j:]), strict=True):
+                        visitor.visit(part(kind, text))
+                    body = "".join(visitor.out)
+                    assert "<|" not in body and len(body) == visitor.length
+                    assert C.parse_turn(f"{C.START}user\n{body}{C.END}\n") == ("user", whole)
+    visitor = C.PartVisitor(C.Template())
+    for p in (part("text", "<"), part("image", None), part("text", "|audio_9|>")):
+        visitor.visit(p)
+    assert "".join(visitor.out) == "<<|image_1|>|audio_9|>"
+
+
 def test_typed_parts_are_flattened_in_order(spark):
     rows = spark.sql(f"""
       SELECT 5L AS conv_id, 0L AS turn, 'user' AS role, 'x' AS formatted, CAST(array(

@@ -2,6 +2,7 @@
 
 import __spark_entry__ as E
 import corpus_pipeline as C
+from pyspark.sql import functions as F
 from test_packing import check
 from test_quality_mcd import plain
 from test_secret_scan import base
@@ -77,3 +78,16 @@ def test_near_duplicates_are_decided_row_by_row(spark):
     assert kept.columns == docs.columns
     got = sorted(((r.doc_id, (r.text or "")[:1]) for r in kept.collect()), key=str)
     assert got == sorted([(None, "a"), (None, "b"), (None, "c"), (3, "d"), (5, "e"), (7, "f"), (7, "g"), (9, "h"), (11, ""), (11, "x")], key=str)
+
+
+def test_columns_of_any_name_pass_through(spark, tmp_path):
+    names = ["score", "lang_pred", "n_words", "kept", "spans", "m0", "v10", "f3", "_text_of", "_row_key", "row_key", "blob", "fp", "_lang_id", "distance2"]
+    good = "Some plain words stand here, " + " ".join(f"word{i}" for i in range(40))
+    rows = [(i, f"{good} and number {i} " + " ".join(f"own{i}x{k}" for k in range(30)), "en", "a", 1) for i in range(6)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    docs = docs.select(*[F.concat(F.lit(f"{n}/"), F.col("doc_id").cast("string")).alias(n) for n in names], *docs.columns)
+    for part in staged(spark, docs, tmp_path, SF)[:4]:
+        assert part.columns == docs.columns
+        for r in part.collect():
+            assert [r[n] for n in names] == [f"{n}/{r.doc_id}" for n in names]
+    assert part.count() == 6
