@@ -1,15 +1,17 @@
 """Exact top-k inner products by no-random-access aggregation.
 
-Every dimension is a list of the candidates sorted by what they can contribute to a query: descending for a
-positive query component, ascending for a negative one. All lists are read in step, from the front only. A
-candidate read in some lists has a lower bound (its known contributions and the least that the other lists
-hold) and an upper bound (its known contributions and the last value read from the others). Candidates whose
-upper bound is below the k-th best lower bound are out; once the rest is settled, reading goes on for them
-alone until their scores are final.
-
-Candidates and queries are dealt into blocks, and a pair of blocks is a unit of work. Bounds are kept for a
-chunk of queries at a time as matrix products, so a task's memory is bounded by the block sizes. Every unit
-returns the best k of its candidates per query, and a window over those partial lists gives the final ranks.
+Every dimension is a list of the candidates sorted by what they can contribute to a query: falling for a
+positive query component, rising for a negative one; dimensions that the query does not use have no list. A
+query reads its lists in step, from the front only, a block of entries at a time. A candidate has a lower bound
+(its contributions read, and the end of the lists it was not met in) and an upper bound (the last entry read of
+those instead). After every block the candidates whose upper bound is below the k-th best lower bound are out,
+met or not. Once hardly more than k are left, no outsider can qualify: the query stops comparing bounds, and
+the lists are read on for the ones left alone, until their scores are final.
+
+Candidates and queries are dealt into blocks, and a pair of blocks is a unit of work. Lists are sorted once per
+unit and the bounds of one query are kept at a time, so a task's memory is bounded by the block sizes. Every
+unit returns the best k of its candidates per query, and a window over those partial lists gives the final
+ranks.
 """
 
 from __future__ import annotations
@@ -19,147 +21,180 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helixframe.llm.common import written
 
 
 class Settings(NamedTuple):
-    scale: int = 64                                 # a component x counts as floor(scale * x)
-    candidates: int = 2048                          # rows in a candidate block, about
-    queries: int = 2048                             # rows in a query block, about
-    chunk: int = 128                                # queries whose bounds are kept at a time
-    depths: tuple[float, ...] = (0.25, 0.5, 0.75)  # shares of the lists after which bounds are compared
+    scale: int = 64             # a component x counts as floor(scale * x)
+    candidates: int = 16384     # rows in a candidate block, about
+    queries: int = 1024         # rows in a query block, about
+    rounds: int = 16            # blocks of entries in which a list is read
+    left: int = 4               # bounds are compared until at most this many times k candidates are left
 
 
 class Lists:
-    """The sorted lists of a block of candidates, as read ranks per candidate and dimension."""
+    """The sorted lists of a block of candidates: per dimension their numbers by rising value, and the values."""
 
     def __init__(self, vectors: np.ndarray):
-        self.vectors = vectors
-        n, dims = vectors.shape
-        order = np.argsort(vectors, axis=0, kind="stable")
-        self.rising = np.empty((n, dims), np.int32)
-        np.put_along_axis(self.rising, order, np.arange(n, dtype=np.int32)[:, None].repeat(dims, axis=1), axis=0)
-        self.sorted = np.take_along_axis(vectors, order, axis=0)
-
-    def read(self, depth: int, falling: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Values after ``depth`` reads of the lists in falling (or rising) order: with unread ones at the
-        far end of their list, and with unread ones at the last value read."""
-        n = len(self.vectors)
+        self.n = len(vectors)
+        by_dim = np.ascontiguousarray(vectors.T)
+        order = np.argsort(by_dim, axis=1, kind="stable")
+        self.numbers = order.astype(np.int32)
+        self.values = np.take_along_axis(by_dim, order, axis=1)
+
+    def read(self, dim: int, falling: bool, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+        """Entries ``at`` to ``to`` of a list: candidates and values."""
         if falling:
-            known, last, end = self.rising >= n - depth, self.sorted[n - depth], self.sorted[0]
-        else:
-            known, last, end = self.rising < depth, self.sorted[depth - 1], self.sorted[-1]
-        return np.where(known, self.vectors, end), np.where(known, self.vectors, last)
+            at, to = self.n - to, self.n - at
+        return self.numbers[dim, at:to], self.values[dim, at:to]
 
 
-def exact_type(queries: np.ndarray, vectors: np.ndarray) -> type:
-    """The cheapest type in which the integer products and sums are exact."""
+class Found(NamedTuple):
+    """Candidates that can be among the best ``k``, their final scores, and how many entries of every list were
+    read when no other could qualify any more."""
+
+    numbers: np.ndarray
+    scores: np.ndarray
+    depth: int
+
+
+def whole_numbers(queries: np.ndarray, vectors: np.ndarray) -> type:
+    """64-bit integers if no bound can leave their range, else Python's; both are exact."""
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, vectors.shape[1])
-    return np.float32 if largest < 2**24 else np.float64 if largest < 2**53 else object
+    return np.int64 if largest < 2**61 else object
+
+
+def best_of_lists(query: np.ndarray, lists: Lists, own: np.ndarray, k: int, settings: Settings = Settings()) -> Found:
+    """Read the lists of one query until no candidate outside can be among its best ``k``, then on for those inside.
+
+    ``own`` are the numbers of candidates that do not count.
+    """
+    n, dims = lists.n, np.flatnonzero(query)
+    weights, falling = query[dims], query[dims] > 0
+    ends = np.array([lists.values[d, 0 if f else -1] for d, f in zip(dims, falling, strict=True)], query.dtype) * weights
+    low = np.full(n, ends.sum() if len(dims) else 0, query.dtype)
+    inside = np.ones(n, bool)
+    inside[own] = False
+    unmet = np.ones((len(dims), n), query.dtype)
+    step, depth = max(1, -(-n // settings.rounds)), 0
+    while len(dims) and depth < n and np.count_nonzero(inside) > settings.left * k:
+        to = min(n, depth + step)
+        last = np.empty_like(ends)
+        for i, d in enumerate(dims):
+            numbers, values = lists.read(d, falling[i], depth, to)
+            low[numbers] += values * weights[i] - ends[i]
+            unmet[i, numbers] = 0
+            last[i] = values[0 if falling[i] else -1] * weights[i]
+        depth = to
+        numbers = np.flatnonzero(inside)
+        kth = np.partition(low[numbers], len(numbers) - k)[len(numbers) - k]
+        # What a candidate can gain at most lies between the end of a list and the last entry read.
+        gain = (last - ends).sum()
+        maybe = numbers[low[numbers] + gain >= kth]
+        upper = low[maybe] + (last - ends) @ unmet[:, maybe]
+        inside[:] = False
+        inside[maybe[upper >= kth]] = True
+    settled = depth
+    if depth < n:
+        for i, d in enumerate(dims):
+            numbers, values = lists.read(d, falling[i], depth, n)
+            wanted = inside[numbers]
+            low[numbers[wanted]] += values[wanted] * weights[i] - ends[i]
+    numbers = np.flatnonzero(inside)
+    return Found(numbers, low[numbers], settled)
 
 
 def best_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
-                  settings: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Per query its best ``k`` of the block's candidates, ties to the smaller id: query ids, ids, scores."""
-    kind = exact_type(queries, vectors)
-    if kind is object:  # products beyond the exact range of floats: Python integers
+                  settings: Settings = Settings(), query_copies: np.ndarray | None = None,
+                  copies: np.ndarray | None = None) -> pd.DataFrame:
+    """Per query its best ``k`` of the block's candidates, ties to the smaller id.
+
+    Columns ``query`` (its number), ``vec_id``, ``score`` and ``depth``. The candidate of the query's id, vector
+    and copy number is the query itself and does not count.
+    """
+    kind = whole_numbers(queries, vectors)
+    if kind is object:
         to_int = np.vectorize(int, otypes=[object])
-        queries, vectors = to_int(queries), to_int(vectors)
+        queries, vectors = (to_int(x) if x.size else x.astype(object) for x in (queries, vectors))
     else:
         queries, vectors = queries.astype(kind), vectors.astype(kind)
+    query_copies = np.zeros(len(query_ids), np.int64) if query_copies is None else query_copies
+    copies = np.zeros(len(ids), np.int64) if copies is None else copies
     order = np.argsort(ids, kind="stable")
-    ids, vectors = ids[order], vectors[order]  # so that the first of equal scores is the smaller id
-    n = len(ids)
-    depths = sorted({d for d in (int(n * share) for share in settings.depths) if 0 < d < n}) if n > k and kind is not object else []
-    lists = Lists(vectors) if depths else None
-    reads = {d: (lists.read(d, True), lists.read(d, False)) for d in depths}
+    ids, copies, vectors = ids[order], copies[order], vectors[order]
+    lists = Lists(vectors)
     out = []
-    for at in range(0, len(queries), settings.chunk):
-        q, q_ids = queries[at:at + settings.chunk], query_ids[at:at + settings.chunk]
-        own = q_ids[:, None] == ids[None, :]
-        inside = ~own
-        up, down = np.maximum(q, 0), np.minimum(q, 0)
-        columns = np.arange(n)
-        for depth in depths:
-            (far_up, last_up), (far_down, last_down) = reads[depth]
-            lower = up @ far_up[columns].T + down @ far_down[columns].T
-            upper = up @ last_up[columns].T + down @ last_down[columns].T
-            lower[~inside[:, columns]] = -np.inf
-            if len(columns) <= k:
-                break
-            kth = np.partition(lower, len(columns) - k, axis=1)[:, len(columns) - k]
-            inside[:, columns] &= upper >= kth[:, None]
-            columns = columns[inside[:, columns].any(axis=0)]  # lists are read on for these alone
-        scores = q @ vectors[columns].T
-        out.append(_top(q_ids, ids[columns], scores, inside[:, columns], k))
-    return tuple(np.concatenate(x) for x in zip(*out, strict=True))
-
-
-def _top(query_ids: np.ndarray, ids: np.ndarray, scores: np.ndarray, inside: np.ndarray, k: int) -> tuple:
-    """The best ``k`` inside entries of every row; columns are in the order of ids."""
-    if scores.dtype == object:
-        found = [sorted((-int(s), int(i)) for s, i, ok in zip(row, ids, oks, strict=True) if ok)[:k]
-                 for row, oks in zip(scores, inside, strict=True)]
-        flat = [(q, i, -s) for q, best in zip(query_ids, found, strict=True) for s, i in best]
-        return (np.array([x[0] for x in flat], np.int64), np.array([x[1] for x in flat], np.int64),
-                np.array([x[2] for x in flat], np.int64))
-    scores = np.where(inside, scores, -np.inf)
-    if scores.shape[1] > k:
-        kth = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k]
-        i, j = np.nonzero((scores >= kth[:, None]) & inside)
-    else:
-        i, j = np.nonzero(inside)
-    s = scores[i, j]
-    order = np.lexsort((ids[j], -s, i))
-    i, j, s = i[order], j[order], s[order]
-    first = np.searchsorted(i, np.arange(len(query_ids)))
-    keep = np.arange(len(i)) - first[i] < k
-    return query_ids[i[keep]].astype(np.int64), ids[j[keep]].astype(np.int64), s[keep].astype(np.int64)
+    for number, (query_id, copy, query) in enumerate(zip(query_ids, query_copies, queries, strict=True)):
+        a, b = np.searchsorted(ids, [query_id, query_id + 1])
+        own = a + np.flatnonzero((copies[a:b] == copy) & (vectors[a:b] == query).all(axis=1))
+        found = best_of_lists(query, lists, own, k, settings)
+        # Numbers are in the order of ids, so a stable sort leaves ties to the smaller id.
+        best = np.argsort(-found.scores, kind="stable")[:k]
+        out.append(pd.DataFrame({"query": number, "vec_id": ids[found.numbers[best]].astype(np.int64),
+                                 "score": found.scores[best].astype(np.int64), "depth": found.depth}))
+    return pd.concat(out, ignore_index=True)
 
 
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
-    """``vec_id``, ``v`` (doubles) and ``dims`` of vectors without null, infinite or not-a-number components.
+    """``vec_id``, ``v`` (doubles), ``dims`` and ``copy`` of vectors without null, infinite or not-a-number components.
 
-    Repeated ids are one row, that of the least vector.
+    Rows of one id and equal vectors are told apart by their copy number, from 0.
     """
     value = F.transform(F.col(embedding), lambda x: x.cast("double"))
     whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), value.alias("v")).where("vec_id IS NOT NULL AND v IS NOT NULL")
-    return rows.where(whole).groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dims", F.size("v"))
+    counted = rows.where(whole).groupBy("vec_id", "v").agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("vec_id", "v", F.size("v").alias("dims"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("copy"))
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding",
-          settings: Settings = Settings()) -> DataFrame:
+          settings: Settings = Settings(), with_depth: bool = False) -> DataFrame:
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score`` of every query's best ``k`` other rows.
 
     ``is_query`` maps the id column to a condition. Scores are inner products of floor(scale * component),
     whole numbers that must fit 64 bits; ties go to the smaller id. Only vectors of as many dimensions are
-    compared. Vectors (or ids) that are null, or hold null or non-finite components, take no part; repeated
-    ids count once. With fewer than ``k`` other rows, all are returned; an empty table gives no rows.
+    compared. Vectors (or ids) that are null, or hold null or non-finite components, take no part. Repeated
+    ids are rows of their own: each is a candidate of the others, and each query row has its own ranks. With
+    fewer than ``k`` other rows, all are returned; an empty table gives no rows. Other columns are not read.
+
+    ``with_depth`` adds ``depth``: the share of the lists (of the candidate's block) that the query had read
+    when no outsider could qualify any more.
     """
     rows = written(usable(vectors, vec_id, embedding))
-    queries = rows.where(is_query(F.col("vec_id")))
     n = rows.groupBy().agg(F.count(F.lit(1)).alias("all"), F.count_if(is_query(F.col("vec_id"))).alias("asked")).first()
     n_blocks, n_query_blocks = (max(1, math.ceil(a / b)) for a, b in ((n["all"], settings.candidates), (n["asked"], settings.queries)))
-    mine = F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int")
-    mine_query = F.pmod(F.xxhash64("vec_id"), F.lit(n_query_blocks)).cast("int")
-    asked = queries.select("dims", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))).alias("block"),
-                           mine_query.alias("query_block"), "vec_id", "v")
-    held = rows.select("dims", mine.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(n_query_blocks - 1))).alias("query_block"),
-                       "vec_id", "v")
+
+    def dealt(blocks: int) -> Column:
+        return F.pmod(F.xxhash64("vec_id", "v", "copy"), F.lit(blocks)).cast("int")
+
+    def every(blocks: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    row = ["vec_id", "copy", "v"]
+    asked = rows.where(is_query(F.col("vec_id"))).select("dims", every(n_blocks).alias("block"), dealt(n_query_blocks).alias("query_block"), *row)
+    # Columns of their own: grouped beside ``asked``, shared ones would be lost.
+    held = rows.select(F.col("dims").alias("dims"), dealt(n_blocks).alias("block"), every(n_query_blocks).alias("query_block"),
+                       *[F.col(c).alias(c) for c in row])
     unit = ["dims", "block", "query_block"]
+    result = "query_id long, query_row long, vec_id long, score long, depth double"
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
+            return pd.DataFrame({c.split()[0]: [] for c in result.split(", ")}, dtype="int64").astype({"depth": "float64"})
+        # The same queries meet every block of candidates in the same order, so their places name them.
+        left = left.assign(key=left["v"].map(tuple)).sort_values(["vec_id", "key", "copy"], ignore_index=True)
         q, c = (np.floor(settings.scale * np.stack(side["v"].to_list()).astype(np.float64)) for side in (left, right))
-        found = best_of_block(left["vec_id"].to_numpy(np.int64), q, right["vec_id"].to_numpy(np.int64), c, k, settings)
-        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), found, strict=True)))
-
-    partial = asked.groupBy(*unit).cogroup(held.groupBy(*unit)).applyInPandas(solve, "query_id long, vec_id long, score long")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", "rank", "vec_id", "score")
+        q_ids = left["vec_id"].to_numpy(np.int64)
+        found = best_of_block(q_ids, q, right["vec_id"].to_numpy(np.int64), c, k, settings,
+                              left["copy"].to_numpy(np.int64), right["copy"].to_numpy(np.int64))
+        number = found["query"].to_numpy(np.int64)
+        return pd.DataFrame({"query_id": q_ids[number], "query_row": number, "vec_id": found["vec_id"],
+                             "score": found["score"], "depth": found["depth"] / len(right)})
+
+    partial = asked.groupBy(*unit).cogroup(held.groupBy(*unit)).applyInPandas(
+        lambda key, left, right: solve(left, right).assign(dims=key[0], query_block=key[2]), f"{result}, dims int, query_block int")
+    best = Window.partitionBy("query_id", "query_row", "dims", "query_block").orderBy(F.desc("score"), "vec_id")
+    ranked = partial.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return ranked.select("query_id", "rank", "vec_id", "score", *(["depth"] if with_depth else []))

@@ -1,6 +1,7 @@
 """Exact top-k against sorting all scores."""
 
 import math
+from collections import Counter
 
 import numpy as np
 
@@ -11,22 +12,20 @@ SF = "/root/testdata/sf0.001"
 
 
 def plain(rows, is_query, k):
-    whole = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            whole[i] = min(whole.get(i, v), v)
-    ints = {i: [math.floor(64 * float(x)) for x in v] for i, v in whole.items()}
-    out = set()
-    for q in ints:
+    """Rows (query, rank, id, score) with how often each is there."""
+    whole = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows
+             if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = Counter()
+    for at, (q, w) in enumerate(whole):
         if is_query(q):
-            best = sorted((-sum(a * b for a, b in zip(ints[q], v, strict=True)), i) for i, v in ints.items()
-                          if i != q and len(v) == len(ints[q]))[:k]
-            out |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(best)}
+            best = sorted((-sum(a * b for a, b in zip(w, v, strict=True)), i) for n, (i, v) in enumerate(whole)
+                          if n != at and len(v) == len(w))[:k]
+            out.update((q, n + 1, i, -s) for n, (s, i) in enumerate(best))
     return out
 
 
 def rows_of(df):
-    return {(r.query_id, r["rank"], r.vec_id, r.score) for r in df.collect()}
+    return Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in df.collect())
 
 
 def test_query_against_all_scores(spark):
@@ -39,30 +38,58 @@ def test_blocks_depths_and_ties():
     for n, dims, spread in ((5, 3, 4), (60, 8, 2), (300, 16, 9), (300, 2, 40)):
         vectors = rng.integers(-spread, spread + 1, (n, dims)).astype(float)
         ids = rng.permutation(n * 3)[:n]
-        for chunk in (7, 128):
-            got = K.best_of_block(ids, vectors, ids, vectors, 6, K.Settings(chunk=chunk, depths=(0.05, 0.2, 0.5, 0.9)))
-            want = plain([(int(i), (v / 64).tolist()) for i, v in zip(ids, vectors, strict=True)], lambda q: True, 6)
-            assert set(zip(*(x.tolist() for x in got), strict=True)) == {(q, i, s) for q, _, i, s in want}
-
-
-def test_bounds_settle_before_the_lists_end():
-    """A few long vectors stand out: the others are dropped at the first depth."""
-    rng = np.random.default_rng(1)
-    vectors = np.abs(rng.normal(0, 1, (400, 4))).round()
-    vectors[:10] += 500
+        want = plain([(int(i), (v / 64).tolist()) for i, v in zip(ids, vectors, strict=True)], lambda q: True, 6)
+        for rounds in (1, 7, 40):
+            got = K.best_of_block(ids, vectors, ids, vectors, 6, K.Settings(rounds=rounds))
+            assert {(int(ids[r.query]), r.vec_id, r.score) for r in got.itertuples()} == {(q, i, s) for q, _, i, s in want}
+
+
+def skewed(n=4000, dims=16, seed=1):
+    """Topics: a vector is large in two dimensions and zero in the others."""
+    rng = np.random.default_rng(seed)
+    vectors = np.zeros((n, dims))
+    for row in vectors:
+        row[rng.choice(dims, 2, replace=False)] = np.floor(rng.pareto(1.5, 2) * 20)
+    return vectors
+
+
+def test_a_query_stops_before_its_lists_end():
+    vectors = skewed()
+    lists = K.Lists(vectors.astype(np.int64))
+    depths = [K.best_of_lists(v.astype(np.int64), lists, np.array([i]), 10, K.Settings(rounds=64)).depth for i, v in enumerate(vectors[:100])]
+    assert np.median(depths) < 0.1 * len(vectors) and max(depths) < len(vectors)
+
+
+def test_entries_behind_the_depth_read_do_not_decide():
+    """What no list has shown yet can change without another result, as long as it stays behind the last entry read."""
+    vectors = skewed(2000).astype(np.int64)
+    query = vectors[3]
+    found = K.best_of_lists(query, K.Lists(vectors), np.array([3]), 10, K.Settings(rounds=64))
+    seen = np.zeros(len(vectors), bool)
     lists = K.Lists(vectors)
-    far, last = lists.read(100, True)
-    query = np.ones((1, 4))
-    lower, upper = query @ far.T, query @ last.T
-    assert (upper >= np.sort(lower[0])[-5]).sum() < 50
+    for d in np.flatnonzero(query):
+        seen[lists.read(d, True, 0, found.depth)[0]] = True
+    assert found.depth < len(vectors) and (~seen).sum() > 100
+    other = np.where(seen[:, None], vectors, 0)
+    again = K.best_of_lists(query, K.Lists(other), np.array([3]), 10, K.Settings(rounds=64))
+    best = [sorted(-f.scores)[:10] for f in (found, again)]
+    assert best[0] == best[1]
 
 
 def test_wide_integers_stay_exact():
     big = np.array([[2.0**30, 1], [2.0**30, 2], [2.0**30 + 64, 0]])
-    assert K.exact_type(big, big) is object
+    assert K.whole_numbers(big, big) is object
     ids = np.arange(3)
     got = K.best_of_block(ids, big, ids, big, 1)
-    assert got[2].tolist() == [2**60 + 2**36, 2**60 + 2**36, 2**60 + 2**36]
+    assert got["score"].tolist() == [2**60 + 2**36, 2**60 + 2**36, 2**60 + 2**36]
+
+
+def test_depth_of_every_query(spark):
+    rows = [(i, (v / 64).tolist()) for i, v in enumerate(skewed(3000))]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(rounds=64), with_depth=True).collect()
+    assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain(rows, lambda q: q % 20 == 0, 5)
+    assert np.median([r.depth for r in got]) < 0.2
 
 
 def test_odd_rows(spark):
@@ -72,12 +99,23 @@ def test_odd_rows(spark):
     frame = spark.createDataFrame([(i, v, 1) for i, v in rows], "vec_id long, embedding array<double>, score int")
     assert rows_of(K.top_k(frame, lambda i: i % 20 == 0, 2)) == plain(rows, lambda q: q % 20 == 0, 2)
     assert K.top_k(frame.limit(0), lambda i: i % 20 == 0).count() == 0
-    assert K.top_k(frame.where("vec_id = 5"), lambda i: i % 5 == 0).count() == 0
+    twins = frame.where("vec_id = 5")
+    assert rows_of(K.top_k(twins, lambda i: i % 5 == 0)) == Counter({(5, 1, 5, 32 * 32 + 6 * 6): 2})
+    assert K.top_k(twins.limit(1), lambda i: i % 5 == 0).count() == 0
+
+
+def test_repeated_ids_are_rows_of_their_own(spark):
+    rng = np.random.default_rng(7)
+    rows = [(20 * int(i) if i < 3 else int(i), rng.normal(0, 0.2, 4).tolist()) for i in rng.integers(0, 30, 150)]
+    rows += rows[:40] + rows[:20]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(5)
+    for settings in (K.Settings(), K.Settings(candidates=40, queries=4)):
+        assert rows_of(K.top_k(frame, lambda i: i % 20 == 0, 7, settings=settings)) == plain(rows, lambda q: q % 20 == 0, 7)
 
 
 def test_many_units(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(0, 0.1, 6).tolist() if i % 3 else [0.1] * 6) for i in range(200)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(candidates=30, queries=4, chunk=2, depths=(0.3, 0.6)))
+    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(candidates=30, queries=4, rounds=5))
     assert rows_of(got) == plain(rows, lambda q: q % 20 == 0, 5)
