@@ -1,17 +1,17 @@
 """Exact top-k inner products by no-random-access aggregation.
 
 Every dimension is a list of the candidates sorted by what they can contribute to a query: falling for a
-positive query component, rising for a negative one; dimensions that the query does not use have no list. A
-query reads its lists in step, from the front only, a block of entries at a time. A candidate has a lower bound
-(its contributions read, and the end of the lists it was not met in) and an upper bound (the last entry read of
-those instead). After every block the candidates whose upper bound is below the k-th best lower bound are out,
-met or not. Once hardly more than k are left, no outsider can qualify: the query stops comparing bounds, and
-the lists are read on for the ones left alone, until their scores are final.
+positive query component, rising for a negative one. Lists are read in step, from the front only, a block of
+entries at a time. A candidate has a lower bound (its contributions read, and the end of the lists it was not
+met in) and an upper bound (the last entry read of those instead). After every block the candidates whose upper
+bound is below the k-th best lower bound are out, met or not. Once hardly more than k are left, no outsider can
+qualify: the query stops comparing bounds, and the lists are read on for the ones left alone, until their
+scores are final. No score is computed from a vector.
 
 Candidates and queries are dealt into blocks, and a pair of blocks is a unit of work. Lists are sorted once per
-unit and the bounds of one query are kept at a time, so a task's memory is bounded by the block sizes. Every
-unit returns the best k of its candidates per query, and a window over those partial lists gives the final
-ranks.
+unit. Queries go through them a chunk at a time, so that what a block of entries adds to the bounds of all of
+them is one matrix product; a task's memory is bounded by the block and chunk sizes. Every unit returns the
+best k of its candidates per query, and a window over those partial lists gives the final ranks.
 """
 
 from __future__ import annotations
@@ -31,80 +31,81 @@ class Settings(NamedTuple):
     scale: int = 64             # a component x counts as floor(scale * x)
     candidates: int = 16384     # rows in a candidate block, about
     queries: int = 1024         # rows in a query block, about
-    rounds: int = 16            # blocks of entries in which a list is read
-    left: int = 4               # bounds are compared until at most this many times k candidates are left
+    chunk: int = 256            # queries that read their lists together
+    # Shares of the lists up to which they are read before bounds are compared; the rest is read last.
+    depths: tuple[float, ...] = (1 / 16, 1 / 8, 1 / 4, 1 / 2, 3 / 4, 7 / 8)
+    left: int = 4               # a query compares bounds until at most this many times k candidates are left
 
 
 class Lists:
-    """The sorted lists of a block of candidates: per dimension their numbers by rising value, and the values."""
+    """The sorted lists of a block of candidates: where each candidate stands in each (by rising value), and the values."""
 
     def __init__(self, vectors: np.ndarray):
-        self.n = len(vectors)
-        by_dim = np.ascontiguousarray(vectors.T)
-        order = np.argsort(by_dim, axis=1, kind="stable")
-        self.numbers = order.astype(np.int32)
-        self.values = np.take_along_axis(by_dim, order, axis=1)
-
-    def read(self, dim: int, falling: bool, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
-        """Entries ``at`` to ``to`` of a list: candidates and values."""
-        if falling:
-            at, to = self.n - to, self.n - at
-        return self.numbers[dim, at:to], self.values[dim, at:to]
-
-
-class Found(NamedTuple):
-    """Candidates that can be among the best ``k``, their final scores, and how many entries of every list were
-    read when no other could qualify any more."""
-
-    numbers: np.ndarray
-    scores: np.ndarray
-    depth: int
-
-
-def whole_numbers(queries: np.ndarray, vectors: np.ndarray) -> type:
-    """64-bit integers if no bound can leave their range, else Python's; both are exact."""
+        self.vectors = vectors
+        self.n, dims = vectors.shape
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.places = np.empty((self.n, dims), np.int32)
+        np.put_along_axis(self.places, order, np.arange(self.n, dtype=np.int32)[:, None].repeat(dims, axis=1), axis=0)
+        self.values = np.take_along_axis(vectors, order, axis=0)
+
+    def ends(self, falling: bool) -> np.ndarray:
+        return self.values[0 if falling else -1]
+
+    def read(self, columns: np.ndarray, falling: bool, at: int, to: int) -> np.ndarray:
+        """Entries ``at`` to ``to`` of every list, those of ``columns``: how far they lie above the end (else zero)."""
+        place = self.places[columns]
+        seen = (place >= self.n - to) & (place < self.n - at) if falling else (place >= at) & (place < to)
+        return np.where(seen, self.vectors[columns] - self.ends(falling), 0)
+
+    def unread(self, columns: np.ndarray, falling: bool, to: int) -> np.ndarray:
+        """For lists read up to ``to`` that have not shown a candidate: how far the last entry lies above the end."""
+        place = self.places[columns]
+        unseen, last = (place < self.n - to, self.values[self.n - to]) if falling else (place >= to, self.values[to - 1])
+        return np.where(unseen, last - self.ends(falling), 0)
+
+
+def exact_type(queries: np.ndarray, vectors: np.ndarray) -> type:
+    """The cheapest type in which all bounds are exact: floats of sufficient width, else Python's integers."""
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(vectors).max(initial=0)) * max(1, vectors.shape[1])
-    return np.int64 if largest < 2**61 else object
+    return np.float32 if largest < 2**22 else np.float64 if largest < 2**51 else object
 
 
-def best_of_lists(query: np.ndarray, lists: Lists, own: np.ndarray, k: int, settings: Settings = Settings()) -> Found:
-    """Read the lists of one query until no candidate outside can be among its best ``k``, then on for those inside.
+def read_lists(queries: np.ndarray, lists: Lists, own: list[np.ndarray], k: int,
+               settings: Settings = Settings()) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Read the lists of a chunk of queries until no outsider is among the best ``k`` of any, then on for those inside.
 
-    ``own`` are the numbers of candidates that do not count.
+    ``own`` are per query the numbers of candidates that do not count. Returns the numbers of the candidates that
+    are inside for some query, their final scores, where they are inside, and per query the entries of a list
+    that had been read when it stopped comparing bounds.
     """
-    n, dims = lists.n, np.flatnonzero(query)
-    weights, falling = query[dims], query[dims] > 0
-    ends = np.array([lists.values[d, 0 if f else -1] for d, f in zip(dims, falling, strict=True)], query.dtype) * weights
-    low = np.full(n, ends.sum() if len(dims) else 0, query.dtype)
-    inside = np.ones(n, bool)
-    inside[own] = False
-    unmet = np.ones((len(dims), n), query.dtype)
-    step, depth = max(1, -(-n // settings.rounds)), 0
-    while len(dims) and depth < n and np.count_nonzero(inside) > settings.left * k:
-        to = min(n, depth + step)
-        last = np.empty_like(ends)
-        for i, d in enumerate(dims):
-            numbers, values = lists.read(d, falling[i], depth, to)
-            low[numbers] += values * weights[i] - ends[i]
-            unmet[i, numbers] = 0
-            last[i] = values[0 if falling[i] else -1] * weights[i]
-        depth = to
-        numbers = np.flatnonzero(inside)
-        kth = np.partition(low[numbers], len(numbers) - k)[len(numbers) - k]
-        # What a candidate can gain at most lies between the end of a list and the last entry read.
-        gain = (last - ends).sum()
-        maybe = numbers[low[numbers] + gain >= kth]
-        upper = low[maybe] + (last - ends) @ unmet[:, maybe]
-        inside[:] = False
-        inside[maybe[upper >= kth]] = True
-    settled = depth
-    if depth < n:
-        for i, d in enumerate(dims):
-            numbers, values = lists.read(d, falling[i], depth, n)
-            wanted = inside[numbers]
-            low[numbers[wanted]] += values[wanted] * weights[i] - ends[i]
-    numbers = np.flatnonzero(inside)
-    return Found(numbers, low[numbers], settled)
+    n = lists.n
+    up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+    columns = np.arange(n)
+    low = np.repeat((up @ lists.ends(True) + down @ lists.ends(False))[:, None], n, axis=1)
+    inside = np.ones((len(queries), n), bool)
+    for row, numbers in enumerate(own):
+        inside[row, numbers] = False
+    depth = np.full(len(queries), n)
+    comparing = inside.sum(axis=1) > settings.left * k
+    depth[~comparing] = 0
+    at = 0
+    for to in [*sorted({d for d in (int(n * share) for share in settings.depths) if 0 < d < n}), n]:
+        low += up @ lists.read(columns, True, at, to).T + down @ lists.read(columns, False, at, to).T
+        at = to
+        if at == n or not comparing.any():
+            continue
+        rows = np.flatnonzero(comparing)
+        mine = low[rows]
+        bounds = np.where(inside[rows], mine, mine.min())
+        kth = np.partition(bounds, len(columns) - k, axis=1)[:, len(columns) - k]
+        upper = mine + up[rows] @ lists.unread(columns, True, at).T + down[rows] @ lists.unread(columns, False, at).T
+        inside[rows] &= upper >= kth[:, None]
+        stopped = rows[inside[rows].sum(axis=1) <= settings.left * k]
+        depth[stopped], comparing[stopped] = at, False
+        held = inside.any(axis=0)
+        if np.count_nonzero(held) < 0.9 * len(columns):  # the lists are read on for these alone
+            columns, low, inside = columns[held], low[:, held], inside[:, held]
+    return columns, low, inside, depth
 
 
 def best_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int,
@@ -115,7 +116,7 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, v
     Columns ``query`` (its number), ``vec_id``, ``score`` and ``depth``. The candidate of the query's id, vector
     and copy number is the query itself and does not count.
     """
-    kind = whole_numbers(queries, vectors)
+    kind = exact_type(queries, vectors)
     if kind is object:
         to_int = np.vectorize(int, otypes=[object])
         queries, vectors = (to_int(x) if x.size else x.astype(object) for x in (queries, vectors))
@@ -124,20 +125,33 @@ def best_of_block(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, v
     query_copies = np.zeros(len(query_ids), np.int64) if query_copies is None else query_copies
     copies = np.zeros(len(ids), np.int64) if copies is None else copies
     order = np.argsort(ids, kind="stable")
-    ids, copies, vectors = ids[order], copies[order], vectors[order]
+    ids, copies, vectors = ids[order], copies[order], vectors[order]  # so that the first of equal scores is the smaller id
     lists = Lists(vectors)
     out = []
-    for number, (query_id, copy, query) in enumerate(zip(query_ids, query_copies, queries, strict=True)):
-        a, b = np.searchsorted(ids, [query_id, query_id + 1])
-        own = a + np.flatnonzero((copies[a:b] == copy) & (vectors[a:b] == query).all(axis=1))
-        found = best_of_lists(query, lists, own, k, settings)
-        # Numbers are in the order of ids, so a stable sort leaves ties to the smaller id.
-        best = np.argsort(-found.scores, kind="stable")[:k]
-        out.append(pd.DataFrame({"query": number, "vec_id": ids[found.numbers[best]].astype(np.int64),
-                                 "score": found.scores[best].astype(np.int64), "depth": found.depth}))
+    for start in range(0, len(queries), settings.chunk):
+        chunk = range(start, min(start + settings.chunk, len(queries)))
+        own = []
+        for i in chunk:
+            a, b = np.searchsorted(ids, [query_ids[i], query_ids[i] + 1])
+            own.append(a + np.flatnonzero((copies[a:b] == query_copies[i]) & (vectors[a:b] == queries[i]).all(axis=1)))
+        columns, scores, inside, depth = read_lists(queries[chunk.start:chunk.stop], lists, own, k, settings)
+        for row, i in enumerate(chunk):
+            numbers = np.flatnonzero(inside[row])
+            best = numbers[_best(scores[row, numbers], k)]
+            out.append(pd.DataFrame({"query": i, "vec_id": ids[columns[best]].astype(np.int64),
+                                     "score": scores[row, best].astype(np.int64), "depth": depth[row]}))
     return pd.concat(out, ignore_index=True)
 
 
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """Where the ``k`` largest are, falling, the first of equal ones first."""
+    if len(scores) > 4 * k:
+        kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+        large = np.flatnonzero(scores >= kth)
+        return large[np.argsort(-scores[large], kind="stable")[:k]]
+    return np.argsort(-scores, kind="stable")[:k]
+
+
 def usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
     """``vec_id``, ``v`` (doubles), ``dims`` and ``copy`` of vectors without null, infinite or not-a-number components.
 

@@ -39,8 +39,8 @@ def test_blocks_depths_and_ties():
         vectors = rng.integers(-spread, spread + 1, (n, dims)).astype(float)
         ids = rng.permutation(n * 3)[:n]
         want = plain([(int(i), (v / 64).tolist()) for i, v in zip(ids, vectors, strict=True)], lambda q: True, 6)
-        for rounds in (1, 7, 40):
-            got = K.best_of_block(ids, vectors, ids, vectors, 6, K.Settings(rounds=rounds))
+        for depths in ((), (0.5,), (0.05, 0.2, 0.5, 0.9), tuple(i / 40 for i in range(40))):
+            got = K.best_of_block(ids, vectors, ids, vectors, 6, K.Settings(chunk=7, depths=depths))
             assert {(int(ids[r.query]), r.vec_id, r.score) for r in got.itertuples()} == {(q, i, s) for q, _, i, s in want}
 
 
@@ -53,32 +53,42 @@ def skewed(n=4000, dims=16, seed=1):
     return vectors
 
 
+FINE = K.Settings(depths=tuple(i / 64 for i in range(1, 64)))
+
+
 def test_a_query_stops_before_its_lists_end():
     vectors = skewed()
-    lists = K.Lists(vectors.astype(np.int64))
-    depths = [K.best_of_lists(v.astype(np.int64), lists, np.array([i]), 10, K.Settings(rounds=64)).depth for i, v in enumerate(vectors[:100])]
-    assert np.median(depths) < 0.1 * len(vectors) and max(depths) < len(vectors)
+    ids = np.arange(len(vectors))
+    got = K.best_of_block(ids[:100], vectors[:100], ids, vectors, 10, FINE)
+    depths = got.groupby("query")["depth"].first()
+    assert depths.median() < 0.1 * len(vectors) and depths.max() < len(vectors)
 
 
 def test_entries_behind_the_depth_read_do_not_decide():
-    """What no list has shown yet can change without another result, as long as it stays behind the last entry read."""
-    vectors = skewed(2000).astype(np.int64)
-    query = vectors[3]
-    found = K.best_of_lists(query, K.Lists(vectors), np.array([3]), 10, K.Settings(rounds=64))
-    seen = np.zeros(len(vectors), bool)
-    lists = K.Lists(vectors)
-    for d in np.flatnonzero(query):
-        seen[lists.read(d, True, 0, found.depth)[0]] = True
-    assert found.depth < len(vectors) and (~seen).sum() > 100
+    """Candidates that no list has shown when the query stops are out, whatever they hold behind the last entry read."""
+    vectors = skewed(2000)
+    query, ids = vectors[3:4], np.arange(2000)
+    found = K.best_of_block(ids[3:4], query, ids, vectors, 10, FINE)
+    depth = found["depth"][0]
+    used = np.flatnonzero(query[0])
+    seen = (K.Lists(vectors).places[:, used] >= len(vectors) - depth).any(axis=1)
+    seen[3] = True
+    assert 0 < depth < len(vectors) and (~seen).sum() > 100
     other = np.where(seen[:, None], vectors, 0)
-    again = K.best_of_lists(query, K.Lists(other), np.array([3]), 10, K.Settings(rounds=64))
-    best = [sorted(-f.scores)[:10] for f in (found, again)]
-    assert best[0] == best[1]
+    again = K.best_of_block(ids[3:4], query, ids, other, 10, FINE)
+    assert found["score"].tolist() == again["score"].tolist()
+
+
+def test_scores_are_read_from_the_lists_alone():
+    """After the lists are built, the entries that ``read`` hands out are all that the scores are made of."""
+    vectors = skewed(500, 6).astype(np.float64)
+    parts = [K.Lists(vectors).read(np.arange(500), True, a, b) for a, b in ((0, 100), (100, 350), (350, 500))]
+    assert (sum(parts) + vectors.min(axis=0) == vectors).all()
 
 
 def test_wide_integers_stay_exact():
     big = np.array([[2.0**30, 1], [2.0**30, 2], [2.0**30 + 64, 0]])
-    assert K.whole_numbers(big, big) is object
+    assert K.exact_type(big, big) is object
     ids = np.arange(3)
     got = K.best_of_block(ids, big, ids, big, 1)
     assert got["score"].tolist() == [2**60 + 2**36, 2**60 + 2**36, 2**60 + 2**36]
@@ -87,7 +97,7 @@ def test_wide_integers_stay_exact():
 def test_depth_of_every_query(spark):
     rows = [(i, (v / 64).tolist()) for i, v in enumerate(skewed(3000))]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(rounds=64), with_depth=True).collect()
+    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=FINE, with_depth=True).collect()
     assert Counter((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == plain(rows, lambda q: q % 20 == 0, 5)
     assert np.median([r.depth for r in got]) < 0.2
 
@@ -117,5 +127,5 @@ def test_many_units(spark):
     rng = np.random.default_rng(4)
     rows = [(i, rng.normal(0, 0.1, 6).tolist() if i % 3 else [0.1] * 6) for i in range(200)]
     frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(candidates=30, queries=4, rounds=5))
+    got = K.top_k(frame, lambda i: i % 20 == 0, 5, settings=K.Settings(candidates=30, queries=4, chunk=2, depths=(0.3, 0.6)))
     assert rows_of(got) == plain(rows, lambda q: q % 20 == 0, 5)
