@@ -24,9 +24,12 @@ distinct surroundings, under salted keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from helixframe.functions import intervals as I
+from helixframe.functions.joins import broadcast_if_small
 from helixframe.functions.partitioning import spread
 from helixframe.functions.seq import acgt_only, kmer_code, revcomp
 from helixframe.session import cut_lineage
@@ -372,37 +375,84 @@ def index_alignments(aln: DataFrame, window: int = WINDOW) -> DataFrame:
                  F.max(end).alias("max_end")))
 
 
+# Columns of the layout by window, beside those of the alignments.
+LAYOUT = {"_reference": T.StringType(), "_cell": T.LongType()}
+
+
+def _laid(window, cells: int) -> dict:
+    """Windows of start positions dealt into ``cells``: neighbouring ones next to each other, contigs from anywhere."""
+    return {"_reference": F.col("reference"), "_cell": F.pmod(F.xxhash64(F.col("contig_idx").cast("long")) + window, F.lit(cells))}
+
+
+def write_windows(aln: DataFrame, path: str, window: int = WINDOW, cells: int = 256) -> None:
+    """Write alignments laid out by reference and cell of windows (start positions), sorted by coordinates inside:
+    a lookup opens the files of its windows' cells alone, however many contigs there are.
+
+    A range partition by coordinates, so a task writes neighbouring windows (few small files) and a window
+    that holds many reads is split over tasks. Unmapped reads have a folder of their own.
+    """
+    keys = [F.col(c).asc_nulls_last() for c in (*LAYOUT, "contig_idx", "pos", "read_id")]
+    laid = aln.withColumns(_laid(F.floor((F.col("pos") - 1) / F.lit(window)).cast("long"), cells))
+    laid.repartitionByRange(*keys).sortWithinPartitions(*keys).write.partitionBy(*LAYOUT).parquet(path)
+
+
+def scan_windows(spark: SparkSession, path: str) -> DataFrame:
+    """The table of ``write_windows``, with the columns of its layout."""
+    found = spark.read.parquet(path).schema
+    schema = T.StructType([T.StructField(f.name, LAYOUT.get(f.name, f.dataType)) for f in found])
+    return spark.read.schema(schema).parquet(path)
+
+
 def query_region(aln: DataFrame, index: DataFrame, contig: str, start: int, end: int,
-                 window: int = WINDOW) -> DataFrame:
-    """A7 lookup: reads overlapping [start, end] (1-based, inclusive).  The index
-    tells which start windows can hold overlapping reads; reads are then
-    filtered on their window column (partition-prunable when stored so)."""
-    cand = (index.where((F.col("contig") == contig) & (F.col("min_pos") <= end) & (F.col("max_end") >= start))
-            .select("reference", "contig_idx", "window"))
-    tagged = aln.where(F.col("contig") == contig).withColumn(
-        "window", F.floor((F.col("pos") - 1) / F.lit(window)).cast("long"))
-    hits = tagged.join(cand, ["reference", "contig_idx", "window"], "left_semi")
-    return hits.where((F.col("pos") <= end) & (F.col("pos") + F.length("seq") - 1 >= start)).drop("window")
+                 window: int = WINDOW, cells: int = 256) -> DataFrame:
+    """A7 lookup: reads overlapping [start, end] (1-based, inclusive).
+
+    The index tells which start windows can hold overlapping reads. On a table of ``write_windows`` (with the
+    same window and cells) these prune the files at run time, by dynamic partition pruning, and the sorted rows
+    prune inside them; on other tables all rows are scanned. At most ``cells`` rows a reference are broadcast.
+    """
+    inside = index.where((F.col("contig") == contig) & (F.col("min_pos") <= end) & (F.col("max_end") >= start))
+    held = inside.select(*[c.alias(name) for name, c in _laid(F.col("window"), cells).items()]).distinct()
+    columns = [c for c in aln.columns if c not in LAYOUT]
+    laid = aln if set(LAYOUT) <= set(aln.columns) else aln.withColumns(
+        _laid(F.floor((F.col("pos") - 1) / F.lit(window)).cast("long"), cells))
+    hits = laid.join(broadcast_if_small(held), list(LAYOUT), "left_semi")
+    return hits.where((F.col("contig") == contig) & (F.col("pos") <= end) & (F.col("pos") + F.length("seq") - 1 >= start)).select(*columns)
+
+
+def _binned(df: DataFrame, cols: tuple[str, str, str], bin_size: int, prefix: str, wider: list[int] | None) -> DataFrame:
+    """A row per interval and bin, all columns prefixed, with ``_at`` (level, side and bin).
+
+    At its own level an interval is on side 0. Above it, intervals of the left table are on side 1, at the
+    levels ``wider``; those of the right table (``wider`` null) are on side 0 at every level, and on side 1 at
+    their own. So two intervals meet once, at the own level of the longer one, and two that are both short never
+    meet in wide bins.
+    """
+    _, start, end = (F.col(c) for c in cols)
+    own = I.own_level(start, end, bin_size)
+    if wider is None:
+        entries = F.concat(F.transform(F.sequence(own, F.lit(I.LEVELS - 1)), lambda level: I.entry(level, 0)), F.array(I.entry(own, 1)))
+    else:
+        above = F.filter(F.lit(wider).cast("array<int>"), lambda level: level > own)
+        entries = F.concat(F.array(I.entry(own, 0)), F.transform(above, lambda level: I.entry(level, 1)))
+    return df.where(start <= end).select(*[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
+                                         I.places(start, end, entries, bin_size).alias("_at"))
 
 
 def overlap_join(left: DataFrame, right: DataFrame, bin_size: int = 1000,
                  lcols=("contig", "start", "end"), rcols=("contig", "start", "end")) -> DataFrame:
-    """Interval overlap join (1-based inclusive intervals on the same contig).
-
-    Both sides are exploded into the fixed bins they touch and equi-joined on
-    (contig, bin); the residual keeps overlapping pairs, and each pair is kept
-    only in the first bin both share, so no pair is duplicated.  Work is linear
-    in the bins touched, never all pairs of a contig."""
-    lc, ls, le = lcols
-    rc, rs, re_ = rcols
-    lb = left.withColumn("_lbins", F.sequence(F.floor((F.col(ls) - 1) / bin_size).cast("long"),
-                                              F.floor((F.col(le) - 1) / bin_size).cast("long")))
-    rb = right.withColumn("_rbins", F.sequence(F.floor((F.col(rs) - 1) / bin_size).cast("long"),
-                                               F.floor((F.col(re_) - 1) / bin_size).cast("long")))
-    lx = lb.select(*[F.col(c).alias(f"l_{c}") for c in left.columns], F.explode("_lbins").alias("_bin"))
-    rx = rb.select(*[F.col(c).alias(f"r_{c}") for c in right.columns], F.explode("_rbins").alias("_bin2"))
-    j = lx.join(rx, (lx[f"l_{lc}"] == rx[f"r_{rc}"]) & (lx["_bin"] == rx["_bin2"]))
-    first_shared = F.greatest(F.floor((F.col(f"l_{ls}") - 1) / bin_size), F.floor((F.col(f"r_{rs}") - 1) / bin_size))
-    return (j.where((F.col(f"l_{ls}") <= F.col(f"r_{re_}")) & (F.col(f"r_{rs}") <= F.col(f"l_{le}"))
-                    & (F.col("_bin") == first_shared))
-            .drop("_bin", "_bin2"))
+    """Interval overlap join (1-based inclusive intervals on the same contig), columns as ``l_`` and ``r_``.
+
+    Bins by length (``functions.intervals``): an interval takes at most two bins a level whatever its length,
+    the left ones at the levels that occur on the right (an aggregate over the right table, which should be the
+    smaller), the right ones at every level from their own. One equi-join on (contig, level, side, bin); each
+    pair is kept in the first bin both share alone. Intervals with a null, or that end before they start,
+    overlap nothing; repeated rows are joined each.
+    """
+    (lc, ls, le), (rc, rs, re_) = ([f"{p}{c}" for c in cols] for p, cols in (("l_", lcols), ("r_", rcols)))
+    lx = _binned(left, lcols, bin_size, "l_", I.levels_present(right, *rcols[1:], bin_size))
+    rx = _binned(right, rcols, bin_size, "r_", None).withColumnRenamed("_at", "_at2")
+    j = lx.join(rx, (lx[lc] == rx[rc]) & (lx["_at"] == rx["_at2"]))
+    first_shared = I.bin_of(F.greatest(F.col(ls), F.col(rs)), F.col("_at")["level"], bin_size)
+    return (j.where((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)) & (F.col("_at")["bin"] == first_shared))
+            .drop("_at", "_at2"))

@@ -422,9 +422,11 @@ def q_window_index(spark, sf):
 
 
 def q_region_query(spark, sf):
-    a = _alignments_table(spark, sf)
-    idx = A.index_alignments(a, 64)
-    return A.query_region(a, idx, "ctg3", 100, 130, 64).select("read_id", "pos")
+    """Alignments laid out by window, looked up through the index."""
+    at = staging_dir(spark, "windows")
+    A.write_windows(_alignments(spark, sf), at, 64)
+    laid = A.scan_windows(spark, at)
+    return A.query_region(laid, A.index_alignments(laid, 64), "ctg3", 100, 130, 64).select("read_id", "pos")
 
 
 def _regions_of_interest(spark, sf):
