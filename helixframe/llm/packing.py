@@ -1,34 +1,40 @@
 """Lexical retrieval packing.
 
-Documents are tokenised and dealt by a hash into shards of bounded size. A shard holds a BM25 inverted index of
-its documents over token ids. Windows are filled one after the other: the document that opens a window is the
-seed, the index returns its nearest documents not used yet, and these fill the window greedily; the last one is
-cut at the border, and what is left of it opens the next window. Without neighbours the next unused document
-follows. So only the end of a shard can be short of a window, and it is cut into sequences of powers of two:
-nothing is padded.
+Documents are tokenised and routed by content: a tree of two-way splits, fitted on random projections of the
+BM25 vectors of a bounded sample, gives every document a path, and a range partition by path puts documents of
+like words next to each other. It is cut into shards of bounded size. A shard holds a BM25 inverted index of its
+documents over token ids, with the document frequencies of the whole corpus. Windows are filled one after the
+other: the document that opens a window is the seed, the index scores all terms of the seed and returns its
+nearest documents not used yet, and these fill the window greedily; the last one is cut at the border, and what
+is left of it opens the next window. Without neighbours the next unused document follows. So only the end of a
+shard can be short of a window, and it is cut into sequences of powers of two: nothing is padded.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import lru_cache
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.llm import tokenizer as tk
-from helixframe.llm.common import input_bytes
+from helixframe.llm.common import input_bytes, written
 
 
 class Settings(NamedTuple):
     window: int = 2048
     end_id: int = 1                 # follows every document
     shard_bytes: int = 8 << 20      # text in a shard, about
-    query_terms: int = 24           # a seed's terms of the highest weight that are looked up
+    sample: int = 4096              # documents that the routes are fitted on, about (at most twice as many)
+    projected: int = 64             # dimensions of their projections
+    least_split: int = 32           # sampled documents that are split further
     k1: float = 1.2
     b: float = 0.75
 
@@ -59,42 +65,163 @@ def id_type(path: str) -> str:
     return "<u2" if tk.load(path).get_vocab_size() <= 1 << 16 else "<u4"
 
 
+# ---------------------------------------------------------------- the corpus and its routes
+
+
+class Corpus(NamedTuple):
+    """Documents, their mean length, and per token id the number of documents that hold it."""
+
+    n: int
+    mean: float
+    df: np.ndarray
+
+    def weights(self, terms: np.ndarray, tf: np.ndarray, length: np.ndarray | int, settings: Settings) -> np.ndarray:
+        df = self.df[terms]
+        return np.log1p((self.n - df + 0.5) / (df + 0.5)) * tf * (settings.k1 + 1) / (
+            tf + settings.k1 * (1 - settings.b + settings.b * length / max(1.0, self.mean)))
+
+
+def corpus_of(tokens: DataFrame, path: str = tk.BYTE_BPE, end_id: int = 1) -> Corpus:
+    """Counted over all documents; a row per token id comes to the driver, so at most the vocabulary."""
+    size, kind = max(tk.load(path).get_vocab_size(), end_id + 1), id_type(path)
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        df, docs, ids = np.zeros(size, np.int64), 0, 0
+        for batch in batches:
+            for held in batch["ids"]:
+                terms = np.frombuffer(held, kind)
+                df[np.unique(terms)] += 1
+                docs, ids = docs + 1, ids + len(terms)
+        found = np.flatnonzero(df)
+        yield pd.DataFrame({"term": [*found, -1, -2], "n": [*df[found], docs, ids]})
+
+    rows = tokens.select("ids").mapInPandas(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    sums = {r["term"]: r["n"] for r in rows}
+    docs, ids = sums.pop(-1, 0), sums.pop(-2, 0)
+    df = np.zeros(size, np.int64)
+    df[list(sums)] = list(sums.values())
+    return Corpus(docs, ids / max(1, docs), df)
+
+
+@lru_cache(maxsize=2)
+def _projection(terms: int, dims: int) -> np.ndarray:
+    return np.random.default_rng(0).standard_normal((terms, dims), np.float32)
+
+
+def project(docs: list[np.ndarray], corpus: Corpus, settings: Settings) -> np.ndarray:
+    """Random projections of the documents' BM25 vectors, of length one."""
+    table = _projection(len(corpus.df), settings.projected)
+    out = np.zeros((len(docs), settings.projected), np.float32)
+    for row, doc in zip(out, docs, strict=True):
+        terms, tf = np.unique(doc, return_counts=True)
+        row[:] = corpus.weights(terms, tf, len(doc), settings).astype(np.float32) @ table[terms]
+    return out / np.maximum(np.linalg.norm(out, axis=1, keepdims=True), 1e-9)
+
+
+class Routes(NamedTuple):
+    """Two centres per node of a tree, and the nodes behind them (0: none). A path is read from the root, node 0."""
+
+    centres: np.ndarray
+    following: np.ndarray
+
+    DEPTH = 30
+
+    def paths(self, projected: np.ndarray) -> np.ndarray:
+        """The turns taken, first ones in the highest bits, so that like paths are near each other."""
+        path, node = np.zeros(len(projected), np.int64), np.zeros(len(projected), np.int64)
+        going = np.full(len(projected), len(self.centres) > 0)
+        for depth in range(self.DEPTH):
+            rows = np.flatnonzero(going)
+            if not len(rows):
+                break
+            turn = np.einsum("rcd,rd->rc", self.centres[node[rows]], projected[rows]).argmax(axis=1)
+            path[rows] |= turn << (self.DEPTH - 1 - depth)
+            node[rows] = self.following[node[rows], turn]
+            going[rows] = node[rows] > 0
+        return path
+
+
+def fit_routes(sample: np.ndarray, settings: Settings) -> Routes:
+    """Split the sample in two by nearest centre, again and again; points that lie together stay together."""
+    centres, following = [], []
+
+    def split(rows: np.ndarray, depth: int) -> int:
+        if len(rows) < settings.least_split or depth == Routes.DEPTH:
+            return 0
+        x = sample[rows]
+        first = x[0]
+        pair = np.stack([first, x[(x @ first).argmin()]])
+        for _ in range(10):
+            side = (x @ pair.T).argmax(axis=1)
+            if not 0 < side.sum() < len(side):
+                return 0
+            pair = np.stack([x[side == i].mean(axis=0) for i in (0, 1)])
+        side = (x @ pair.T).argmax(axis=1)
+        node = len(centres)
+        centres.append(pair)
+        following.append([0, 0])
+        for i in (0, 1):
+            following[node][i] = split(rows[side == i], depth + 1)
+        return node
+
+    split(np.arange(len(sample)), 0)
+    return Routes(np.array(centres, np.float32).reshape(-1, 2, settings.projected), np.array(following, np.int64).reshape(-1, 2))
+
+
+def routed(tokens: DataFrame, corpus: Corpus, settings: Settings = Settings(), path: str = tk.BYTE_BPE) -> DataFrame:
+    """``tokens`` with the ``route`` of every document."""
+    kind = id_type(path)
+    dims = [f"p{i}" for i in range(settings.projected)]
+
+    def projections(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame(project([np.frombuffer(x, kind) for x in batch["ids"]], corpus, settings), columns=dims)
+
+    rate = max(1, corpus.n // settings.sample)
+    picked = tokens.where(F.pmod(F.xxhash64("ids", "doc_id"), F.lit(rate)) == 0).select("ids").limit(2 * settings.sample)
+    sample = picked.mapInPandas(projections, ", ".join(f"{d} float" for d in dims)).toPandas().to_numpy(np.float32)
+    routes = fit_routes(sample[np.lexsort(sample.T)], settings)
+
+    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            held = project([np.frombuffer(x, kind) for x in batch["ids"]], corpus, settings)
+            yield batch.assign(route=routes.paths(held))
+
+    return tokens.mapInPandas(walk, T.StructType([*tokens.schema.fields, T.StructField("route", T.LongType())]))
+
+
 # ---------------------------------------------------------------- the index of a shard
 
 
 class Index:
     """BM25 postings over the token ids of a shard's documents."""
 
-    def __init__(self, docs: list[np.ndarray], settings: Settings):
+    def __init__(self, docs: list[np.ndarray], settings: Settings, corpus: Corpus | None = None):
         n = len(docs)
         lengths = np.array([len(d) for d in docs], np.int64)
         terms = np.concatenate(docs).astype(np.int64) if n else np.empty(0, np.int64)
         owner = np.repeat(np.arange(n), lengths)
         pair, tf = np.unique(owner << 32 | terms, return_counts=True)
         doc, term = pair >> 32, pair & 0xFFFFFFFF
-        df = np.bincount(term)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        weight = idf[term] * tf * (settings.k1 + 1) / (
-            tf + settings.k1 * (1 - settings.b + settings.b * lengths[doc] / max(1.0, lengths.mean() if n else 1.0)))
-        # Per document its terms; a term shared by no other document finds nothing.
-        self.doc_bounds = np.searchsorted(doc, np.arange(n + 1))
-        self.doc_terms, self.doc_weights = term, np.where(df[term] > 1, weight, 0.0)
+        here = np.bincount(term)
+        corpus = corpus or Corpus(n, float(lengths.mean()) if n else 0.0, here)
+        weight = corpus.weights(term, tf, lengths[doc], settings)
+        # Per document its terms; a term that no other document of the shard holds finds nothing.
+        shared = here[term] > 1
+        self.doc_bounds = np.searchsorted(doc[shared], np.arange(n + 1))
+        self.doc_terms, self.doc_weights = term[shared], weight[shared]
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order].astype(np.float32)
-        self.bounds = np.concatenate([[0], np.cumsum(df)])
+        self.docs, self.weights = doc[order], weight[order]
+        self.bounds = np.concatenate([[0], np.cumsum(here)])
         self.settings, self.n = settings, n
 
     def neighbours(self, seed: int, used: np.ndarray, wanted: int) -> np.ndarray:
-        """Unused documents by falling BM25 score for the seed's weightiest terms, ties in shard order."""
-        a, b = self.doc_bounds[seed], self.doc_bounds[seed + 1]
-        weights, terms = self.doc_weights[a:b], self.doc_terms[a:b]
-        if len(terms) > (k := self.settings.query_terms):
-            top = np.argpartition(-weights, k)[:k]
-            weights, terms = weights[top], terms[top]
-        score = np.zeros(self.n, np.float32)
-        for term in terms[weights > 0]:
-            at, to = self.bounds[term], self.bounds[term + 1]
-            score[self.docs[at:to]] += self.weights[at:to]
+        """Unused documents by falling BM25 score for all terms of the seed, ties in shard order."""
+        terms = self.doc_terms[self.doc_bounds[seed]:self.doc_bounds[seed + 1]]
+        spans = [slice(a, b) for a, b in zip(self.bounds[terms].tolist(), self.bounds[terms + 1].tolist(), strict=True)]
+        if not spans:
+            return np.empty(0, np.int64)
+        score = np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weights[s] for s in spans]), self.n)
         score[used] = 0
         found = np.flatnonzero(score)
         if len(found) > wanted:
@@ -163,33 +290,55 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     """Pack all documents; a row per piece.
 
     Columns: ``doc_id``, ``start`` (the document's ids before the piece), ``length``, ``ids`` (little-endian
-    unsigned 32-bit), ``doc_tokens`` (the document's ids with the end id), ``sequence_id`` and ``offset``
-    (gapless from 0 in every sequence). Sequences hold ``window`` ids or a smaller power of two.
+    unsigned 32-bit), ``doc_tokens`` (the document's ids with the end id), ``sequence_id``, ``offset``
+    (gapless from 0 in every sequence) and ``shard``. Sequences hold ``window`` ids or a smaller power of two.
+
+    Neighbours are exact inside a shard; a neighbour that the routes sent to another shard is missed. A shard
+    ends with the document that reaches ``shard_bytes`` (at four bytes an id), however its route is shared.
 
     Every id is in exactly one piece. A null text is an empty one: the end id alone. Repeated rows, also of
     the same id, are packed each. Null ids are kept. Very long documents run through many windows. Columns
     beyond the two are not read. An empty table gives an empty result.
     """
-    n_shards = max(1, math.ceil(input_bytes(docs, text) / settings.shard_bytes))
-    tokens = tokenise(docs, doc_id, text, settings.end_id, path)
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(n_shards)).cast("int"))
+    tokens = written(tokenise(docs, doc_id, text, settings.end_id, path))
+    corpus = corpus_of(tokens, path, settings.end_id)
+    found = written(routed(tokens, corpus, settings, path))
+    n_parts = max(1, math.ceil(input_bytes(docs, text) / settings.shard_bytes))
+    order = ["route", F.xxhash64("doc_id", "ids"), "doc_id", "ids"]
     kind = id_type(path)
     schema = T.StructType([tokens.schema["doc_id"], *T.StructType.fromDDL(
-        "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long").fields])
-
-    def solve(key: tuple, shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["doc_id", "n", "ids"], ignore_index=True)
-        ids = [np.frombuffer(x, kind) for x in shard["ids"]]
-        pieces = pack_shard([len(x) for x in ids], Index(ids, settings), settings)
-        names = shard["doc_id"].to_numpy()
-        frame = pd.DataFrame(pieces, columns=["doc", "start", "length", "sequence", "offset"])
-        return pd.DataFrame({
-            "doc_id": pd.array(names[frame["doc"]], dtype=shard["doc_id"].dtype), "start": frame["start"], "length": frame["length"],
-            "ids": [ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in zip(frame["doc"], frame["start"], frame["length"], strict=True)],
-            "doc_tokens": [len(ids[d]) for d in frame["doc"]],
-            "sequence_id": frame["sequence"] + (int(key[0]) << 32), "offset": frame["offset"]})
-
-    return dealt.groupBy("shard").applyInPandas(solve, schema)
+        "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, shard long").fields])
+
+    def shards(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, total = [], 0
+        for batch in batches:
+            done = 0
+            for i, n in enumerate(batch["n"].tolist()):
+                total += n
+                if total >= settings.shard_bytes // 4:
+                    yield pd.concat([*held, batch.iloc[done:i + 1]], ignore_index=True)
+                    held, done, total = [], i + 1, 0
+            held.append(batch.iloc[done:])
+        if total:
+            yield pd.concat(held, ignore_index=True)
+
+    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # Sequences are numbered within the range partition, whose rows are in a fixed order.
+        first = TaskContext.get().partitionId() << 32
+        for shard in shards(batches):
+            ids = [np.frombuffer(x, kind) for x in shard["ids"]]
+            pieces = pack_shard([len(x) for x in ids], Index(ids, settings, corpus), settings)
+            names = shard["doc_id"].to_numpy()
+            frame = pd.DataFrame(pieces, columns=["doc", "start", "length", "sequence", "offset"])
+            yield pd.DataFrame({
+                "doc_id": pd.array(names[frame["doc"]], dtype=shard["doc_id"].dtype), "start": frame["start"], "length": frame["length"],
+                "ids": [ids[d][s:s + n].astype("<u4").tobytes() for d, s, n in zip(frame["doc"], frame["start"], frame["length"], strict=True)],
+                "doc_tokens": [len(ids[d]) for d in frame["doc"]],
+                "sequence_id": frame["sequence"] + first, "offset": frame["offset"], "shard": first})
+            first += int(frame["sequence"].max()) + 1
+
+    return found.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).select(
+        "doc_id", "ids", "n").mapInPandas(solve, schema)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def plain_bm25(docs, seed, settings):
 def test_neighbours_follow_bm25():
     rng = np.random.default_rng(0)
     docs = [rng.integers(0, 60, rng.integers(3, 20)) for _ in range(40)]
-    settings = P.Settings(query_terms=1000)
+    settings = P.Settings()
     index = P.Index(docs, settings)
     for seed in range(40):
         used = rng.random(40) < 0.3
@@ -110,3 +110,38 @@ def test_the_end_is_cut_into_powers_of_two():
         sizes[sequence] += length
     assert sorted(sizes.values()) == [1, 4, 8]
     assert P.pack_shard([], P.Index([], settings), settings) == []
+
+
+def recall_of_shards(spark, sf, settings, seeds=60, k=10):
+    """The share of a seed's nearest documents in the whole corpus that its shard holds, where search is exact."""
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    ids = sorted(texts)
+    index = P.Index([np.array(ids_of(texts[i])) for i in ids], settings)
+    pieces = P.pack(spark.read.parquet(f"{sf}/documents.parquet"), settings=settings).select("doc_id", "shard").distinct().collect()
+    shard = {r.doc_id: r.shard for r in pieces}
+    assert len(pieces) == len(ids)
+    found, by_chance = [], np.mean([(np.array(list(shard.values())) == s).mean() for s in shard.values()])
+    for seed in np.random.default_rng(0).choice(len(ids), seeds, replace=False):
+        used = np.zeros(len(ids), bool)
+        used[seed] = True
+        found += [shard[ids[d]] == shard[ids[seed]] for d in index.neighbours(seed, used, k)]
+    return np.mean(found), by_chance
+
+
+def test_recall_of_neighbours_in_the_corpus(spark):
+    whole, _ = recall_of_shards(spark, SF, P.Settings())
+    assert whole == 1.0  # one shard: all terms of all documents
+    routed, by_chance = recall_of_shards(spark, "/root/testdata/sf0.01", P.Settings(shard_bytes=1 << 19))
+    assert routed > 2 * by_chance and by_chance < 0.4
+
+
+def test_routes_keep_copies_together_and_fit_on_any_sample():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 64)).astype(np.float32)
+    x[100:200] = x[0]
+    routes = P.fit_routes(x, P.Settings())
+    paths = routes.paths(x)
+    assert len(set(paths[100:200])) == 1 and len(set(paths)) > 4
+    for n in (0, 1, 40):
+        same = np.repeat(x[:1], n, axis=0)
+        assert set(P.fit_routes(same, P.Settings()).paths(x)) == {0}
