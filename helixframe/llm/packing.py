@@ -304,7 +304,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     corpus = corpus_of(tokens, path, settings.end_id)
     found = written(routed(tokens, corpus, settings, path))
     n_parts = max(1, math.ceil(input_bytes(docs, text) / settings.shard_bytes))
-    order = ["route", F.xxhash64("doc_id", "ids"), "doc_id", "ids"]
+    # The range keys are sampled to the driver, so they hold no ids.
+    keys = ["route", F.xxhash64("doc_id", "ids"), "doc_id"]
     kind = id_type(path)
     schema = T.StructType([tokens.schema["doc_id"], *T.StructType.fromDDL(
         "start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, shard long").fields])
@@ -337,7 +338,7 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
                 "sequence_id": frame["sequence"] + first, "offset": frame["offset"], "shard": first})
             first += int(frame["sequence"].max()) + 1
 
-    return found.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).select(
+    return found.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys, "ids").select(
         "doc_id", "ids", "n").mapInPandas(solve, schema)
 
 
