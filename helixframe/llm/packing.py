@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helixframe.llm import tokenizer as tk
-from helixframe.llm.common import input_bytes, written
+from helixframe.llm.common import input_bytes
+from helixframe.session import staging_dir
 
 
 class Settings(NamedTuple):
@@ -285,6 +286,13 @@ def _cut_end(pieces: list[tuple], last: int, filled: int) -> list[tuple]:
 # ---------------------------------------------------------------- packing
 
 
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written, compressed, to the cluster's shared folder, and read back."""
+    at = staging_dir(df.sparkSession, f"packing-{purpose}")
+    df.write.option("compression", "zstd").parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
 def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings: Settings = Settings(),
          path: str = tk.BYTE_BPE) -> DataFrame:
     """Pack all documents; a row per piece.
@@ -300,9 +308,9 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
     the same id, are packed each. Null ids are kept. Very long documents run through many windows. Columns
     beyond the two are not read. An empty table gives an empty result.
     """
-    tokens = written(tokenise(docs, doc_id, text, settings.end_id, path))
+    tokens = _stored(tokenise(docs, doc_id, text, settings.end_id, path), "tokens")
     corpus = corpus_of(tokens, path, settings.end_id)
-    found = written(routed(tokens, corpus, settings, path))
+    found = _stored(routed(tokens, corpus, settings, path), "routed")
     n_parts = max(1, math.ceil(input_bytes(docs, text) / settings.shard_bytes))
     # The range keys are sampled to the driver, so they hold no ids.
     keys = ["route", F.xxhash64("doc_id", "ids"), "doc_id"]
