@@ -308,8 +308,11 @@ def q_fastq_malformed(spark, sf):
 
 
 def q_mate_pairs(spark, sf):
-    p = RD.pair_mates(S.standin(spark, sf, "read_mates"))
-    return p.select("run_id", "ordinal", "status", F.col("r1.seq").alias("seq1"), F.col("r2.seq").alias("seq2"))
+    """F2 where every third record of mate 1 is there a second time, read backwards."""
+    reads = S.standin(spark, sf, "read_mates")
+    again = reads.where("mate = 1 AND ordinal % 3 = 0").withColumn("seq", F.reverse("seq"))
+    p = RD.pair_mates(reads.unionByName(again))
+    return p.select("run_id", "ordinal", "copy", "status", F.col("r1.seq").alias("seq1"), F.col("r2.seq").alias("seq2"))
 
 
 def _run_of_object(path_col):

@@ -285,13 +285,13 @@ FROM (SELECT *, n % 37 = 5 AND mate = 1 AND ordinal = 1 AS bad FROM ({_FASTQ_FIL
 CROSS JOIN (SELECT unnest(['small', 'large', 'table']) AS scan) s""", "read_mates")
 
 ORACLE["mate_pairs"] = with_ctes("""
-SELECT coalesce(a.run_id, b.run_id) AS run_id, coalesce(a.ordinal, b.ordinal) AS ordinal,
-       CASE WHEN a.run_id IS NOT NULL AND b.run_id IS NOT NULL THEN 'paired'
-            WHEN a.run_id IS NOT NULL THEN 'orphan_1' ELSE 'orphan_2' END AS status,
-       a.seq AS seq1, b.seq AS seq2
-FROM (SELECT * FROM read_mates WHERE mate = 1) a
-FULL OUTER JOIN (SELECT * FROM read_mates WHERE mate = 2) b ON a.run_id = b.run_id AND a.ordinal = b.ordinal""",
-                                 "read_mates")
+SELECT run_id, ordinal, copy,
+       CASE WHEN copy > 1 THEN 'duplicate' WHEN count(*) = 2 THEN 'paired' WHEN max(mate) = 1 THEN 'orphan_1' ELSE 'orphan_2' END AS status,
+       max(seq) FILTER (WHERE mate = 1) AS seq1, max(seq) FILTER (WHERE mate = 2) AS seq2
+FROM (SELECT *, CAST(row_number() OVER (PARTITION BY run_id, ordinal, mate ORDER BY name DESC, seq DESC, qual DESC) AS INT) AS copy
+      FROM (SELECT run_id, ordinal, mate, name, qual,
+                   unnest(CASE WHEN mate = 1 AND ordinal % 3 = 0 THEN [seq, reverse(seq)] ELSE [seq] END) AS seq FROM read_mates) r) x
+GROUP BY run_id, ordinal, copy""", "read_mates")
 
 ORACLE["read_chunks"] = with_ctes("""
 SELECT r.run_id, r.mate, r.ordinal,
