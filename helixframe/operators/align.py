@@ -296,15 +296,17 @@ def _alignment(j: DataFrame, ok, extra: list[str]) -> DataFrame:
 
 def align_reads(reads: DataFrame, tiles: DataFrame, k: int = 15, max_occ: int = 64, max_mm: int = 4,
                 tile: int = 65536, stride: int | None = None, references: list[str] | None = None,
-                class_factor: int = CLASS_FACTOR) -> DataFrame:
+                class_factor: int = CLASS_FACTOR, index: DataFrame | None = None) -> DataFrame:
     """A1-A3 together.  Reads without any hit still come out (unmapped), once per
-    reference (``references`` defaults to the names present in ``tiles``)."""
+    reference (``references`` defaults to the names present in ``tiles``).  ``index`` is
+    the k-mer table of ``tiles``, written, where a caller maps several sets of reads."""
     if references is None:
         if "reference" in tiles.columns:
             references = sorted({r.reference for r in tiles.select("reference").distinct().collect()})
         else:
             references = ["ref"]
-    index = cut_lineage(kmer_index(tiles, k, max_occ, tile))
+    if index is None:
+        index = cut_lineage(kmer_index(tiles, k, max_occ, tile))
     hits = vote_hits(reads.select("read_id", "seq"), index, k, stride, references)
     per_ref = reads.select("read_id", F.explode(F.array(*[F.lit(r) for r in references])).alias("reference"))
     first = cut_lineage(verify_hits(per_ref.join(hits, ["read_id", "reference"], "left"), reads, tiles, max_mm, tile))

@@ -508,7 +508,7 @@ def _job_config(spark, tag):
     return J.JobConfig(output_root=staging_dir(spark, tag), known_platforms=KNOWN_PLATFORMS, references=[REF_NAME],
                        fastq_root=SRC_ROOT, k=K, max_occ=MAX_OCC, max_mm=MAX_MM, tile=ATILE, tile_overlap=ATILE_OVERLAP,
                        min_depth=MIN_DEPTH, with_variant_calling=True, with_export=True, sample_buckets=8,
-                       run_ts="run-0001")
+                       run_ts="run-0001", read_cells=16)
 
 
 def _job_inputs(spark, sf):
@@ -551,6 +551,22 @@ def q_finalise_modes(spark, sf):
         F.coalesce("n_exported", zero).alias("n_exported"))
 
 
+CHUNK_BYTES, CHUNK_RECORDS = 100, 2
+
+
+def q_job_reads(spark, sf):
+    """F2 and F3 inside the job: the reads table of all valid runs, per run, chunk and pair status."""
+    cfg, inputs = _job_config(spark, "job-reads"), _job_inputs(spark, sf)
+    cfg.chunk_bytes, cfg.chunk_records = CHUNK_BYTES, CHUNK_RECORDS
+    mates = S.standin(spark, sf, "read_mates")
+    inputs.reads = mates.withColumn("read_id", F.concat_ws("/", "run_id", F.col("mate").cast("string"), F.col("ordinal").cast("string")))
+    J.run_job(spark, cfg, inputs, stop_after="reconcile")
+    J.load_reads(spark, cfg, J.pending_units(spark, cfg, "align").select("unit").distinct(), inputs)
+    digest = F.md5(F.concat_ws("/", "read_id", "seq", "qual").cast("binary"))
+    return J.stage_table(spark, cfg, J.READS).groupBy("run_id", "sample_id", "chunk", "pair_status").agg(
+        F.count("*").alias("n_reads"), F.sum(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")).alias("content"))
+
+
 def q_manifest_stream(spark, sf):
     """Streaming reconciliation: manifests dropped as files, processed by an
     availableNow stream, statuses read back from the idempotent sink."""
@@ -634,6 +650,7 @@ QUERIES = {
     "exported_rows": q_exported_rows,
     "job_completion": q_job_completion,
     "finalise_modes": q_finalise_modes,
+    "job_reads": q_job_reads,
     "manifest_stream": q_manifest_stream,
 }
 QUERIES = {name: _with_defaults(fn) for name, fn in QUERIES.items()}

@@ -490,3 +490,11 @@ SELECT a.sample_id, count(*) AS n_reads, count(DISTINCT run_id) AS n_runs, count
        coalesce(any_value(c.n), 0) AS n_exported
 FROM aln a LEFT JOIN (SELECT sample_id, count(*) AS n FROM calls GROUP BY sample_id) c ON c.sample_id = a.sample_id
 GROUP BY a.sample_id""")
+ORACLE["job_reads"] = (with_ctes("", "manifest", "objects", "read_mates").rstrip() + _recon_ctes() + """,
+r AS (SELECT m.*, v.sample_id, v.layout, run_id || '/' || mate || '/' || ordinal AS read_id,
+             count(*) OVER (PARTITION BY run_id, ordinal) AS n_here, sum(length(seq) + length(qual)) OVER (PARTITION BY run_id) AS run_bytes
+      FROM read_mates m JOIN (SELECT DISTINCT run_id, sample_id, layout FROM status WHERE status = 'valid') v USING (run_id))
+SELECT run_id, sample_id, CAST(CASE WHEN run_bytes > 100 THEN floor((ordinal - 1) / 2) ELSE 0 END AS BIGINT) AS chunk,
+       CASE WHEN n_here = 2 THEN 'paired' WHEN layout = 'SINGLE' THEN 'single' WHEN mate = 1 THEN 'orphan_1' ELSE 'orphan_2' END AS pair_status,
+       count(*) AS n_reads, CAST(sum(CAST('0x' || substring(md5(read_id || '/' || seq || '/' || qual), 1, 8) AS BIGINT)) AS BIGINT) AS content
+FROM r GROUP BY ALL""")
