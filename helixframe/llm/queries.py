@@ -32,7 +32,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = url_filter.filter_urls(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft")
+    return judged.select("page_id", "host", "path", "rule", "verdict", "n_strict", "n_soft", "soft_weight")
 
 
 def op4_topk_nra(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -164,6 +164,7 @@ _STRICT = " + ".join(
     f"len(regexp_extract_all(regexp_replace(u, '([^a-z0-9])', '\\1\\1', 'g'), '(^|[^a-z0-9]){t}($|[^a-z0-9])'))"
     for t in url_filter.VOCABULARY.strict)
 _SOFT = " + ".join(_term_hit(t) for t, _ in url_filter.VOCABULARY.soft)
+_WEIGHT = " + ".join(f"{weight} * ({_term_hit(t)})" for t, weight in url_filter.VOCABULARY.soft)
 
 _OP3 = f"""
 WITH parts AS (
@@ -171,11 +172,11 @@ WITH parts AS (
          translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), '{url_filter.UPPER}', '{url_filter.LOWER}') AS host,
          regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
   FROM pages),
-hits AS (SELECT *, CAST({_STRICT} AS INT) AS n_strict, CAST({_SOFT} AS INT) AS n_soft FROM parts)
-SELECT page_id, host, path, n_strict, n_soft,
+hits AS (SELECT *, CAST({_STRICT} AS INT) AS n_strict, CAST({_SOFT} AS INT) AS n_soft, CAST({_WEIGHT} AS DOUBLE) AS soft_weight FROM parts)
+SELECT page_id, host, path, n_strict, n_soft, soft_weight,
        CASE {' '.join(f"WHEN {f} THEN '{r.name}'" for r, f in _FITS.items())} END AS rule,
        CASE {' '.join(f"WHEN {f} THEN '{r.action}'" for r, f in _FITS.items())}
-            WHEN n_strict > 0 OR n_soft >= {url_filter.VOCABULARY.min_soft} THEN 'block' ELSE 'allow' END AS verdict
+            WHEN n_strict > 0 OR (n_soft >= {url_filter.VOCABULARY.min_soft} AND soft_weight >= {url_filter.VOCABULARY.soft_limit}) THEN 'block' ELSE 'allow' END AS verdict
 FROM hits
 """
 

@@ -48,11 +48,43 @@ RULES = (
     Rule("block", "com", "/de/"),
 )
 
+# Soft terms by weight. Any two of the heaviest or of the middle reach the limit, three of the lightest do.
+SOFT_TERMS = {
+    1.25: "bets betting bitcoin gambling jackpot lottery payday pharmacy pills poker replica roulette slots sexy torrent",
+    0.75: "ads adserver affiliate banner clicks coupons credit crypto dating diet download earn forex giveaway loans "
+          "lucky mortgage popup prizes promo refinance rewards singles supplements track tracker weightloss",
+    0.5: "bargain bonus cash cheap click deals discount free gift hot instant money now offer online sale save win winner",
+}
+
 VOCABULARY = Vocabulary(
-    strict=("adult", "camgirls", "casino", "escorts", "hentai", "porn", "spam", "viagra", "warez", "xxx"),
-    soft=tuple((w, 1.0) for w in ("ads", "betting", "bets", "cheap", "click", "free", "jackpot", "loans", "pharmacy",
-                                  "pills", "poker", "prizes", "slots", "track", "tracker", "win")),
-)
+    strict=("adult", "camgirls", "casino", "cialis", "escorts", "hentai", "keygen", "malware", "onlyfans", "phishing", "porn",
+            "porno", "sexcam", "spam", "viagra", "warez", "xxx"),
+    soft=tuple((term, weight) for weight, terms in SOFT_TERMS.items() for term in terms.split()),
+    min_soft=2, soft_limit=1.5)
+
+# Terms that a vocabulary may have: it goes to every task.
+MAX_TERMS = 1_000_000
+
+
+def vocabulary_from(terms: DataFrame, min_soft: int = 2, soft_limit: float = 1.5, max_terms: int = MAX_TERMS) -> Vocabulary:
+    """A vocabulary from rows of ``term`` and ``weight``: strict where the weight is null.
+
+    Terms are lower-cased (A-Z); null and empty ones are left out. A repeated term takes its largest weight, or is
+    strict if one of its rows is. A weight that is not a finite, positive number is refused, as are more than
+    ``max_terms`` terms.
+    """
+    low = F.translate("term", UPPER, LOWER)
+    rows = (terms.where(F.length("term") > 0).groupBy(low.alias("term"))
+            .agg(F.max("weight").cast("double").alias("weight"), F.min("weight").cast("double").alias("least"),
+                 F.max(F.col("weight").isNull()).alias("strict"))
+            .orderBy("term").limit(max_terms + 1).collect())
+    if len(rows) > max_terms:
+        raise ValueError(f"a vocabulary has at most {max_terms} terms")
+    for r in rows:
+        if not r.strict and not 0 < r.least <= r.weight < float("inf"):
+            raise ValueError(f"the weight of {r.term!r} must be a positive number")
+    return Vocabulary(strict=tuple(r.term for r in rows if r.strict),
+                      soft=tuple((r.term, r.weight) for r in rows if not r.strict), min_soft=min_soft, soft_limit=soft_limit)
 
 
 def host_of(url: Column) -> Column:
