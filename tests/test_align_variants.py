@@ -209,3 +209,50 @@ def test_no_exchange_moves_tiles_by_read(spark):
     plan = A.align_reads(reads, tiles, k=11, max_mm=2, tile=128)._jdf.queryExecution().executedPlan().toString()
     for line in plan.split("\n"):
         assert not ("hashpartitioning(read_id" in line and "tile_seq" in line)
+
+
+def _many_calls(spark, n):
+    """``n`` calls of one sample on two contigs, three of another."""
+    hot = spark.range(n).select(F.lit("hot").alias("sample_id"), (F.col("id") % 2).alias("contig_idx"), (F.col("id") * 7919 % 100_003 + 1).alias("pos"))
+    few = spark.range(3).select(F.lit("few").alias("sample_id"), F.lit(0).cast("long").alias("contig_idx"), (F.col("id") + 1).alias("pos"))
+    return hot.unionByName(few).select(
+        "sample_id", F.lit("g").alias("reference"), "contig_idx", F.concat(F.lit("c"), F.col("contig_idx").cast("string")).alias("contig"), "pos",
+        F.lit("A").alias("ref"), F.lit("C").alias("alt"), F.lit(5).cast("long").alias("depth"), F.lit(0).cast("long").alias("ref_count"),
+        F.lit(5).cast("long").alias("alt_count"), F.lit("1/1").alias("genotype"))
+
+
+def test_vcf_of_a_large_sample_is_written_by_several_tasks_in_order(spark, tmp_path):
+    calls, at = _many_calls(spark, 4000), str(tmp_path / "vcf")
+    none = spark.createDataFrame([("g", "none")], "reference string, sample_id string")
+    V.write_vcf(calls, at, none, part_rows=500)
+
+    def parts(sample):
+        folder = tmp_path / "vcf" / "reference=g" / f"sample_id={sample}"
+        return [p.read_text().splitlines() for p in sorted(folder.glob("part-*"))]
+
+    hot = parts("hot")
+    assert len(hot) >= 3 and len(parts("few")) == 1
+    lines = [line for part in hot for line in part]
+    assert lines[0] == V.VCF_HEADER and lines[1] == V.VCF_COLUMNS + "\thot" and len(lines) == 4002
+    where = [(line.split("\t")[0], int(line.split("\t")[1])) for line in lines[2:]]
+    assert where == sorted(where)
+    assert [line for part in parts("none") for line in part] == [V.VCF_HEADER, V.VCF_COLUMNS + "\tnone"]
+    got = V.scan_vcf(spark, at).select("call_name", "chrom", "pos", "ref", F.element_at("alts", 1), "gt", "dp")
+    want = calls.select("sample_id", "contig", "pos", "ref", "alt", "genotype", "depth")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    # one sample again, with fewer calls: its parts are all replaced, the others stay
+    V.write_vcf(_many_calls(spark, 10).where("sample_id = 'hot'"), at, keep_others=True)
+    assert len(parts("hot")) == 1
+    assert {r.call_name: r["count"] for r in V.scan_vcf(spark, at).groupBy("call_name").count().collect()} == {"hot": 10, "few": 3}
+
+
+def test_every_file_of_a_folder_keeps_its_own_header(spark, tmp_path):
+    def text(names, *positions):
+        rows = ["\t".join(["c0", str(p), ".", "A", "C", ".", "PASS", ".", "GT", *["0/1"] * len(names)]) for p in positions]
+        return "\n".join([V.VCF_HEADER, V.VCF_COLUMNS + "\t" + "\t".join(names), *rows]) + "\n"
+    (tmp_path / "v").mkdir()
+    (tmp_path / "v" / "a.vcf").write_text(text(["x", "y"], 1))
+    (tmp_path / "v" / "b.vcf").write_text(text(["z"], 2))
+    (tmp_path / "v" / "b2.vcf").write_text("\n".join(text(["z"], 3).splitlines()[2:]) + "\n")     # a later part of b
+    got = V.scan_vcf(spark, str(tmp_path / "v")).select("call_name", "pos").collect()
+    assert sorted(map(tuple, got)) == [("x", 1), ("y", 1), ("z", 2), ("z", 3)]
