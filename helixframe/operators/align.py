@@ -24,7 +24,7 @@ distinct surroundings, under salted keys.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -341,6 +341,10 @@ def merge_runs(aln: DataFrame) -> DataFrame:
     return aln.withColumn("read_group", F.col("run_id"))
 
 
+def bucket_samples(aln: DataFrame, sample_buckets: int) -> DataFrame:
+    return aln.withColumn("sample_bucket", F.abs(F.xxhash64("sample_id")) % sample_buckets)
+
+
 def write_merged(aln: DataFrame, path: str, sample_buckets: int = 64, num_partitions: int | None = None) -> None:
     """Write merged, sorted alignments partitioned by reference and a sample
     bucket (not one directory per run or sample: small files).
@@ -348,7 +352,7 @@ def write_merged(aln: DataFrame, path: str, sample_buckets: int = 64, num_partit
     Range-partitioned on (reference, bucket, coordinates), so each task writes
     one contiguous, coordinate-sorted slice of one or two bucket directories
     instead of a file into every bucket."""
-    out = merge_runs(aln).withColumn("sample_bucket", F.abs(F.xxhash64("sample_id")) % sample_buckets)
+    out = bucket_samples(merge_runs(aln), sample_buckets)
     keys = ["reference", "sample_bucket", F.col("contig_idx").asc_nulls_last(), F.col("pos").asc_nulls_last(),
             "strand", "read_id"]
     parted = out.repartitionByRange(num_partitions, *keys) if num_partitions else out.repartitionByRange(*keys)
@@ -366,6 +370,49 @@ def merge_regions(tiled: DataFrame) -> DataFrame:
     return sort_alignments(tiled.drop("region"))
 
 
+def write_regions(aln: DataFrame, path: str, size: int, folders: tuple[str, ...] = (), num_partitions: int | None = None) -> None:
+    """A6 as a layout: rows with their ``region``, ranged and sorted by ``folders`` and coordinates, a folder per value
+    of ``folders`` (``reference`` first, if any).
+
+    Every file is a run of neighbouring regions (a large region is several files), so a lookup of a region prunes by
+    the files' statistics, and ``merge_region_parts`` puts the files in order without sorting rows again.
+    """
+    by = [c for c in folders if c != "reference"]
+    keys = ["reference", *by, F.col("contig_idx").asc_nulls_last(), F.col("pos").asc_nulls_last(), "strand", "read_id"]
+    tiled = tile_regions(aln, size)
+    parted = tiled.repartitionByRange(num_partitions, *keys) if num_partitions else tiled.repartitionByRange(*keys)
+    parted.sortWithinPartitions(*keys).write.partitionBy(*folders).parquet(path)
+
+
+def region_parts(spark: SparkSession, path: str, folders: tuple[str, ...] = ()) -> DataFrame:
+    """The part table of ``write_regions``: per file ``part`` (its number in coordinate order), ``before`` (rows of the
+    parts before it), ``n_rows``, ``first_region`` and ``last_region``. A row per file: its windows are as small."""
+    by = [c for c in folders if c != "reference"]
+    first = F.struct("reference", *by, F.col("contig_idx").isNull().alias("unmapped"), "contig_idx", "pos", "strand", "read_id")
+    files = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file")).groupBy("_file").agg(
+        F.min(first).alias("first"), F.count(F.lit(1)).alias("n_rows"), F.min("region").alias("first_region"), F.max("region").alias("last_region"))
+    order = Window.orderBy("first", "_file")
+    before = F.coalesce(F.sum("n_rows").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return files.select("_file", F.row_number().over(order).alias("part"), before.alias("before"), "n_rows", "first_region", "last_region")
+
+
+def merge_region_parts(spark: SparkSession, path: str, folders: tuple[str, ...] = (), num_partitions: int | None = None) -> DataFrame:
+    """A6 final merge: the rows of ``write_regions`` as one coordinate-sorted set, with ``row_number`` (1-based).
+
+    The order is that of the part table and of the rows in their files: each row goes to the partition of its part's
+    number in one exchange. Coordinates are neither sampled nor compared again.
+    """
+    by = [c for c in folders if c != "reference"]
+    parts = cut_lineage(region_parts(spark, path, folders))
+    n_files = max(parts.count(), 1)
+    n = min(num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions")), n_files)
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    placed = rows.join(broadcast_if_small(parts.select("_file", "part", "before")), "_file")
+    target = F.floor((F.col("part") - 1) * n / n_files).cast("int")
+    return (placed.repartitionById(n, target).sortWithinPartitions("reference", *by, "part", "_row")
+            .withColumn("row_number", F.col("before") + F.col("_row") + 1).drop("_file", "_row", "part", "before", "region"))
+
+
 def index_alignments(aln: DataFrame, window: int = WINDOW) -> DataFrame:
     """Per (reference, contig, window of start position): rows, min/max
     start, max end — enough to prune a region lookup to a few windows."""

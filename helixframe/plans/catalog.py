@@ -419,6 +419,13 @@ def q_regions(spark, sf):
     return t.groupBy("contig_idx", "region").agg(F.count("*").alias("n_reads"))
 
 
+def q_region_merge(spark, sf):
+    """Alignments laid out by region and merged from the parts: the place of every row in the merged set."""
+    at = staging_dir(spark, "regions")
+    A.write_regions(_alignments(spark, sf), at, 50)
+    return A.merge_region_parts(spark, at).select("read_id", "row_number", "contig_idx", "pos")
+
+
 def q_window_index(spark, sf):
     return A.index_alignments(_alignments(spark, sf), 64).select(
         "contig_idx", "window", "n_reads", "min_pos", "max_pos", "max_end")
@@ -642,6 +649,7 @@ QUERIES = {
     "sorted_alignments": q_sorted_alignments,
     "merged_runs": q_merged_runs,
     "regions": q_regions,
+    "region_merge": q_region_merge,
     "window_index": q_window_index,
     "region_query": q_region_query,
     "overlap": q_overlap,

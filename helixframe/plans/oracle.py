@@ -411,6 +411,9 @@ FROM aln""")
 ORACLE["sorted_alignments"] = _align("""
 SELECT read_id, row_number() OVER (ORDER BY reference, contig_idx NULLS LAST, pos NULLS LAST, strand NULLS FIRST, read_id)
        AS sort_rank, contig_idx, pos FROM aln""")
+ORACLE["region_merge"] = _align("""
+SELECT read_id, row_number() OVER (ORDER BY reference, contig_idx NULLS LAST, pos NULLS LAST, strand NULLS FIRST, read_id)
+       AS row_number, contig_idx, pos FROM aln""")
 ORACLE["merged_runs"] = _align("""
 SELECT sample_id, reference, count(*) AS n_reads, count(DISTINCT run_id) AS n_read_groups, count(pos) AS n_mapped,
        min(pos) AS min_pos, max(pos) AS max_pos FROM aln GROUP BY sample_id, reference""")

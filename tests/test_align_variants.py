@@ -256,3 +256,33 @@ def test_every_file_of_a_folder_keeps_its_own_header(spark, tmp_path):
     (tmp_path / "v" / "b2.vcf").write_text("\n".join(text(["z"], 3).splitlines()[2:]) + "\n")     # a later part of b
     got = V.scan_vcf(spark, str(tmp_path / "v")).select("call_name", "pos").collect()
     assert sorted(map(tuple, got)) == [("x", 1), ("y", 1), ("z", 2), ("z", 3)]
+
+
+def _placed(spark, n):
+    """``n`` alignments of three samples, half of them in one region, some unmapped."""
+    lost = F.col("id") % 17 == 0
+    return spark.range(n).repartition(5).select(
+        F.concat(F.lit("r"), F.col("id")).alias("read_id"), F.concat(F.lit("S"), F.col("id") % 3).alias("sample_id"), F.lit("R1").alias("run_id"),
+        F.when(F.col("id") % 2 == 0, "g").otherwise("h").alias("reference"),
+        F.when(~lost, F.col("id") % 4).alias("contig_idx"),
+        F.when(~lost, F.when(F.col("id") % 4 < 2, F.col("id") % 10).otherwise(F.col("id") * 31 % 5000) + 1).alias("pos"),
+        F.when(~lost, F.col("id") % 2).cast("int").alias("strand"))
+
+
+def test_regions_are_merged_by_their_parts_without_a_second_sort(spark, tmp_path):
+    aln = _placed(spark, 3000)
+    for folders in ((), ("reference", "bucket")):
+        rows, at = aln.withColumn("bucket", F.col("sample_id")), str(tmp_path / f"r{len(folders)}")
+        A.write_regions(rows, at, 100, folders, num_partitions=6)
+        got = A.merge_region_parts(spark, at, folders, num_partitions=3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "rangepartitioning" not in plan and plan.count("Exchange ") <= 3
+        by = [F.col("bucket")] if folders else []
+        want = rows.orderBy("reference", *by, F.col("contig_idx").asc_nulls_last(), F.col("pos").asc_nulls_last(), "strand", "read_id")
+        assert [r.read_id for r in got.collect()] == [r.read_id for r in want.collect()]
+        assert sorted(r.row_number for r in got.collect()) == list(range(1, 3001))
+        # a region is read by its number alone, unmerged
+        one = spark.read.parquet(at).where("reference = 'g' AND contig_idx = 2 AND region = 3")
+        assert one.count() == aln.where("reference = 'g' AND contig_idx = 2 AND pos BETWEEN 301 AND 400").count() > 0
+    A.write_regions(aln.limit(0), str(tmp_path / "none"), 100)
+    assert A.merge_region_parts(spark, str(tmp_path / "none")).count() == 0
