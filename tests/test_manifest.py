@@ -89,3 +89,14 @@ def test_include_and_skip_mean_the_same_in_every_form(spark):
 def test_an_unreadable_reference_document_is_kept(spark):
     docs = spark.createDataFrame([(1, "not json"), (2, '[{"name":"x","fastaUri":"f","indexUri":"i"}]')], "doc int, json string")
     assert {(r.doc, r.name) for r in M.references_from_json(docs).collect()} == {(1, None), (2, "x")}
+
+
+def test_only_lines_that_hold_the_header_name_are_cut_to_find_it(spark):
+    from helixframe.sources.manifest import parse_manifest_lines
+
+    raw = ['Run,"a""b",c', '1,"x,""1""",""', '2,",","', '3,"""",z', '4,"Run",y']
+    lines = spark.createDataFrame([(r, "f", i) for i, r in enumerate(raw)], "raw string, source_file string, manifest_row long")
+    got = parse_manifest_lines(lines)
+    assert "contains(" in got._jdf.queryExecution().optimizedPlan().toString().lower()
+    rows = {r.manifest_row: r.attrs for r in got.collect()}
+    assert rows == {1: {"Run": "1", 'a"b': 'x,"1"', "c": ""}, 2: {"Run": "2", 'a"b': ",", "c": '"'}, 3: {"Run": "3", 'a"b': '"', "c": "z"}}
