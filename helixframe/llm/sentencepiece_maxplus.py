@@ -42,6 +42,7 @@ class Settings(NamedTuple):
     chunk: int = 16_384     # characters
     block: int = 64         # chunks whose matrices are combined at once
     cached: int = 450_000   # words that a worker remembers
+    slice_chars: int = 1 << 20  # characters of a batch that are in work at once
 
 
 class Remembered:
@@ -301,6 +302,19 @@ def states(matrices: list[np.ndarray], first: int, last: int) -> list[int]:
 # ---------------------------------------------------------------- documents
 
 
+def sliced(batches: Iterator[pd.DataFrame], column: str, most: int) -> Iterator[pd.DataFrame]:
+    """The rows of the batches in slices of at most ``most`` characters in ``column`` (one row at least): ids and bytes of
+    a batch of 10,000 long texts are several times its size."""
+    for batch in batches:
+        before = batch[column].str.len().cumsum().to_numpy()
+        first = 0
+        while first < len(batch):
+            done = before[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(before, done + most, side="right")))
+            yield batch.iloc[first:last].reset_index(drop=True)
+            first = last
+
+
 def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", path: str = PIECES,
                      settings: Settings = Settings(), decoded: bool = False) -> DataFrame:
     """A row per chunk: ``doc_id``, ``chunk`` (from 0), ``n_chunks``, ``n_chars`` (of the normalised text),
@@ -337,14 +351,14 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Texts of one chunk, from their start to their end."""
         vocabulary = segmenting(path, cached)
-        for batch in batches:
+        for batch in sliced(batches, "_text", settings.slice_chars):
             texts = batch["_text"].tolist()
             yield _result(pd.DataFrame({"doc_id": batch["doc_id"], "chunk": 0, "n_chunks": 1, "n_chars": [len(t) + 1 if t else 0 for t in texts]}),
                           [vocabulary.encode(t) for t in texts])
 
     def matrix(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = worker_vocabulary(path, cached)
-        for batch in batches:
+        for batch in sliced(batches, "piece", settings.slice_chars):
             yield batch[["a", "b", "chunk"]].assign(block=batch["chunk"] // block, m=[
                 vocabulary.transfer(t, n).tobytes() for t, n in zip(batch["piece"], batch["n_chars"], strict=True)])
 
@@ -375,7 +389,7 @@ def encode_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
     def trace(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         vocabulary = segmenting(path, cached)
-        for batch in batches:
+        for batch in sliced(batches, "piece", settings.slice_chars):
             yield _result(batch, [vocabulary.segment(t, n, i, j) for t, n, i, j in zip(
                 batch["piece"], batch["n_chars"], batch["i"], batch["j"], strict=True)])
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from helixframe.llm import queries
@@ -122,3 +123,11 @@ def test_order_of_the_input_does_not_matter(spark):
         wanted = 5 * sum(1 for k, u in rows if k == i and -(-len(S.normalised(u)) // 31) == n)
         for k in range(n):
             assert len([r for r in chunks if r.chunk == k]) == wanted
+
+
+def test_batches_are_worked_on_in_slices():
+    texts = ["abc", "", "x" * 50, "de", "f", "", "ghij"]
+    batch = pd.DataFrame({"doc_id": range(7), "_text": texts}, index=range(5, 12))
+    parts = list(S.sliced(iter([batch, batch.iloc[:0], batch]), "_text", 5))
+    assert [x for p in parts for x in p["_text"]] == texts * 2 and [x for p in parts for x in p["doc_id"]] == [*range(7)] * 2
+    assert all(len(p) == 1 or p["_text"].str.len().sum() <= 5 for p in parts) and max(map(len, parts)) > 1
