@@ -8,6 +8,7 @@ from helixframe.functions.paths import ancestor_at, ancestor_dirs, depth_of
 from helixframe.operators import align as A
 from helixframe.operators import reconcile as R
 from helixframe.operators import variants as V
+from helixframe.plans import jobs as J
 from helixframe.sources import fasta as FA
 from helixframe.sources import fastq as FQ
 from helixframe.sources._files import ByteRange, pack_ranges
@@ -70,3 +71,44 @@ def test_kmer_index_moves_its_rows_once(spark):
     kmers = [(i, seq[i:i + 5]) for i in range(len(seq) - 4) if "N" not in seq[i:i + 5]]
     many = {k: sum(x == k for _, x in kmers) for _, k in kmers}
     assert {(r.pos, r.occ) for r in index.collect()} == {(i, many[k] if many[k] > 1 else None) for i, k in kmers}
+
+
+def test_few_asked_seeds_move_no_other_rows_of_the_index(spark):
+    seq = "ACGTTGCAACGTNACGTTGCAACGT"
+    contigs = spark.createDataFrame([(0, "c0", seq)], "contig_idx long, contig string, seq string")
+    tiles = A.tiles_from_contigs(contigs, 16, 12, reference="g")
+    whole = A.kmer_index(tiles, 5, 1, 16)
+    asked = whole.where("pos IN (0, 3)").select("reference", "code").distinct()
+    some = A.kmer_index(tiles, 5, 1, 16, asked)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin [code" in plan and "LeftSemi" in plan and plan.count("hashpartitioning(code") == 1
+    want = whole.join(asked, ["reference", "code"], "left_semi").select(*some.columns).collect()
+    assert sorted(map(str, some.collect())) == sorted(map(str, want)) and len(want) > 2
+
+
+def test_hits_meet_the_tiles_without_their_reads(spark, monkeypatch):
+    seq = "ACGTTGCAACGTCACGATGCTTCGTAGGCTCA"
+    contigs = spark.createDataFrame([(0, "c0", seq)], "contig_idx long, contig string, seq string")
+    tiles = A.tiles_from_contigs(contigs, 16, 0, reference="g")
+    reads = spark.createDataFrame([(1, seq[2:12], "I" * 10), (2, seq[10:22], "J" * 12), (3, "T" * 10, "K" * 10)], "read_id long, seq string, qual string")
+    hits = spark.createDataFrame([(1, "g", 0, 2, 0, 2, 0, 60, False), (2, "g", 0, 10, 0, 2, 0, 60, False), (3, "g", *[None] * 7)],
+                                 "read_id long, reference string, contig_idx long, start long, strand int, votes long, second_votes long, mapq int, repeat boolean")
+    written, staged = {}, A.staged
+    monkeypatch.setattr(A, "staged", lambda df, purpose: written.setdefault(purpose, df.columns) and staged(df, purpose))
+    got = {r.read_id: r for r in A.verify_hits(hits, reads, tiles, 4, 16).collect()}
+    assert not {"aseq", "aqual", "seq", "qual"} & set(written["hits"])
+    assert [(got[i].pos, got[i].nm, got[i].ref_seq, got[i].qual[:1], got[i].flag) for i in (1, 2, 3)] == [
+        (3, 0, seq[2:12], "I", 0), (11, 0, seq[10:22], "J", 0), (None, None, None, "K", 4)]
+
+
+def test_vcf_files_are_opened_once(spark, tmp_path):
+    rows = [("g", f"s{i}", 0, "c", 5, "A", 9, 4, "T", 5, "0/1") for i in range(4)]
+    calls = spark.createDataFrame(rows, "reference string, sample_id string, contig_idx long, contig string, pos long, ref string, "
+                                        "depth long, ref_count long, alt string, alt_count long, genotype string")
+    at = str(tmp_path / "vcf")
+    V.write_vcf(calls, at)
+    scanned = V.scan_vcf(spark, at)
+    assert "FileScan text" not in scanned._jdf.queryExecution().toString()
+    assert {(r.sample_id, r.call_name) for r in scanned.collect()} == {(f"s{i}", f"s{i}") for i in range(4)}
+    assert J._files_or_none(spark, at).select("sample_id", "reference").distinct().count() == 4
+    assert J._files_or_none(spark, str(tmp_path / "none")) is None
