@@ -1,14 +1,17 @@
 """Steps that must not grow into one task, one exchange too many or a task per small range."""
 
 import json
+import random
 
 from pyspark.sql import functions as F
 
+from helixframe.functions.joins import broadcast_if_small
 from helixframe.functions.paths import ancestor_at, ancestor_dirs, depth_of
 from helixframe.operators import align as A
 from helixframe.operators import reconcile as R
 from helixframe.operators import variants as V
 from helixframe.plans import jobs as J
+from helixframe.session import apply_sql_defaults
 from helixframe.sources import fasta as FA
 from helixframe.sources import fastq as FQ
 from helixframe.sources._files import ByteRange, pack_ranges
@@ -112,3 +115,41 @@ def test_vcf_files_are_opened_once(spark, tmp_path):
     assert {(r.sample_id, r.call_name) for r in scanned.collect()} == {(f"s{i}", f"s{i}") for i in range(4)}
     assert J._files_or_none(spark, at).select("sample_id", "reference").distinct().count() == 4
     assert J._files_or_none(spark, str(tmp_path / "none")) is None
+
+
+def test_rounds_of_kmers_give_the_same_alignments(spark, monkeypatch):
+    """A large reference is exchanged in parts, by the first base of the k-mers; each part is a written step."""
+    rng = random.Random(7)
+    contigs = [(i, f"c{i}", "".join(rng.choice("ACGT") for _ in range(90)) + ("NACGTACGTACGTAC" if i == 1 else "")) for i in range(3)]
+    contigs.append((3, "c3", contigs[0][2]))
+    tiles = A.tiles_from_contigs(spark.createDataFrame(contigs, "contig_idx long, contig string, seq string"), 32, 20, reference="g")
+    reads = spark.createDataFrame([(10 * c + p, s[p:p + 20]) for c, _, s in contigs[:3] for p in (0, 13, 55)] + [(99, "T" * 20)],
+                                  "read_id long, seq string")
+
+    def aligned():
+        return sorted(map(str, A.align_reads(reads, tiles, 5, 1, 2, 32, references=["g"]).collect()))
+
+    whole, first = aligned(), A.kmer_index(tiles, 5, 1, 32, first="C").collect()
+    every = A.kmer_index(tiles, 5, 1, 32).collect()
+    assert sorted(map(str, first)) == sorted(str(r) for r in every if str(r.code).zfill(5)[0] == "1")
+    written, staged = [], A.staged
+    monkeypatch.setattr(A, "staged", lambda df, purpose: written.append(purpose) or staged(df, purpose))
+    monkeypatch.setattr(A, "ROUND_BASES", 0)
+    monkeypatch.setattr(A, "FEW", 0)
+    assert aligned() == whole
+    assert written.count("seed-hits") == 4 and written.count("asked-seeds") == 4
+
+
+def test_shuffle_files_go_with_their_step(spark):
+    """The disk holds the shuffle files of one step, not of all steps of a query."""
+    apply_sql_defaults(spark)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+
+
+def test_a_table_is_counted_without_a_limit(spark):
+    """A limit sends up to so many rows of every partition to one task."""
+    seen = []
+    df = spark.range(10)
+    df.limit = lambda n: seen.append(n)
+    assert broadcast_if_small(df, 9) is df and not seen
+    assert "broadcast" in broadcast_if_small(df, 10)._jdf.queryExecution().toString().lower()
