@@ -153,3 +153,15 @@ def test_a_table_is_counted_without_a_limit(spark):
     df.limit = lambda n: seen.append(n)
     assert broadcast_if_small(df, 9) is df and not seen
     assert "broadcast" in broadcast_if_small(df, 10)._jdf.queryExecution().toString().lower()
+
+
+def test_loaded_reads_are_made_once(spark):
+    """Sizes, pairs and range samples read a written table: neither files nor rows are parsed or joined again for each."""
+    rows = [(f"r{i}", "SRR1" if i < 3 else "SRR2", 1 + i % 2, i, "ACGT", "IIII") for i in range(6)]
+    given = spark.createDataFrame(rows, "read_id string, run_id string, mate int, ordinal long, seq string, qual string")
+    valid = spark.createDataFrame([("SRR1",), ("SRR1",)], "run_id string")
+    reads, sizes = J._reads(J.JobConfig(output_root="x", known_platforms=[]), valid, None, J.JobInputs(reads=given))
+    assert [(r.run_id, r.run_bytes) for r in sizes.collect()] == [("SRR1", 24)] and reads.count() == 3
+    for df in (reads, sizes, J._paired(reads)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "Join" not in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan
