@@ -138,6 +138,32 @@ def test_rounds_of_kmers_give_the_same_alignments(spark, monkeypatch):
     monkeypatch.setattr(A, "FEW", 0)
     assert aligned() == whole
     assert written.count("seed-hits") == 4 and written.count("asked-seeds") == 4
+    assert written.count("verified") == 5  # the reads in four rounds, and those that were placed anew
+
+
+def test_reads_and_tiles_are_not_exchanged_in_one_step(spark):
+    """The bases under the reads are written before the reads are joined, so the disk holds one of the two exchanges."""
+    seq = "ACGTTGCAACGTCACGATGCTTCGTAGGCTCA"
+    tiles = A.tiles_from_contigs(spark.createDataFrame([(0, "c0", seq)], "contig_idx long, contig string, seq string"), 16, 0, reference="g")
+    reads = spark.createDataFrame([(1, seq[3:13]), (2, seq[10:22]), (3, "T" * 10)], "read_id long, seq string")
+    aln = A.align_reads(reads, tiles, 5, 1, 2, 16, references=["g"])
+    verified = A.verify_hits(aln.where("pos IS NOT NULL").selectExpr(
+        "read_id", "reference", "contig_idx", "pos - 1 AS start", "strand", "votes", "second_votes", "mapq", "repeat"), reads, tiles, 2, 16)
+    assert "t_tile" not in verified._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r.read_id, r.pos) for r in aln.collect()) == [(1, 4), (2, 11), (3, None)]
+    # What is aligned is a scan of written tables: a range partition that samples it joins nothing a second time.
+    assert "SortMergeJoin" not in aln._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_laid_out_in_rounds_hold_the_same_rows(spark, tmp_path):
+    rows = [(i, "g" if i % 3 else "h", i % 4 if i % 7 else None, f"c{i % 4}", 10 * i + 1 if i % 7 else None, 0, "ACGT") for i in range(200)] * 2
+    aln = spark.createDataFrame(rows, "read_id long, reference string, contig_idx long, contig string, pos long, strand int, seq string")
+    tables = []
+    for rounds in (1, 5):
+        at = str(tmp_path / str(rounds))
+        A.write_windows(aln, at, 64, 16, rounds)
+        tables.append(sorted(map(str, A.scan_windows(spark, at).select(*aln.columns, *A.LAYOUT).collect())))
+    assert tables[0] == tables[1] and len(tables[0]) == len(rows)
 
 
 def test_shuffle_files_go_with_their_step(spark):
