@@ -216,6 +216,12 @@ class Index:
         self.bounds = np.concatenate([[0], np.cumsum(here)])
         self.settings, self.n = settings, n
 
+    def forget(self, used: np.ndarray) -> None:
+        """Drop the postings of used documents; the others keep their order, so scores stay the same to the bit."""
+        keep = ~used[self.docs]
+        self.bounds = np.concatenate([[0], np.cumsum(keep)])[self.bounds]
+        self.docs, self.weights = self.docs[keep], self.weights[keep]
+
     def neighbours(self, seed: int, used: np.ndarray, wanted: int) -> np.ndarray:
         """Unused documents by falling BM25 score for all terms of the seed, ties in shard order."""
         terms = self.doc_terms[self.doc_bounds[seed]:self.doc_bounds[seed + 1]]
@@ -236,11 +242,14 @@ def powers_of_two(n: int) -> list[int]:
 
 
 def pack_shard(lengths: list[int], index: Index, settings: Settings) -> list[tuple[int, int, int, int, int]]:
-    """Pieces (document, start, length, sequence, offset) that lay out all documents of a shard."""
+    """Pieces (document, start, length, sequence, offset) that lay out all documents of a shard.
+
+    The index forgets documents that were placed, whenever a tenth of those left is new among them."""
     window, n = settings.window, len(lengths)
     used, pieces = np.zeros(n, bool), []
     sequence = filled = next_free = 0
     seed, near = None, None  # near: neighbours still to try; null once the index has no more
+    placed = forgotten = 0
 
     def following() -> int | None:
         nonlocal near, next_free
@@ -255,6 +264,10 @@ def pack_shard(lengths: list[int], index: Index, settings: Settings) -> list[tup
 
     while (doc := following()) is not None:
         used[doc] = True
+        placed += 1
+        if 10 * (placed - forgotten) > n - forgotten:
+            index.forget(used)
+            forgotten = placed
         start, left = 0, lengths[doc]
         while left:
             if filled == 0:

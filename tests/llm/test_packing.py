@@ -145,3 +145,20 @@ def test_routes_keep_copies_together_and_fit_on_any_sample():
     for n in (0, 1, 40):
         same = np.repeat(x[:1], n, axis=0)
         assert set(P.fit_routes(same, P.Settings()).paths(x)) == {0}
+
+
+def test_postings_of_placed_documents_are_forgotten(monkeypatch):
+    """A seed does not read the postings of documents that were placed; what is left scores the same to the bit."""
+    rng, settings = np.random.default_rng(5), P.Settings(window=64)
+    docs = [rng.integers(2, 60, rng.integers(5, 50)) for _ in range(120)]
+    index = P.Index(docs, settings)
+    whole, used = P.Index(docs, settings), np.arange(120) % 3 == 0
+    index.forget(used)
+    assert not used[index.docs].any() and 0 < len(index.docs) < len(whole.docs)
+    for seed in range(120):
+        assert index.neighbours(seed, used, 20).tolist() == whole.neighbours(seed, used, 20).tolist()
+    left = P.Index(docs, settings)
+    pieces = P.pack_shard([len(d) for d in docs], left, settings)
+    assert len(left.docs) < len(whole.docs) / 4
+    monkeypatch.setattr(P.Index, "forget", lambda self, used: None)
+    assert P.pack_shard([len(d) for d in docs], P.Index(docs, settings), settings) == pieces
