@@ -87,6 +87,7 @@ def corpus_of(tokens: DataFrame, path: str = tk.BYTE_BPE, end_id: int = 1) -> Co
     size, kind = max(tk.load(path).get_vocab_size(), end_id + 1), id_type(path)
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        tk.give_back()  # all ids are made and written
         df, docs, ids = np.zeros(size, np.int64), 0, 0
         for batch in batches:
             for held in batch["ids"]:
@@ -358,6 +359,8 @@ def pack(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", settings:
                 "doc_tokens": [len(ids[d]) for d in frame["doc"]],
                 "sequence_id": frame["sequence"] + first, "offset": frame["offset"], "shard": first})
             first += int(frame["sequence"].max()) + 1
+            del shard, ids, pieces, names, frame
+        tk.give_back()
 
     return found.repartitionByRange(n_parts, *keys).sortWithinPartitions(*keys, "ids").select(
         "doc_id", "ids", "n").mapInPandas(solve, schema)

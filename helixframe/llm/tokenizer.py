@@ -7,6 +7,8 @@ merged once by the library's own model while it stays in a cache.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import sys
@@ -14,6 +16,7 @@ from array import array
 from functools import lru_cache
 
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -132,3 +135,18 @@ class CachedEncoder:
 def worker_encoder(path: str = BYTE_BPE, kind: str = "I") -> CachedEncoder:
     """The encoder that the tasks of one Python worker share."""
     return CachedEncoder(path, kind)
+
+
+def give_back() -> None:
+    """Drop what this Python worker holds of tokenizers and return freed memory to the system.
+
+    Spark hands a worker from stage to stage; without this, pre-tokens and vocabularies of a stage that has ended count
+    beside all that follows in the executor.
+    """
+    for held in (worker_encoder, special_strings, load):
+        held.cache_clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc alone
+    if trim:
+        trim(0)

@@ -162,3 +162,11 @@ def test_postings_of_placed_documents_are_forgotten(monkeypatch):
     assert len(left.docs) < len(whole.docs) / 4
     monkeypatch.setattr(P.Index, "forget", lambda self, used: None)
     assert P.pack_shard([len(d) for d in docs], P.Index(docs, settings), settings) == pieces
+
+
+def test_a_worker_gives_back_its_tokenizers():
+    """Workers go on to other stages: what follows holds no pre-tokens or vocabulary, and makes them again if it must."""
+    before = tk.worker_encoder().encode("some words, and more")
+    tk.give_back()
+    assert {held.cache_info().currsize for held in (tk.worker_encoder, tk.load, tk.special_strings)} == {0}
+    assert tk.worker_encoder().encode("some words, and more") == before
